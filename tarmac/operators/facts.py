@@ -150,6 +150,14 @@ FACT_COLUMNS = [
 ]
 
 
+# The columns that exist in every version of the fact table.
+LOADED_COLUMNS = [
+    "date_key", "airline_key", "origin_airport_key", "destination_airport_key", "departure_time_key",
+    "delay_cause_key", "flight_number", "tail_number", "departure_delay_minutes", "arrival_delay_minutes",
+    "scheduled_elapsed_minutes", "actual_elapsed_minutes", "distance_miles", "is_cancelled", "is_diverted",
+]
+
+
 def finalize(flights: DataFrame) -> DataFrame:
     """The stored columns: keys, measures, the two derived measures and the partition columns."""
     derived = flights.withColumns(

@@ -341,3 +341,27 @@ def view_sql(name: str, **options: int) -> str:
 
 def view_oracle(name: str, **options: int) -> str:
     return with_star(view_sql(name, **options))
+
+
+EXAMPLES = {
+    "ex_avg_delay_by_airline": f"SELECT airline_name, avg({DEP}) AS avg_delay FROM {FLIGHT} {AIRLINE} GROUP BY 1",
+    "ex_delay_by_origin": f"""SELECT airport_name, city, {N} AS flights, avg({DEP}) AS avg_delay
+  FROM {FLIGHT} {ORIGIN} WHERE {DEP} > 0 GROUP BY o.airport_key, airport_name, city""",
+    "ex_weather_by_month": f"""SELECT t.month, month_name, {N} AS weather_delays, avg({DEP}) AS avg_delay
+  FROM {FLIGHT} {DATE} {CAUSE} WHERE cause_category = 'Weather' GROUP BY ALL""",
+    "ex_worst5_airlines": f"""SELECT airline_name, ontime_performance_pct, delay_rank
+  FROM ({view_sql("v_airline_rankings")}) ORDER BY ontime_performance_pct, airline_name LIMIT 5""",
+    "ex_peak_cells": f"""SELECT airport_code, day_of_week, hour, congestion_score, traffic_level
+  FROM ({view_sql("v_peak_congestion_times", min_flights=20)}) WHERE traffic_level = 'Peak'""",
+    "ex_weather_by_season": f"""SELECT season,
+  {pct("CAST(sum(weather_affected_flights) AS BIGINT)", "CAST(sum(total_flights) AS BIGINT)")} AS weather_impact_rate,
+  CAST(sum(total_weather_delay_minutes) AS DOUBLE) / nullif(sum(weather_affected_flights), 0)
+    AS avg_weather_delay_when_affected
+  FROM ({view_sql("v_weather_impact")}) GROUP BY season""",
+    "ex_recent_trends": f"""SELECT date, daily_avg_delay, delay_7day_moving_avg, daily_ontime_rate
+  FROM ({view_sql("v_historical_delay_trends")}) WHERE date >= DATE '2015-12-31' - 30""",
+}
+
+
+def example_oracle(name: str) -> str:
+    return with_star(EXAMPLES[name])

@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarmac.functions import clocks, kpi, rules
+from tarmac.operators import dims, facts, integrity, quality
+from tarmac.operators.star import Star
+from tarmac.oracle import eda as eda_oracles
+from tarmac.oracle import mapping
+from tarmac.oracle import models as model_oracles
+from tarmac.oracle import pipeline as pipeline_oracles
 from tarmac.oracle import views as view_oracles
-from tarmac.plans import views
+from tarmac.plans import eda, examples, models, views
+from tarmac.session import cut_lineage, fresh_path
+from tarmac.sources import files, schemas, tables
+from tarmac.streaming import ingest
 from tarmac.testbed import Testbed, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +36,7 @@ _QUERIES: dict[str, Callable[[Testbed], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def register(name: str, query: Callable[[Testbed], DataFrame], oracle: str | None = None) -> None:
+def _add(name: str, query: Callable[[Testbed], DataFrame], oracle: str | None) -> None:
     if name in _QUERIES:
         raise ValueError(f"{name} is registered twice")
     _QUERIES[name] = query
@@ -30,17 +44,640 @@ def register(name: str, query: Callable[[Testbed], DataFrame], oracle: str | Non
         _ORACLES[name] = oracle
 
 
-def _register_views() -> None:
-    for name, view in views.VIEWS.items():
-        options = VIEW_OPTIONS.get(name, {})
-        register(
-            name,
-            lambda bed, view=view, options=options: view(bed.star, **options),
-            view_oracles.view_oracle(name, **options),
+def _pipeline(name: str):
+    """Register a query of the load pipeline under ``name``."""
+
+    def decorate(query: Callable[[Testbed], DataFrame]):
+        _add(name, query, pipeline_oracles.oracle(name))
+        return query
+
+    return decorate
+
+
+# --- sources and sinks -------------------------------------------------------------------------------
+
+
+@_pipeline("src_airlines")
+def _src_airlines(bed):
+    path = bed.write_csv(bed.airlines, "airlines-csv")
+    return files.read_airlines(bed.spark, path)
+
+
+@_pipeline("src_airports")
+def _src_airports(bed):
+    path = bed.write_csv(bed.airports, "airports-csv", ["NULL", "n/a"])
+    return files.read_airports(bed.spark, path)
+
+
+@_pipeline("src_flights")
+def _src_flights(bed):
+    return bed.flights_from_csv
+
+
+@_pipeline("src_row_count")
+def _src_row_count(bed):
+    return files.row_count(bed.flights_from_csv)
+
+
+@_pipeline("src_null_tokens")
+def _src_null_tokens(bed):
+    text = files.read_text_csv(bed.spark, bed.flights_csv)
+    columns = ["AIRLINE", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "CANCELLATION_REASON", "WEATHER_DELAY"]
+    return text.agg(
+        *[F.count_if(files.null_tokens_to_null(F.col(c)).isNull()).alias(c.lower()) for c in columns]
+    )
+
+
+@_pipeline("src_backslash_n")
+def _src_backslash_n(bed):
+    circuits = bed.sql(mapping.CIRCUITS_SQL)
+    path = fresh_path(bed.spark, "circuits-csv")
+    (
+        circuits.write.option("header", True)
+        .option("nullValue", "\\N")
+        .option("quoteAll", True)
+        .option("escape", '"')
+        .csv(path)
+    )
+    return files.read_backslash_n(bed.spark, path, schemas.CIRCUITS)
+
+
+@_pipeline("sample_first_n")
+def _sample_first_n(bed):
+    return files.first_rows(bed.flights, 1000)
+
+
+@_pipeline("sink_append")
+def _sink_append(bed):
+    path = fresh_path(bed.spark, "append")
+    first_half = F.col("MONTH") <= 6
+    tables.append(bed.flights.filter(first_half), path, ["YEAR", "MONTH"])
+    tables.append(bed.flights.filter(~first_half), path, ["YEAR", "MONTH"])
+    tables.append(bed.flights.filter(F.lit(False)), path, ["YEAR", "MONTH"])
+    return bed.spark.read.schema(bed.flights.schema).parquet(path)
+
+
+@_pipeline("sink_fact")
+def _sink_fact(bed):
+    path = fresh_path(bed.spark, "fact")
+    fact = facts.build_fact(bed.flights, bed.star)
+    tables.append_fact(fact, path)
+    return bed.spark.read.schema(fact.schema).parquet(path)
+
+
+@_pipeline("sink_load_once")
+def _sink_load_once(bed):
+    path = fresh_path(bed.spark, "load-once")
+    later = bed.airlines.filter("IATA_CODE >= 'M'")
+    dims.build_airlines(later).write.parquet(path)
+    everything = dims.build_airlines(bed.airlines)
+    tables.load_once(bed.spark, everything, path, "airline_code", "airline_key")
+    return tables.load_once(bed.spark, everything, path, "airline_code", "airline_key")
+
+
+@_pipeline("ingest_batches")
+def _ingest_batches(bed):
+    load = ingest.new_ingest(bed.spark, bed.flights_csv, bed.star, max_files=4)
+    load.run()
+    return load.fact().select(*[c for c in bed.star.fact.columns if c not in ("year", "month")])
+
+
+@_pipeline("ingest_resume")
+def _ingest_resume(bed):
+    """Two runs over one checkpoint: the second one reads only the files added in between."""
+    source = fresh_path(bed.spark, "arriving-csv")
+    first_half = F.col("MONTH") <= 6
+    load = ingest.new_ingest(bed.spark, source, bed.star)
+    for part in (bed.flights.filter(first_half), bed.flights.filter(~first_half)):
+        part.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(source)
+        replace(load).run()  # a new object, as after a restart
+    return load.fact().select(*[c for c in bed.star.fact.columns if c not in ("year", "month")])
+
+
+# --- profiling ---------------------------------------------------------------------------------------
+
+
+@_pipeline("check_required_columns")
+def _check_required_columns(bed):
+    return quality.required_columns_report(
+        {
+            "airlines": (bed.airlines, schemas.REQUIRED["airlines"]),
+            "airports": (bed.airports, schemas.REQUIRED["airports"]),
+            "flights": (bed.flights, schemas.REQUIRED["flights"]),
+            "flights without carrier": (bed.flights.drop("AIRLINE"), schemas.REQUIRED["flights"]),
+        }
+    )
+
+
+@_pipeline("check_sources")
+def _check_sources(bed):
+    return quality.check_sources(
+        bed.spark,
+        {
+            "flights": bed.flights_csv,
+            "airports": bed.write_csv(bed.airports, "airports-csv"),
+            "absent": fresh_path(bed.spark, "absent"),
+        },
+    )
+
+
+@_pipeline("source_summary")
+def _source_summary(bed):
+    return quality.source_summary(bed.airlines, bed.airports, bed.flights)
+
+
+@_pipeline("profile_columns")
+def _profile_columns(bed):
+    return quality.profile_columns(bed.flights)
+
+
+@_pipeline("fill_factor")
+def _fill_factor(bed):
+    return quality.fill_factor(bed.flights)
+
+
+@_pipeline("dim_summary")
+def _dim_summary(bed):
+    return quality.dim_summary(bed.star)
+
+
+@_pipeline("fact_summary")
+def _fact_summary(bed):
+    return quality.fact_summary(bed.star.fact)
+
+
+@_pipeline("bad_rows")
+def _bad_rows(bed):
+    return quality.bad_rows(bed.flights)
+
+
+@_pipeline("extreme_delays")
+def _extreme_delays(bed):
+    return quality.extreme_delays(bed.star.fact, early=-30, late=200)
+
+
+@_pipeline("unmapped_codes")
+def _unmapped_codes(bed):
+    return quality.unmapped_codes(facts.add_hour(facts.add_date_key(facts.clean(bed.flights))), bed.star)
+
+
+@_pipeline("table_stats")
+def _table_stats(bed):
+    return tables.table_stats(bed.spark, bed.warehouse_path)
+
+
+# --- dimensions ------------------------------------------------------------------------------------------
+
+
+def _flight_dates(bed) -> DataFrame:
+    date = clocks.calendar_date(F.col("YEAR"), F.col("MONTH"), F.col("DAY"))
+    return bed.flights.select(date.alias("flight_date")).filter(F.col("flight_date").isNotNull())
+
+
+def _flights() -> Column:
+    return F.count(F.lit(1)).alias("flights")
+
+
+def _flights_per_hour(bed) -> DataFrame:
+    return bed.flights.groupBy(clocks.nearest_hour(F.col("SCHEDULED_DEPARTURE")).alias("hour")).agg(_flights())
+
+
+def _with_flights(dim: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    joined = dim.join(counts, key, "left")
+    return joined.select(*dim.columns, F.coalesce("flights", F.lit(0)).alias("flights"))
+
+
+@_pipeline("dim_airline")
+def _dim_airline(bed):
+    return dims.build_airlines(bed.airlines)
+
+
+@_pipeline("airline_type")
+def _airline_type(bed):
+    per_airline = bed.star.fact.groupBy("airline_key").agg(_flights())
+    named = per_airline.join(bed.star.airline, "airline_key")
+    return named.groupBy(rules.airline_type(F.col("airline_name")).alias("airline_type")).agg(
+        F.count(F.lit(1)).alias("airlines"), F.sum("flights").alias("flights")
+    )
+
+
+@_pipeline("dim_airport")
+def _dim_airport(bed):
+    return dims.build_airports(bed.airports)
+
+
+@_pipeline("airport_timezone")
+def _airport_timezone(bed):
+    per_airport = bed.star.fact.groupBy(F.col("origin_airport_key").alias("airport_key")).agg(_flights())
+    located = per_airport.join(bed.star.airport, "airport_key")
+    return located.groupBy(rules.airport_timezone(F.col("state")).alias("timezone")).agg(
+        F.count(F.lit(1)).alias("airports"), F.sum("flights").alias("flights")
+    )
+
+
+@_pipeline("airport_size")
+def _airport_size(bed):
+    return dims.size_by_volume(bed.star.airport, bed.flights)
+
+
+@_pipeline("dim_date")
+def _dim_date(bed):
+    bounds = _flight_dates(bed).agg(F.min("flight_date").alias("first"), F.max("flight_date").alias("last"))
+    return dims.calendar(bounds)
+
+
+@_pipeline("is_holiday")
+def _is_holiday(bed):
+    per_day = _flight_dates(bed).groupBy("flight_date").agg(_flights())
+    return per_day.withColumn("is_holiday", rules.is_holiday(F.col("flight_date")))
+
+
+@_pipeline("season")
+def _season(bed):
+    return bed.flights.groupBy(rules.season(F.col("MONTH")).alias("season")).agg(_flights())
+
+
+@_pipeline("is_business_day")
+def _is_business_day(bed):
+    per_day = _flight_dates(bed).groupBy("flight_date").agg(_flights())
+    flagged = per_day.select("flights", *dims.calendar_columns("flight_date", rules.HOLIDAYS_2015))
+    return flagged.groupBy("is_business_day").agg(
+        F.count(F.lit(1)).alias("days"), F.sum("flights").alias("flights")
+    )
+
+
+@_pipeline("dim_time")
+def _dim_time(bed):
+    return _with_flights(dims.build_times(bed.spark), _flights_per_hour(bed), "hour")
+
+
+@_pipeline("dim_time_seed")
+def _dim_time_seed(bed):
+    return _with_flights(dims.build_times(bed.spark, "seed"), _flights_per_hour(bed), "hour")
+
+
+@_pipeline("hour_category")
+def _hour_category(bed):
+    category = rules.hour_category(F.col("hour")).alias("hour_category")
+    return _flights_per_hour(bed).groupBy(category).agg(F.sum("flights").alias("flights"))
+
+
+@_pipeline("time_period")
+def _time_period(bed):
+    period = rules.time_period(F.col("hour")).alias("time_period")
+    return _flights_per_hour(bed).groupBy(period).agg(F.sum("flights").alias("flights"))
+
+
+def _flights_per_cause(bed) -> DataFrame:
+    cause = rules.primary_cause(F.col("departure_delay_minutes")).alias("cause_code")
+    return facts.clean(bed.flights).groupBy(cause).agg(_flights())
+
+
+@_pipeline("dim_delay_cause")
+def _dim_delay_cause(bed):
+    return _with_flights(dims.build_causes(bed.spark), _flights_per_cause(bed), "cause_code")
+
+
+@_pipeline("dim_delay_cause_seed")
+def _dim_delay_cause_seed(bed):
+    return _with_flights(dims.build_delay_causes(bed.spark), _flights_per_cause(bed), "cause_code")
+
+
+# --- fact steps ------------------------------------------------------------------------------------------
+
+
+@_pipeline("fact_clean")
+def _fact_clean(bed):
+    return facts.clean(bed.flights)
+
+
+@_pipeline("fact_date_key")
+def _fact_date_key(bed):
+    return facts.add_date_key(facts.clean(bed.flights)).select("flight_key", "flight_date", "date_key")
+
+
+@_pipeline("hhmm_to_hour")
+def _hhmm_to_hour(bed):
+    clock = F.col("SCHEDULED_DEPARTURE").alias("scheduled_departure")
+    per_clock = bed.flights.groupBy(clock).agg(_flights())
+    return per_clock.withColumn("hour", clocks.nearest_hour(F.col("scheduled_departure")))
+
+
+@_pipeline("resolve_airline")
+def _resolve_airline(bed):
+    keyed = facts.resolve_airline(facts.clean(bed.flights), bed.star.airline)
+    return keyed.select("flight_key", "airline_key")
+
+
+@_pipeline("resolve_airports")
+def _resolve_airports(bed):
+    keyed = facts.resolve_airports(facts.clean(bed.flights), bed.star.airport)
+    return keyed.select("flight_key", "origin_airport_key", "destination_airport_key")
+
+
+@_pipeline("resolve_time")
+def _resolve_time(bed):
+    keyed = facts.resolve_time(facts.add_hour(facts.clean(bed.flights)), bed.star.time)
+    return keyed.select("flight_key", "departure_hour", "departure_time_key")
+
+
+@_pipeline("delay_metrics")
+def _delay_metrics(bed):
+    metrics = facts.delay_metrics()
+    return facts.clean(bed.flights).withColumns(metrics).select("flight_key", *metrics)
+
+
+@_pipeline("primary_cause")
+def _primary_cause(bed):
+    caused = facts.resolve_cause(facts.clean(bed.flights), bed.star.cause)
+    return caused.select("flight_key", "primary_cause", "delay_cause_key")
+
+
+@_pipeline("business_flags")
+def _business_flags(bed):
+    flags = facts.business_flags()
+    return facts.add_date_key(facts.clean(bed.flights)).withColumns(flags).select("flight_key", *flags)
+
+
+@_pipeline("fact_finalize")
+def _fact_finalize(bed):
+    return facts.build_fact(bed.flights, bed.star).select(*facts.LOADED_COLUMNS)
+
+
+@_pipeline("total_delay")
+def _total_delay(bed):
+    return facts.build_fact(bed.flights, bed.star).select("flight_key", "total_delay_minutes")
+
+
+@_pipeline("delay_severity")
+def _delay_severity(bed):
+    return facts.build_fact(bed.flights, bed.star).select("flight_key", "delay_severity_category")
+
+
+@_pipeline("fact_flights")
+def _fact_flights(bed):
+    return facts.build_fact(bed.flights, bed.star)
+
+
+@_pipeline("lookup_codes")
+def _lookup_codes(bed):
+    codes = {
+        "airline": ("airline_code", "airline_key"),
+        "airport": ("airport_code", "airport_key"),
+        "date": ("date", "date_key"),
+        "time": ("time_value", "time_key"),
+        "cause": ("cause_code", "delay_cause_key"),
+    }
+    parts = [
+        dims.code_lookup(dim, *codes[name]).select(
+            F.lit(name).alias("dimension"), F.col("code").cast("string").alias("code"), "key"
         )
+        for name, dim in bed.star.dims().items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# --- integrity, on a star that was damaged on purpose ---------------------------------------------------
+
+
+def _incomplete(star: Star) -> Star:
+    """The star with one member missing in every dimension."""
+    return replace(
+        star,
+        airline=star.airline.filter("airline_code <> 'DL'"),
+        airport=star.airport.filter("airport_code <> 'P3'"),
+        date=star.date.filter("month <> 3"),
+        time=star.time.filter("hour <> 7"),
+        cause=star.cause.filter("cause_code <> 'WEATHER'"),
+    )
+
+
+def _repeated(star: Star) -> Star:
+    """The star with one member repeated in every dimension."""
+    missing = _incomplete(star).dims()
+    return replace(star, **{n: d.unionByName(d.exceptAll(missing[n])) for n, d in star.dims().items()})
+
+
+def _spoilt(star: Star) -> DataFrame:
+    reason = F.when(F.col("flight_number") % 3 != 0, F.col("cancellation_reason"))
+    return star.fact.withColumns(
+        {
+            "distance_miles": F.col("distance_miles") - 400,
+            "scheduled_elapsed_minutes": F.col("scheduled_elapsed_minutes") - 90,
+            "departure_delay_minutes": F.col("departure_delay_minutes") * 8,
+            "reported_departure_delay": F.when(
+                F.col("flight_number") % 5 != 0, F.col("reported_departure_delay")
+            ),
+            "cancellation_reason": reason.when(F.col("flight_number") % 2 == 0, "X"),
+        }
+    )
+
+
+for _name, _check in {**integrity.ORPHAN_CHECKS, "fk_time": integrity.fk_time}.items():
+    _pipeline(_name)(lambda bed, check=_check: check(_incomplete(bed.star)))
+
+for _name in integrity.VALUE_RULES:
+    _pipeline(_name)(lambda bed, rule=_name: integrity.value_violations(_spoilt(bed.star), rule))
+
+
+@_pipeline("integrity_report")
+def _integrity_report(bed):
+    return integrity.integrity_report(replace(_incomplete(bed.star), fact=_spoilt(bed.star)))
+
+
+@_pipeline("unique_codes")
+def _unique_codes(bed):
+    return integrity.duplicate_codes(_repeated(bed.star))
+
 
+# --- views and examples ----------------------------------------------------------------------------------
 
-_register_views()
+for _name, _view in views.VIEWS.items():
+    _options = VIEW_OPTIONS.get(_name, {})
+    _add(
+        _name,
+        lambda bed, view=_view, options=_options: view(bed.star, **options),
+        view_oracles.view_oracle(_name, **_options),
+    )
+
+_EXAMPLES = {
+    "ex_avg_delay_by_airline": lambda bed: examples.avg_delay_by_airline(bed.star),
+    "ex_delay_by_origin": lambda bed: examples.delay_by_origin(bed.star),
+    "ex_weather_by_month": lambda bed: examples.weather_by_month(bed.star),
+    "ex_worst5_airlines": lambda bed: examples.worst_airlines(bed.star),
+    "ex_peak_cells": lambda bed: examples.peak_cells(bed.star, min_flights=20),
+    "ex_weather_by_season": lambda bed: examples.weather_by_season(bed.star),
+    "ex_recent_trends": lambda bed: examples.recent_trends(bed.star),
+}
+for _name, _query in _EXAMPLES.items():
+    _add(_name, _query, view_oracles.example_oracle(_name))
+
+
+# --- exploration -----------------------------------------------------------------------------------------
+
+
+def _explored(bed) -> DataFrame:
+    return eda.explored(bed.flights)
+
+
+def _analysed(bed) -> DataFrame:
+    return eda.analysis_flights(_explored(bed))
+
+
+def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({c: kpi.half_up(F.col(c), digits) for c in columns})
+
+
+CARRIERS = [code for code, _ in mapping.AIRLINES]
+
+_EDA = {
+    "eda_month_filter": lambda bed: eda.month_filter(bed.flights, 1),
+    "eda_origin_counts": lambda bed: eda.origin_counts(_explored(bed)),
+    "eda_flight_date": lambda bed: eda.flight_dates(_explored(bed)),
+    "eda_clock": lambda bed: eda.clock_values(_explored(bed)),
+    "eda_departure_ts": lambda bed: eda.departure_timestamps(_explored(bed)),
+    "eda_clean": lambda bed: eda.clean(_explored(bed)),
+    "eda_airline_stats": lambda bed: eda.airline_stats(_analysed(bed)),
+    "eda_airline_share": lambda bed: eda.airline_share(_analysed(bed)),
+    "eda_delay_level": lambda bed: eda.delay_levels(_analysed(bed)),
+    "eda_delay_histogram": lambda bed: eda.delay_histogram(_analysed(bed)),
+    "eda_delay_exp_fit": lambda bed: eda.delay_exp_fit(_analysed(bed)),
+    "eda_dep_vs_arr": lambda bed: eda.departure_vs_arrival(_analysed(bed)),
+    "eda_airport_count": lambda bed: eda.airport_count(_analysed(bed)),
+    "eda_airports_per_airline": lambda bed: eda.airports_per_airline(_analysed(bed)),
+    "eda_route_volume": lambda bed: eda.route_volume(_analysed(bed), bed.airports),
+    "eda_airport_carrier_pivot": lambda bed: eda.airport_carrier_pivot(_analysed(bed), CARRIERS),
+    "eda_route_delay": lambda bed: eda.route_delay(_analysed(bed)),
+    "eda_airport_series": lambda bed: eda.airport_series(_analysed(bed)),
+    "eda_time_of_day": lambda bed: eda.time_of_day(_analysed(bed)),
+    "eda_quadratic_fit": lambda bed: _rounded(eda.quadratic_fit(eda.time_of_day(_analysed(bed))), 6, "fit"),
+    "eda_airport_census": lambda bed: eda.airport_census(_analysed(bed)),
+}
+for _name, _query in _EDA.items():
+    _add(_name, _query, eda_oracles.oracle(_name))
+
+
+# --- models ----------------------------------------------------------------------------------------------
+
+CUTOFF = "2015-10-01"
+CARRIER = "AA"
+
+
+def _by_time(bed) -> DataFrame:
+    return models.mean_delay_by_time(_analysed(bed), remove_extremes=True)
+
+
+def _merged(bed, part: str = "all") -> DataFrame:
+    """Mean delays of one carrier over all its airports, written out once for repeated fits."""
+    flights = _analysed(bed)
+    if part != "all":
+        flights = dict(zip(("train", "test"), models.time_split(flights, CUTOFF)))[part]
+    merged = models.merged_delays(flights.filter(F.col("airline") == CARRIER)).drop("airline")
+    return cut_lineage(bed.spark, merged, f"merged-{part}")
+
+
+def _route_times(bed, part: str) -> DataFrame:
+    flights = dict(zip(("train", "test"), models.time_split(_analysed(bed), CUTOFF)))[part]
+    reduced = models.dep_arr_features(flights.filter(F.col("airline") == CARRIER)).drop("airline")
+    return cut_lineage(bed.spark, reduced, f"route-times-{part}")
+
+
+def _ols(bed, order: int) -> DataFrame:
+    merged = _merged(bed)
+    return models.fit_delays(merged, order=order).predict(merged)
+
+
+def _large_errors(bed) -> DataFrame:
+    parts = [
+        models.large_error_share(_ols(bed, order)).withColumn("polynomial_order", F.lit(order)) for order in (1, 2)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _one_hot(bed) -> DataFrame:
+    """The sparse vectors as (size, position of the airport), next to the other columns."""
+    encoded = models.one_hot(_merged(bed)).withColumn("_dense", vector_to_array("features"))
+    return encoded.select(
+        "airport_id",
+        "departure_seconds",
+        "mean",
+        "airport_index",
+        F.size("_dense").alias("feature_count"),
+        (F.array_position("_dense", 1.0) - 1).cast("int").alias("active_position"),
+    )
+
+
+def _grid(bed) -> models.GridResult:
+    return models.grid_search(_merged(bed, "train"))
+
+
+def _residuals(bed) -> DataFrame:
+    train, test = models.split_merged(_merged(bed))
+    scored = models.fit_delays(train, order=2).predict(test)
+    return models.residual_terms(scored, at_least=400.0)
+
+
+def _refit(bed) -> DataFrame:
+    merged = _merged(bed, "train")
+    model = models.refit_best(merged, models.grid_search(merged))
+    return models.mse(model.predict(merged)).withColumns(
+        {"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)}
+    )
+
+
+def _applied(bed) -> DataFrame:
+    model = models.fit_delays(_merged(bed, "train"), order=2, alpha=0.2)
+    return model.predict(_merged(bed, "test"))
+
+
+def _ridge(bed) -> DataFrame:
+    train, test = models.split_merged(_merged(bed))
+    return models.mse(models.fit_delays(train, order=2, alpha=0.3).predict(test))
+
+
+def _model3(bed) -> DataFrame:
+    model, _, scored = models.route_time_model(_route_times(bed, "train"), _route_times(bed, "test"))
+    return models.mse(scored).withColumns({"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)})
+
+
+def _poly_fit(bed) -> DataFrame:
+    fits = models.poly_fit(_by_time(bed), 2, "all")
+    c = F.col("coefficients")
+    return _rounded(
+        fits.select("airline", "origin", "train_points", *[c[k].alias(f"c{k}") for k in range(3)], "mse"),
+        4, "c0", "c1", "c2", "mse",
+    )
+
+
+_MODELS = {
+    "ml_time_split": lambda bed: models.split_summary(_analysed(bed)),
+    "ml_mean_delay_by_time": lambda bed: models.mean_delay_by_time(_analysed(bed)),
+    "ml_linear_fit": lambda bed: models.linear_fit(models.mean_delay_by_time(_analysed(bed))),
+    "ml_outlier_effect": lambda bed: models.outlier_effect(_analysed(bed)),
+    "ml_poly_fit": _poly_fit,
+    "ml_poly_cv": lambda bed: models.poly_cv(_by_time(bed)),
+    "ml_split_bias": lambda bed: models.split_bias(_by_time(bed)),
+    "ml_eval_holdout": lambda bed: models.eval_holdout(_analysed(bed), CUTOFF),
+    "ml_merged_delays": lambda bed: models.merged_delays(_analysed(bed)),
+    "ml_airport_index": lambda bed: models.airport_index(_merged(bed)),
+    "ml_one_hot": _one_hot,
+    "ml_ols_all_airports": lambda bed: _rounded(_ols(bed, 1), 4, "prediction"),
+    "ml_large_error_share": _large_errors,
+    "ml_poly_all_airports": lambda bed: _rounded(_ols(bed, 2), 4, "prediction"),
+    "ml_split_eval": lambda bed: models.split_eval(_merged(bed)),
+    "ml_residual_terms": _residuals,
+    "ml_ridge": _ridge,
+    "ml_grid_search": lambda bed: _grid(bed).to_frame(bed.spark),
+    "ml_refit_best": _refit,
+    "ml_apply_train_labels": _applied,
+    "ml_dep_arr_features": lambda bed: models.dep_arr_features(_analysed(bed)),
+    "ml_model3": _model3,
+    "ml_pred_vs_obs": lambda bed: models.predicted_vs_observed(_ols(bed, 1)),
+}
+for _name, _query in _MODELS.items():
+    _add(_name, _query, model_oracles.oracle(_name))
 
 
 def _bound(query: Callable[[Testbed], DataFrame]) -> Query:
