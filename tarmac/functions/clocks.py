@@ -16,52 +16,42 @@ def hhmm_number(clock: Column) -> Column:
     return F.when(number.between(0, 9999), number)
 
 
-def nearest_hour(clock: Column) -> Column:
-    """Hour slot 0..23 closest to an HHMM clock; missing or unparseable clocks fall to hour 0."""
-    number = hhmm_number(clock)
-    hour = _div(number, 100) % 24
-    minute = number % 100
-    rounds_up = minute.between(30, 59)
-    return F.coalesce(F.when(rounds_up, (hour + 1) % 24).otherwise(hour), F.lit(0)).cast("int")
-
-
-def seconds_of_day(clock: Column) -> Column:
-    """Seconds since midnight; 2400 counts as midnight, impossible clocks are null."""
-    number = hhmm_number(clock)
-    hour, minute = _div(number, 100), number % 100
-    return (
-        F.when(number == 2400, F.lit(0))
-        .when((hour < 24) & (minute < 60), hour * 3600 + minute * 60)
-        .cast("int")
-    )
+def nearest_hour(number: Column) -> Column:
+    """Hour slot 0..23 closest to a clock number; missing clocks fall to hour 0."""
+    rounds_up = (number % 100).between(30, 59).cast("int")
+    return F.coalesce((_div(number, 100) + rounds_up) % 24, F.lit(0)).cast("int")
+
 
+def seconds_of_day(number: Column) -> Column:
+    """Seconds since midnight of a clock number; 2400 is midnight, impossible clocks are null."""
+    possible = (number <= 2400) & (number % 100 < 60)
+    # 100 h + m minutes-as-digits are 60 (100 h + m) - 2400 h seconds
+    return F.when(possible, (number * 60 - _div(number, 100) * 2400) % 86400).cast("int")
 
-def clock_text(clock: Column) -> Column:
-    """``HH:MM:SS`` text of an HHMM clock."""
-    s = seconds_of_day(clock)
+
+def clock_text(seconds: Column) -> Column:
+    """``HH:MM:SS`` text of the seconds of a day."""
     return F.concat(
-        F.lpad(_div(s, 3600).cast("string"), 2, "0"),
+        F.lpad(_div(seconds, 3600).cast("string"), 2, "0"),
         F.lit(":"),
-        F.lpad(_div(s % 3600, 60).cast("string"), 2, "0"),
+        F.lpad(_div(seconds % 3600, 60).cast("string"), 2, "0"),
         F.lit(":00"),
     )
 
 
-def clock_timestamp(date: Column, clock: Column) -> Column:
-    """Date and HHMM clock as one timestamp; 2400 is midnight of the next day."""
-    day = F.when(hhmm_number(clock) == 2400, F.date_add(date, 1)).otherwise(date)
-    return day.cast("timestamp_ntz") + F.make_dt_interval(secs=seconds_of_day(clock).cast("decimal(18,6)"))
+def clock_timestamp(date: Column, number: Column) -> Column:
+    """Date and clock number as one timestamp; 2400 is midnight of the next day."""
+    day = F.when(number == 2400, F.date_add(date, 1)).otherwise(date)
+    seconds = seconds_of_day(number).cast("decimal(18,6)")
+    return day.cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def calendar_date(year: Column, month: Column, day: Column) -> Column:
     """Date from its parts; an impossible date such as 30 February is null."""
-    text = F.concat_ws(
-        "-",
-        F.lpad(year.cast("string"), 4, "0"),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.lpad(day.cast("string"), 2, "0"),
-    )
-    return F.try_to_date(text, "yyyy-MM-dd")
+    plausible = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
+    # Counting days from the first of the month runs into the next month if the day does not exist.
+    date = F.when(plausible, F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
+    return F.when(F.month(date) == month, date)
 
 
 def date_key(date: Column) -> Column:

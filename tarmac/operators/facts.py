@@ -81,7 +81,12 @@ def add_date_key(cleaned: DataFrame) -> DataFrame:
 
 
 def add_hour(flights: DataFrame) -> DataFrame:
-    return flights.withColumn("departure_hour", clocks.nearest_hour(F.col("scheduled_departure")))
+    # The clock is parsed in its own step, so that the parse runs once per row.
+    return (
+        flights.withColumn("_clock", clocks.hhmm_number(F.col("scheduled_departure")))
+        .withColumn("departure_hour", clocks.nearest_hour(F.col("_clock")))
+        .drop("_clock")
+    )
 
 
 def _lookup(flights: DataFrame, dim: DataFrame, code: str, key: str, on: str, to: str, how: str) -> DataFrame:

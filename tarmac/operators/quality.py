@@ -190,21 +190,32 @@ def extreme_delays(fact: DataFrame, early: int = -600, late: int = 1440) -> Data
 def unmapped_codes(placed: DataFrame, star) -> DataFrame:
     """(dimension, unmapped_codes, unmapped_rows): codes of cleaned flights missing in a dimension.
 
-    Codes are counted before the anti join, so only distinct codes meet the dimension.
+    One pass counts the codes of all roles; only distinct codes meet the dimensions.
     """
     roles = [
-        ("airline", "airline_code", star.airline.select(F.col("airline_code").alias("code"))),
-        ("origin", "origin_code", star.airport.select(F.col("airport_code").alias("code"))),
-        ("destination", "destination_code", star.airport.select(F.col("airport_code").alias("code"))),
-        ("time", "departure_hour", star.time.select(F.col("hour").cast("string").alias("code"))),
+        ("airline", "airline_code", star.airline.select("airline_code")),
+        ("origin", "origin_code", star.airport.select("airport_code")),
+        ("destination", "destination_code", star.airport.select("airport_code")),
+        ("time", "departure_hour", star.time.select(F.col("hour").cast("string"))),
     ]
-
-    def part(name: str, column: str, known: DataFrame) -> DataFrame:
-        codes = placed.groupBy(F.col(column).cast("string").alias("code")).agg(F.count(F.lit(1)).alias("n"))
-        return codes.join(known, "code", "left_anti").agg(
-            F.lit(name).alias("dimension"),
-            F.count(F.lit(1)).alias("unmapped_codes"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("unmapped_rows"),
-        )
-
-    return reduce(DataFrame.unionByName, [part(*role) for role in roles])
+    used = F.array(
+        *[
+            F.struct(F.lit(name).alias("dimension"), F.col(column).cast("string").alias("code"))
+            for name, column, _ in roles
+        ]
+    )
+    codes = (
+        placed.select(F.explode(used).alias("_use"))
+        .groupBy("_use.dimension", "_use.code")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        [dim.toDF("code").withColumn("dimension", F.lit(name)) for name, _, dim in roles],
+    )
+    missing = codes.join(known.withColumn("_known", F.lit(True)), ["dimension", "code"], "left")
+    unknown = F.col("_known").isNull()
+    return missing.groupBy("dimension").agg(
+        F.count_if(unknown).alias("unmapped_codes"),
+        F.coalesce(F.sum(F.when(unknown, F.col("n"))), F.lit(0)).alias("unmapped_rows"),
+    )

@@ -60,10 +60,12 @@ SQL["eda_airline_share"] = f"""SELECT airline, flights,
   FROM (SELECT carrier AS airline, count(*) AS flights, avg(delay) AS m FROM analysed GROUP BY 1)"""
 SQL["eda_delay_level"] = """SELECT carrier AS airline, CASE WHEN delay <= 5 THEN 0 WHEN delay <= 45 THEN 1 ELSE 2 END
   AS delay_level, count(*) AS flights FROM analysed GROUP BY 1, 2"""
-SQL["eda_delay_histogram"] = """SELECT airline, bin, bin * 2.75::DOUBLE + 16.375::DOUBLE AS center, n,
-  n / (CAST(sum(n) OVER (PARTITION BY airline) AS DOUBLE) * 2.75::DOUBLE) AS density
-  FROM (SELECT carrier AS airline, CAST(least((delay - 15) * 4 // 11, 59) AS INT) AS bin, count(*) AS n
-    FROM analysed WHERE delay BETWEEN 15 AND 180 GROUP BY 1, 2)"""
+SQL["eda_delay_histogram"] = """SELECT airline, bin, bin * 2.75::DOUBLE + 16.375::DOUBLE AS center,
+  coalesce(n, 0) AS n, coalesce(n, 0) / (CAST(total AS DOUBLE) * 2.75::DOUBLE) AS density
+  FROM (SELECT carrier AS airline, count(*) AS total FROM analysed WHERE delay BETWEEN 15 AND 180 GROUP BY 1) a
+  CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range(60)) b
+  LEFT JOIN (SELECT carrier AS airline, CAST(least((delay - 15) * 4 // 11, 59) AS INT) AS bin, count(*) AS n
+    FROM analysed WHERE delay BETWEEN 15 AND 180 GROUP BY 1, 2) c USING (airline, bin)"""
 SQL["eda_dep_vs_arr"] = """SELECT carrier AS airline, avg(delay) AS mean_departure_delay,
   avg(arr_delay) AS mean_arrival_delay FROM analysed GROUP BY 1"""
 SQL["eda_airport_count"] = "SELECT count(DISTINCT origin) AS airports FROM analysed"
@@ -81,7 +83,7 @@ SQL["eda_route_delay"] = f"""SELECT *, least(mean_delay + 15, std_delay) AS std_
   SELECT carrier AS airline, origin || '-' || destination AS route, count(*) AS flights,
     avg(least(delay, 90)) AS mean_delay, {std("least(delay, 90)")} AS std_delay FROM analysed GROUP BY 1, 2)"""
 SQL["eda_airport_series"] = """SELECT departure_ts, FLIGHT_NUMBER, TAIL_NUMBER, delay, departure_seconds
-  FROM analysed WHERE carrier = 'WN' AND origin = 'P4' AND arr_delay > 0"""
+  FROM analysed WHERE carrier = 'WN' AND origin = 'P5' AND arr_delay > 0"""
 SQL["eda_time_of_day"] = f"SELECT departure_seconds, {STATS} FROM analysed GROUP BY 1"
 _FIT = "my + (szz * sxy - sxz * szy) / (sxx * szz - sxz * sxz) * (x - mx) + (sxx * szy - sxz * sxy) / (sxx * szz - sxz * sxz) * (x * x - mz)"
 SQL["eda_quadratic_fit"] = f"""

@@ -33,9 +33,9 @@ _DAYS = {
 _CARRIER = " ".join(f"WHEN {i} THEN '{code}'" for i, (code, _) in enumerate(AIRLINES))
 
 
-def _hhmm(minutes: str) -> str:
-    m = f"(({minutes}) % 1440)"
-    return f"lpad(CAST(CAST({m} % 60 + ({m} - {m} % 60) / 60 * 100 AS INT) AS STRING), 4, '0')"
+def _hhmm(minute: str) -> str:
+    """HHMM text of a minute of the day (0..1439): every full hour adds 40 to the number."""
+    return f"lpad(CAST(CAST({minute} + ({minute} - {minute} % 60) * 2 / 3 AS INT) AS STRING), 4, '0')"
 
 
 def _unless_cancelled(expression: str) -> str:
@@ -50,12 +50,6 @@ def _cause(lines: str) -> str:
     return _double(f"CASE WHEN b.cancelled = 0 AND b.dly > 15 AND b.ln IN ({lines}) THEN b.dly END")
 
 
-_ROUTE = "(b.o_id * 12 + b.d_id)"
-_START = "(b.hh * 60 + b.mi)"
-_OUT, _IN = "(5 + b.qty % 20)", "(2 + b.qty % 9)"
-_ARRIVAL_DELAY = "(b.dly - b.qty + 20)"
-
-
 def flights_sql(engine: str) -> str:
     return f"""
 SELECT 2015 AS YEAR,
@@ -69,20 +63,20 @@ SELECT 2015 AS YEAR,
   CASE WHEN b.pk % 97 = 0 THEN '10397' ELSE concat('P', CAST(b.o_id AS STRING)) END AS ORIGIN_AIRPORT,
   CASE WHEN b.pk % 223 = 0 THEN NULL ELSE concat('P', CAST(b.d_id AS STRING)) END AS DESTINATION_AIRPORT,
   CASE WHEN b.pk % 101 = 0 THEN NULL WHEN b.pk % 103 = 0 THEN 'abc'
-       WHEN b.hh = 0 AND b.mi = 0 THEN '2400' ELSE {_hhmm(_START)} END AS SCHEDULED_DEPARTURE,
-  {_unless_cancelled(_hhmm(f"{_START} + b.dly + 1440"))} AS DEPARTURE_TIME,
+       WHEN b.hh = 0 AND b.mi = 0 THEN '2400' ELSE {_hhmm("b.start_minute")} END AS SCHEDULED_DEPARTURE,
+  {_unless_cancelled(_hhmm("b.departure_minute"))} AS DEPARTURE_TIME,
   {_double(_unless_cancelled("b.dly"))} AS DEPARTURE_DELAY,
-  {_double(_unless_cancelled(_OUT))} AS TAXI_OUT,
-  {_unless_cancelled(_hhmm(f"{_START} + b.dly + {_OUT} + 1440"))} AS WHEELS_OFF,
-  {_double(f"60 + {_ROUTE}")} AS SCHEDULED_TIME,
-  {_double(_unless_cancelled(f"60 + {_ROUTE} - b.qty + 20"))} AS ELAPSED_TIME,
-  {_double(_unless_cancelled(f"30 + {_ROUTE}"))} AS AIR_TIME,
-  100 + {_ROUTE} * 9 AS DISTANCE,
-  {_unless_cancelled(_hhmm(f"{_START} + 60 + {_ROUTE} + {_ARRIVAL_DELAY} - {_IN} + 1440"))} AS WHEELS_ON,
-  {_double(_unless_cancelled(_IN))} AS TAXI_IN,
-  {_hhmm(f"{_START} + 60 + {_ROUTE}")} AS SCHEDULED_ARRIVAL,
-  {_unless_cancelled(_hhmm(f"{_START} + 60 + {_ROUTE} + {_ARRIVAL_DELAY} + 1440"))} AS ARRIVAL_TIME,
-  {_double(_unless_cancelled(_ARRIVAL_DELAY))} AS ARRIVAL_DELAY,
+  {_double(_unless_cancelled("b.taxi_out"))} AS TAXI_OUT,
+  {_unless_cancelled(_hhmm("b.off_minute"))} AS WHEELS_OFF,
+  {_double("60 + b.route")} AS SCHEDULED_TIME,
+  {_double(_unless_cancelled("60 + b.route - b.qty + 20"))} AS ELAPSED_TIME,
+  {_double(_unless_cancelled("30 + b.route"))} AS AIR_TIME,
+  100 + b.route * 9 AS DISTANCE,
+  {_unless_cancelled(_hhmm("b.on_minute"))} AS WHEELS_ON,
+  {_double(_unless_cancelled("b.taxi_in"))} AS TAXI_IN,
+  {_hhmm("b.due_minute")} AS SCHEDULED_ARRIVAL,
+  {_unless_cancelled(_hhmm("b.arrival_minute"))} AS ARRIVAL_TIME,
+  {_double(_unless_cancelled("b.arrival_delay"))} AS ARRIVAL_DELAY,
   b.diverted AS DIVERTED, b.cancelled AS CANCELLED,
   CASE WHEN b.cancelled = 1 THEN
     CASE b.prio WHEN '1' THEN 'A' WHEN '2' THEN 'B' WHEN '3' THEN 'C' WHEN '4' THEN 'D' ELSE 'A' END
@@ -93,8 +87,15 @@ SELECT 2015 AS YEAR,
   {_cause("4")} AS LATE_AIRCRAFT_DELAY,
   {_cause("5")} AS WEATHER_DELAY
 FROM (
+  SELECT y.*, (start_minute + dly + 1440) % 1440 AS departure_minute,
+    (start_minute + dly + taxi_out + 1440) % 1440 AS off_minute,
+    (start_minute + 60 + route) % 1440 AS due_minute,
+    (start_minute + 60 + route + arrival_delay + 1440) % 1440 AS arrival_minute,
+    (start_minute + 60 + route + arrival_delay - taxi_in + 1440) % 1440 AS on_minute
+  FROM (
   SELECT CAST(DATE '2015-01-01' + CAST(x.days % 365 AS INT) AS DATE) AS d,
-    (x.days % 365) + 3 AS day_number, x.*
+    (x.days % 365) + 3 AS day_number, x.hh * 60 + x.mi AS start_minute, x.o_id * 12 + x.d_id AS route,
+    5 + x.qty % 20 AS taxi_out, 2 + x.qty % 9 AS taxi_in, x.dly - x.qty + 20 AS arrival_delay, x.*
   FROM (
     SELECT {_DAYS[engine]} AS days, l.l_partkey AS pk, CAST(l.l_linenumber AS INT) AS ln,
       CAST(l.l_quantity AS INT) AS qty,
@@ -108,7 +109,7 @@ FROM (
       substr(o.o_orderpriority, 1, 1) AS prio
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
       JOIN customer c ON o.o_custkey = c.c_custkey
-  ) x
+  ) x ) y
 ) b"""
 
 

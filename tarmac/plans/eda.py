@@ -15,20 +15,40 @@ from pyspark.sql import functions as F
 from tarmac.functions import clocks, kpi
 
 
+CLOCK_COLUMNS = ["SCHEDULED_DEPARTURE", "DEPARTURE_TIME", "SCHEDULED_ARRIVAL", "ARRIVAL_TIME"]
+
+
 def explored(flights: DataFrame) -> DataFrame:
-    """Raw flights with normalised codes, flight date and departure time in seconds of the day."""
+    """Raw flights with normalised codes, flight date, and scheduled times in seconds of the day.
+
+    Clocks are parsed in a first step, so that each parse runs once per row.
+    """
     date = clocks.calendar_date(F.col("YEAR"), F.col("MONTH"), F.col("DAY"))
-    return flights.select(
-        *[c for c in flights.columns if c not in ("AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT")],
+    codes = ("AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT")
+    parsed = flights.select(
+        *[c for c in flights.columns if c not in codes],
         F.upper(F.trim("AIRLINE")).alias("airline"),
         F.upper(F.trim("ORIGIN_AIRPORT")).alias("origin"),
         F.upper(F.trim("DESTINATION_AIRPORT")).alias("destination"),
         date.alias("flight_date"),
-        clocks.seconds_of_day(F.col("SCHEDULED_DEPARTURE")).alias("departure_seconds"),
-        clocks.seconds_of_day(F.col("SCHEDULED_ARRIVAL")).alias("arrival_seconds"),
+        *[clocks.hhmm_number(F.col(c)).alias(f"{c}_number") for c in CLOCK_COLUMNS],
         F.col("DEPARTURE_DELAY").cast("int").alias("delay"),
-        F.col("ARRIVAL_DELAY").cast("int").alias("arrival_delay"),
+        F.col("ARRIVAL_DELAY").cast("int").alias("arr_delay"),
     )
+    return parsed.withColumns(
+        {
+            "departure_seconds": clocks.seconds_of_day(F.col("SCHEDULED_DEPARTURE_number")),
+            "arrival_seconds": clocks.seconds_of_day(F.col("SCHEDULED_ARRIVAL_number")),
+        }
+    )
+
+
+def _departure_timestamp() -> Column:
+    return clocks.clock_timestamp(F.col("flight_date"), F.col("SCHEDULED_DEPARTURE_number"))
+
+
+def _clock_text(column: str) -> Column:
+    return clocks.clock_text(clocks.seconds_of_day(F.col(f"{column}_number")))
 
 
 def month_filter(flights: DataFrame, month: int = 1) -> DataFrame:
@@ -65,11 +85,8 @@ def flight_dates(flights: DataFrame) -> DataFrame:
 
 def clock_values(flights: DataFrame) -> DataFrame:
     """The four HHMM clock columns as HH:MM:SS text, with the flight they belong to."""
-    clock_columns = ["SCHEDULED_DEPARTURE", "DEPARTURE_TIME", "SCHEDULED_ARRIVAL", "ARRIVAL_TIME"]
     return flights.select(
-        "FLIGHT_NUMBER",
-        "TAIL_NUMBER",
-        *[clocks.clock_text(F.col(c)).alias(c.lower()) for c in clock_columns],
+        "FLIGHT_NUMBER", "TAIL_NUMBER", *[_clock_text(c).alias(c.lower()) for c in CLOCK_COLUMNS]
     )
 
 
@@ -78,7 +95,7 @@ def departure_timestamps(flights: DataFrame) -> DataFrame:
         "FLIGHT_NUMBER",
         "TAIL_NUMBER",
         "flight_date",
-        clocks.clock_timestamp(F.col("flight_date"), F.col("SCHEDULED_DEPARTURE")).alias("departure_ts"),
+        _departure_timestamp().alias("departure_ts"),
     )
 
 
@@ -88,12 +105,12 @@ def clean(flights: DataFrame) -> DataFrame:
         "airline",
         "origin",
         "destination",
-        clocks.clock_timestamp(F.col("flight_date"), F.col("SCHEDULED_DEPARTURE")).alias("scheduled_departure"),
-        clocks.clock_text(F.col("DEPARTURE_TIME")).alias("departure_time"),
+        _departure_timestamp().alias("scheduled_departure"),
+        _clock_text("DEPARTURE_TIME").alias("departure_time"),
         "delay",
-        clocks.clock_text(F.col("SCHEDULED_ARRIVAL")).alias("scheduled_arrival"),
-        clocks.clock_text(F.col("ARRIVAL_TIME")).alias("arrival_time"),
-        "arrival_delay",
+        _clock_text("SCHEDULED_ARRIVAL").alias("scheduled_arrival"),
+        _clock_text("ARRIVAL_TIME").alias("arrival_time"),
+        F.col("arr_delay").alias("arrival_delay"),
         F.col("SCHEDULED_TIME").alias("scheduled_time"),
         F.col("ELAPSED_TIME").alias("elapsed_time"),
     )
@@ -105,7 +122,7 @@ def analysis_flights(flights: DataFrame) -> DataFrame:
     return flights.dropna(
         subset=[
             "airline", "origin", "destination", "flight_date", "departure_seconds", "arrival_seconds",
-            "delay", "arrival_delay", "DEPARTURE_TIME", "ARRIVAL_TIME", "SCHEDULED_TIME", "ELAPSED_TIME",
+            "delay", "arr_delay", "DEPARTURE_TIME", "ARRIVAL_TIME", "SCHEDULED_TIME", "ELAPSED_TIME",
         ]
     )
 
@@ -150,13 +167,18 @@ def delay_histogram(flights: DataFrame, low: int = 15, high: int = 180, bins: in
         .groupBy("airline", index.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = F.sum("n").over(Window.partitionBy("airline"))
-    return counted.select(
+    # Every airline gets all bins, also those without flights; the map has at most `bins` entries.
+    per_airline = counted.groupBy("airline").agg(
+        F.sum("n").alias("_total"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_counts")
+    )
+    all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    n = F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0))
+    return per_airline.select("airline", "_total", "_counts", all_bins).select(
         "airline",
         "bin",
         (F.col("bin") * width + (low + width / 2)).alias("center"),
-        "n",
-        (F.col("n") / (total * width)).alias("density"),
+        n.alias("n"),
+        (n / (F.col("_total") * width)).alias("density"),
     )
 
 
@@ -211,7 +233,7 @@ def delay_exp_fit(flights: DataFrame, low: int = 15, high: int = 180, bins: int
 
 def departure_vs_arrival(flights: DataFrame) -> DataFrame:
     return flights.groupBy("airline").agg(
-        F.avg("delay").alias("mean_departure_delay"), F.avg("arrival_delay").alias("mean_arrival_delay")
+        F.avg("delay").alias("mean_departure_delay"), F.avg("arr_delay").alias("mean_arrival_delay")
     )
 
 
@@ -257,12 +279,11 @@ def route_delay(flights: DataFrame, cap: int = 90) -> DataFrame:
     )
 
 
-def airport_series(flights: DataFrame, airline: str = "WN", origin: str = "P4") -> DataFrame:
+def airport_series(flights: DataFrame, airline: str, origin: str) -> DataFrame:
     """Delays of late-arriving flights of one airline and origin in departure order."""
-    departure = clocks.clock_timestamp(F.col("flight_date"), F.col("SCHEDULED_DEPARTURE"))
     return (
-        flights.filter((F.col("airline") == airline) & (F.col("origin") == origin) & (F.col("arrival_delay") > 0))
-        .select(departure.alias("departure_ts"), "FLIGHT_NUMBER", "TAIL_NUMBER", "delay", "departure_seconds")
+        flights.filter((F.col("airline") == airline) & (F.col("origin") == origin) & (F.col("arr_delay") > 0))
+        .select(_departure_timestamp().alias("departure_ts"), "FLIGHT_NUMBER", "TAIL_NUMBER", "delay", "departure_seconds")
         .orderBy("departure_ts", "FLIGHT_NUMBER", "TAIL_NUMBER")
     )
 
@@ -272,37 +293,26 @@ def time_of_day(flights: DataFrame) -> DataFrame:
 
 
 def quadratic_fit(by_time: DataFrame) -> DataFrame:
-    """Least-squares parabola of the mean delay over the seconds of the day, with the fitted value.
+    """Least-squares parabola of the mean delay over the seconds of the day, as column ``fit``.
 
-    The seven sums of the normal equations come from one aggregation; the result is one row, so the
-    3 x 3 system is solved in columns by Cramer's rule on the centred variable.
+    ``by_time`` has one row per clock minute at most, so a window over all of it is small. It attaches
+    the covariances to every row, from which the two slopes follow in closed form.
     """
-    x, y = F.col("_x"), F.col("mean")
-    day = by_time.withColumn("_x", F.col("departure_seconds") / 43200.0 - 1.0)
-    sums = day.agg(
-        F.count("mean").cast("double").alias("n"),
-        *[F.sum(F.when(y.isNotNull(), F.pow(x, F.lit(float(k))))).alias(f"s{k}") for k in range(1, 5)],
-        *[F.sum(y * F.pow(x, F.lit(float(k)))).alias(f"t{k}") for k in range(3)],
-    )
-    s = {k: F.col(f"s{k}") for k in range(1, 5)} | {0: F.col("n")}
-    t = {k: F.col(f"t{k}") for k in range(3)}
-
-    def det(m: list[list[Column]]) -> Column:
-        return (
-            m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1])
-            - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
-            + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
-        )
-
-    rows = [[s[i + j] for j in range(3)] for i in range(3)]
-    whole = F.nullif(det(rows), F.lit(0.0))
-
-    def coefficient(k: int) -> Column:
-        return det([[t[i] if j == k else rows[i][j] for j in range(3)] for i in range(3)]) / whole
-
-    fitted = sums.select(*[coefficient(k).alias(f"c{k}") for k in range(3)])
-    c = [fitted.select(f"c{k}").scalar() for k in range(3)]
-    return day.withColumn("fit", c[0] + c[1] * x + c[2] * x * x).drop("_x")
+    everything = Window.partitionBy()
+    x, z, y = F.col("_x"), F.col("_z"), F.col("mean")
+    scaled = by_time.withColumn("_x", F.col("departure_seconds") / 43200.0 - 1.0).withColumn("_z", F.col("_x") * F.col("_x"))
+    sums = {
+        "_mx": F.avg(x), "_mz": F.avg(z), "_my": F.avg(y),
+        "_xx": F.var_pop(x), "_zz": F.var_pop(z), "_xz": F.covar_pop(x, z),
+        "_xy": F.covar_pop(x, y), "_zy": F.covar_pop(z, y),
+    }
+    known = scaled.withColumns({name: total.over(everything) for name, total in sums.items()})
+    s = {name: F.col(name) for name in sums}
+    determinant = F.nullif(s["_xx"] * s["_zz"] - s["_xz"] * s["_xz"], F.lit(0.0))
+    linear = (s["_zz"] * s["_xy"] - s["_xz"] * s["_zy"]) / determinant
+    square = (s["_xx"] * s["_zy"] - s["_xz"] * s["_xy"]) / determinant
+    fit = s["_my"] + linear * (x - s["_mx"]) + square * (z - s["_mz"])
+    return known.withColumn("fit", fit).drop("_x", "_z", *sums)
 
 
 def airport_census(flights: DataFrame, airline: str = "AA", least: int = 5) -> DataFrame:

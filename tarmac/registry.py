@@ -241,7 +241,9 @@ def _flights() -> Column:
 
 
 def _flights_per_hour(bed) -> DataFrame:
-    return bed.flights.groupBy(clocks.nearest_hour(F.col("SCHEDULED_DEPARTURE")).alias("hour")).agg(_flights())
+    number = clocks.hhmm_number(F.col("SCHEDULED_DEPARTURE")).alias("number")
+    parsed = bed.flights.select(number)
+    return parsed.groupBy(clocks.nearest_hour(F.col("number")).alias("hour")).agg(_flights())
 
 
 def _with_flights(dim: DataFrame, counts: DataFrame, key: str) -> DataFrame:
@@ -362,7 +364,7 @@ def _fact_date_key(bed):
 def _hhmm_to_hour(bed):
     clock = F.col("SCHEDULED_DEPARTURE").alias("scheduled_departure")
     per_clock = bed.flights.groupBy(clock).agg(_flights())
-    return per_clock.withColumn("hour", clocks.nearest_hour(F.col("scheduled_departure")))
+    return per_clock.withColumn("hour", clocks.nearest_hour(clocks.hhmm_number(F.col("scheduled_departure"))))
 
 
 @_pipeline("resolve_airline")
@@ -550,7 +552,7 @@ _EDA = {
     "eda_route_volume": lambda bed: eda.route_volume(_analysed(bed), bed.airports),
     "eda_airport_carrier_pivot": lambda bed: eda.airport_carrier_pivot(_analysed(bed), CARRIERS),
     "eda_route_delay": lambda bed: eda.route_delay(_analysed(bed)),
-    "eda_airport_series": lambda bed: eda.airport_series(_analysed(bed)),
+    "eda_airport_series": lambda bed: eda.airport_series(_analysed(bed), "WN", "P5"),
     "eda_time_of_day": lambda bed: eda.time_of_day(_analysed(bed)),
     "eda_quadratic_fit": lambda bed: _rounded(eda.quadratic_fit(eda.time_of_day(_analysed(bed))), 6, "fit"),
     "eda_airport_census": lambda bed: eda.airport_census(_analysed(bed)),
