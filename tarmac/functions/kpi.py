@@ -92,7 +92,8 @@ def stddev_population(value: Column) -> Column:
     n = F.count(value).cast("double")
     mean = F.sum(x) / F.nullif(n, F.lit(0.0))
     mean_square = F.sum(x * x) / F.nullif(n, F.lit(0.0))
-    return F.sqrt(F.greatest(mean_square - mean * mean, F.lit(0.0)))
+    variance = mean_square - mean * mean
+    return F.sqrt(F.when(variance < 0, F.lit(0.0)).otherwise(variance))
 
 
 def in_peak(hour: Column) -> Column:

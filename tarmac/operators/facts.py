@@ -15,6 +15,9 @@ from tarmac.sources.files import FLIGHT_IDENTITY, require_columns
 from tarmac.sources.schemas import CRITICAL
 
 
+CODES = ["AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT"]
+
+
 def _code(name: str) -> Column:
     return F.upper(F.trim(name))
 
@@ -38,7 +41,8 @@ def has_critical_fields() -> Column:
 def clean(flights: DataFrame) -> DataFrame:
     """Drop records that lack a critical field; normalise codes, numbers and flags of the rest."""
     require_columns(flights, CRITICAL)
-    identity = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FLIGHT_IDENTITY])
+    text = {c: F.col(c).cast("string") for c in FLIGHT_IDENTITY} | {c: _code(c) for c in CODES}
+    identity = F.concat_ws("|", *[F.coalesce(text[c], F.lit("")) for c in FLIGHT_IDENTITY])
     return flights.filter(has_critical_fields()).select(
         F.md5(identity).alias("flight_key"),
         "YEAR",

@@ -35,10 +35,12 @@ _AT_NOON = "(all_intercept + all_slope * 12) - (trimmed_intercept + trimmed_slop
 SQL["ml_outlier_effect"] = f"""SELECT *, {half_up(_AT_NOON, 4)} AS noon_difference
   FROM ({_line(_BY_TIME, "all_")}) JOIN ({_line(_TRIMMED, "trimmed_")}) USING (airline, origin)"""
 
+# Square, line or constant, whichever the number of points allows.
 _DET = "(sxx * szz - sxz * sxz)"
-_B, _C = f"((szz * sxy - sxz * szy) / {_DET})", f"((sxx * szy - sxz * sxy) / {_DET})"
+_B = f"(CASE WHEN n > 2 THEN (szz * sxy - sxz * szy) / {_DET} WHEN n = 2 THEN sxy / sxx ELSE 0.0 END)"
+_C = f"(CASE WHEN n > 2 THEN (sxx * szy - sxz * sxy) / {_DET} ELSE 0.0 END)"
 SQL["ml_poly_fit"] = f"""SELECT airline, origin, n AS train_points, {half_up(f"my - {_B} * mx - {_C} * mz", 4)} AS c0,
-  {half_up(_B, 4)} AS c1, {half_up(_C, 4)} AS c2, {half_up(f"syy - {_B} * sxy - {_C} * szy", 4)} AS mse
+  {half_up(_B, 4)} AS c1, {half_up(_C, 4)} AS c2, {half_up(f"greatest(syy - {_B} * sxy - {_C} * szy, 0.0)", 4)} AS mse
 FROM (SELECT airline, origin, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS sxx,
     var_pop(z) AS szz, var_pop(y) AS syy, covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy
   FROM (SELECT airline, origin, mean AS y, departure_seconds / 86400.0::DOUBLE AS x,
@@ -66,6 +68,47 @@ _POLY = f"""SELECT airport_id, departure_seconds, mean,
   own + (SELECT sum(ry * rz) / sum(rz * rz) FROM ({_OWN_LINE})) * rz AS prediction FROM ({_OWN_LINE})"""
 
 
+
+def _parts(source: str, *identity: str) -> str:
+    """Rows with their part of the 70/30 hash split."""
+    text = "concat_ws('|', '0', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in identity) + ")"
+    bucket = f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % 10"
+    return f"SELECT *, CASE WHEN {bucket} < 7 THEN 'train' ELSE 'test' END AS part FROM ({source})"
+
+
+# One line per airport and a common square term, fitted on the training part, applied to all rows.
+_SPLIT = f"""
+SELECT p.*, ym + sy * (t - tm) + (SELECT sum((mean - ym - sy * (t - tm)) * (t * t - zm - sz * (t - tm)))
+    / sum((t * t - zm - sz * (t - tm)) * (t * t - zm - sz * (t - tm)))
+  FROM parted JOIN lines USING (airport_id) WHERE part = 'train') * (t * t - zm - sz * (t - tm)) AS prediction
+FROM parted p JOIN lines USING (airport_id)"""
+_SPLIT_SCOPE = f"""WITH parted AS (SELECT *, {_T} AS t FROM ({_parts(_AA, "airport_id", "departure_seconds")})),
+lines AS (SELECT airport_id, avg(mean) AS ym, avg(t) AS tm, avg(t * t) AS zm,
+    CASE WHEN count(*) > 1 THEN regr_slope(mean, t) ELSE 0 END AS sy,
+    CASE WHEN count(*) > 1 THEN regr_slope(t * t, t) ELSE 0 END AS sz
+  FROM parted WHERE part = 'train' GROUP BY airport_id)"""
+_ERROR = "(prediction - mean) * (prediction - mean)"
+SQL["ml_split_eval"] = f"""SELECT * FROM ({_SPLIT_SCOPE}
+SELECT part, count(*) AS points, {half_up(f"avg({_ERROR})", 4)} AS mse,
+  {half_up(f"sqrt(avg({_ERROR}))", 4)} AS rmse_minutes FROM ({_SPLIT}) GROUP BY part)"""
+SQL["ml_residual_terms"] = f"""SELECT * FROM ({_SPLIT_SCOPE}
+SELECT airport_id, departure_seconds, {half_up(_ERROR, 4)} AS squared_error, {half_up("prediction", 4)} AS prediction, mean
+FROM ({_SPLIT}) WHERE part = 'test' AND {_ERROR} > 400)"""
+
+_BEFORE, _AFTER = (
+    f"""SELECT carrier AS airline, origin, avg(delay) AS y, departure_seconds / 86400.0::DOUBLE AS x,
+  power(departure_seconds / 86400.0::DOUBLE, 2) AS z FROM analysed
+  WHERE delay < 60 AND flight_date {side} DATE '2015-10-01' GROUP BY carrier, origin, departure_seconds"""
+    for side in ("<", ">")
+)
+_HOLDOUT_ERROR = f"power(my + {_B} * (x - mx) + {_C} * (z - mz) - y, 2)"
+SQL["ml_eval_holdout"] = f"""SELECT airline, origin, count(*) AS points, {half_up(f"avg({_HOLDOUT_ERROR})", 4)} AS mse,
+  {half_up(f"sqrt(avg({_HOLDOUT_ERROR}))", 4)} AS rmse_minutes
+FROM ({_AFTER}) JOIN (SELECT airline, origin, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS sxx,
+    var_pop(z) AS szz, covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy
+  FROM ({_BEFORE}) GROUP BY 1, 2) USING (airline, origin) GROUP BY airline, origin"""
+
+
 def _rounded(source: str) -> str:
     return f"SELECT airport_id, departure_seconds, mean, {half_up('prediction', 4)} AS prediction FROM ({source})"
 

@@ -109,8 +109,9 @@ SEVERITY = """CASE WHEN is_cancelled THEN 'Cancelled' WHEN departure_delay_minut
   WHEN departure_delay_minutes < 16 THEN 'Minor Delay' WHEN departure_delay_minutes < 61 THEN 'Moderate Delay'
   WHEN departure_delay_minutes < 181 THEN 'Significant Delay' ELSE 'Severe Delay' END"""
 
+_CODES = ("AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT")
 _IDENTITY = ", ".join(
-    f"coalesce(CAST({c} AS VARCHAR), '')"
+    f"upper(trim({c}))" if c in _CODES else f"coalesce(CAST({c} AS VARCHAR), '')"
     for c in (
         "YEAR", "MONTH", "DAY", "AIRLINE", "FLIGHT_NUMBER", "TAIL_NUMBER",
         "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "SCHEDULED_DEPARTURE",

@@ -49,7 +49,8 @@ def std(value: str, condition: str = "TRUE") -> str:
     x = f"CAST({value} AS DOUBLE)"
     n = f"CAST(nullif(count({value}) {keep}, 0) AS DOUBLE)"
     mean = f"(sum({x}) {keep} / {n})"
-    return f"sqrt(greatest(sum({x} * {x}) {keep} / {n} - {mean} * {mean}, 0.0))"
+    variance = f"(sum({x} * {x}) {keep} / {n} - {mean} * {mean})"
+    return f"sqrt(CASE WHEN {variance} < 0 THEN 0.0 ELSE {variance} END)"
 
 
 def big(x: str) -> str:

@@ -42,8 +42,14 @@ def gram(m: np.ndarray, order: int) -> np.ndarray:
 
 
 def solve(m: np.ndarray, v: np.ndarray, order: int) -> np.ndarray:
-    """Coefficients; directions the data do not determine get none (minimum norm)."""
-    return np.linalg.lstsq(gram(m, order), v[: order + 1], rcond=1e-11)[0]
+    """Coefficients of the polynomial of the given order.
+
+    ``m[0]`` is the number of points. With too few points for the order, the highest order they
+    determine is fitted and the remaining coefficients are 0.
+    """
+    k = min(order, round(float(m[0])) - 1)
+    c = np.linalg.lstsq(gram(m, k), v[: k + 1], rcond=1e-15)[0]
+    return np.pad(c, (0, order - k))
 
 
 def squared_error(c: np.ndarray, m: np.ndarray, v: np.ndarray, yy: float) -> float:

@@ -618,7 +618,7 @@ def _grid(bed) -> models.GridResult:
 def _residuals(bed) -> DataFrame:
     train, test = models.split_merged(_merged(bed))
     scored = models.fit_delays(train, order=2).predict(test)
-    return models.residual_terms(scored, at_least=400.0)
+    return _rounded(models.residual_terms(scored, at_least=400.0), 4, "squared_error", "prediction")
 
 
 def _refit(bed) -> DataFrame:
@@ -661,14 +661,16 @@ _MODELS = {
     "ml_poly_fit": _poly_fit,
     "ml_poly_cv": lambda bed: models.poly_cv(_by_time(bed)),
     "ml_split_bias": lambda bed: models.split_bias(_by_time(bed)),
-    "ml_eval_holdout": lambda bed: models.eval_holdout(_analysed(bed), CUTOFF),
+    "ml_eval_holdout": lambda bed: _rounded(
+        models.eval_holdout(_analysed(bed), CUTOFF), 4, "mse", "rmse_minutes"
+    ),
     "ml_merged_delays": lambda bed: models.merged_delays(_analysed(bed)),
     "ml_airport_index": lambda bed: models.airport_index(_merged(bed)),
     "ml_one_hot": _one_hot,
     "ml_ols_all_airports": lambda bed: _rounded(_ols(bed, 1), 4, "prediction"),
     "ml_large_error_share": _large_errors,
     "ml_poly_all_airports": lambda bed: _rounded(_ols(bed, 2), 4, "prediction"),
-    "ml_split_eval": lambda bed: models.split_eval(_merged(bed)),
+    "ml_split_eval": lambda bed: _rounded(models.split_eval(_merged(bed)), 4, "mse", "rmse_minutes"),
     "ml_residual_terms": _residuals,
     "ml_ridge": _ridge,
     "ml_grid_search": lambda bed: _grid(bed).to_frame(bed.spark),
