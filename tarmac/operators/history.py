@@ -16,10 +16,16 @@ def hot_groups(base: DataFrame, keys: Sequence[str], day: str, split_rows: int)
 
     There are at most ``rows / split_rows`` such groups, which bounds the size of the result.
     """
-    per_day = base.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("_n"))
-    per_group = per_day.groupBy(*keys).agg(F.sum("_n").alias("_total"), F.max("_n").alias("_busiest"))
-    slices = F.least(F.ceil(F.col("_busiest") / split_rows), F.lit(_SLICE_UNITS)).cast("int")
-    return per_group.filter(F.col("_total") > split_rows).select(*keys, slices.alias("_slices"))
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    large = sizes.filter(F.col("_total") > split_rows).select(*keys)
+    # Days are counted in the large groups only; usually there are none.
+    per_day = (
+        base.join(F.broadcast(large), list(keys), "left_semi")
+        .groupBy(*keys, day)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    slices = F.least(F.ceil(F.max("_n") / split_rows), F.lit(_SLICE_UNITS)).cast("int")
+    return per_day.groupBy(*keys).agg(slices.alias("_slices"))
 
 
 def _slice(tie_key: str) -> Column:

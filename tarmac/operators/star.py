@@ -23,38 +23,67 @@ class Star:
         return {n: getattr(self, n) for n in ("airline", "airport", "date", "time", "cause")}
 
 
-def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    df.coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+# Code and key column of each stored dimension.
+DIM_CODES = {
+    "airline": ("airline_code", "airline_key"),
+    "airport": ("airport_code", "airport_key"),
+    "date": ("date_key", "date_key"),
+    "time": ("hour", "time_key"),
+    "cause": ("cause_code", "delay_cause_key"),
+}
 
 
-def store_dims(
+def dim_path(warehouse: str, name: str) -> str:
+    return f"{warehouse}/dim_{'delay_cause' if name == 'cause' else name}"
+
+
+def fact_path(warehouse: str) -> str:
+    return f"{warehouse}/fact_flights"
+
+
+def load_dims(
     spark: SparkSession,
     airlines: DataFrame,
     airports: DataFrame,
-    path: str,
+    warehouse: str,
     start: str = "2015-01-01",
     end: str = "2015-12-31",
 ) -> Star:
-    """Build and store the five dimensions.
+    """Build the five dimensions and load the members the warehouse does not have yet.
 
     Reading them back from files gives Catalyst their true sizes, so it broadcasts a dimension when
     it is below the broadcast threshold and shuffles otherwise; no join carries a broadcast hint.
     """
+    built = {
+        "airline": dims.build_airlines(airlines),
+        "airport": dims.build_airports(airports),
+        "date": dims.build_dates(spark, start, end),
+        "time": dims.build_times(spark),
+        "cause": dims.build_delay_causes(spark),
+    }
     return Star(
-        airline=_stored(spark, dims.build_airlines(airlines), f"{path}/dim_airline"),
-        airport=_stored(spark, dims.build_airports(airports), f"{path}/dim_airport"),
-        date=_stored(spark, dims.build_dates(spark, start, end), f"{path}/dim_date"),
-        time=_stored(spark, dims.build_times(spark), f"{path}/dim_time"),
-        cause=_stored(spark, dims.build_delay_causes(spark), f"{path}/dim_delay_cause"),
+        **{
+            name: tables.load_once(spark, dim.coalesce(1), dim_path(warehouse, name), *DIM_CODES[name])
+            for name, dim in built.items()
+        }
     )
 
 
+def read_star(spark: SparkSession, warehouse: str) -> Star:
+    """The star schema stored in a warehouse folder."""
+    stored = {name: spark.read.parquet(dim_path(warehouse, name)) for name in DIM_CODES}
+    return Star(**stored, fact=spark.read.parquet(fact_path(warehouse)))
+
+
+def load_fact(spark: SparkSession, flights: DataFrame, dims: Star, warehouse: str) -> Star:
+    """Replace the fact table, partitioned by year and month."""
+    fact = facts.build_fact(flights, dims)
+    tables.write_fact(fact, fact_path(warehouse), "overwrite")
+    return replace(dims, fact=spark.read.schema(fact.schema).parquet(fact_path(warehouse)))
+
+
 def load_star(
-    spark: SparkSession, flights: DataFrame, airlines: DataFrame, airports: DataFrame, path: str
+    spark: SparkSession, flights: DataFrame, airlines: DataFrame, airports: DataFrame, warehouse: str
 ) -> Star:
-    """Full load: dimensions, then the fact partitioned by year and month."""
-    star = store_dims(spark, airlines, airports, path)
-    fact = facts.build_fact(flights, star)
-    tables.append_fact(fact, f"{path}/fact_flights")
-    return replace(star, fact=spark.read.schema(fact.schema).parquet(f"{path}/fact_flights"))
+    """Full load: new dimension members, then the whole fact."""
+    return load_fact(spark, flights, load_dims(spark, airlines, airports, warehouse), warehouse)

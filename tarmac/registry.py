@@ -16,7 +16,7 @@ from tarmac.operators.star import Star
 from tarmac.oracle import eda as eda_oracles
 from tarmac.oracle import mapping
 from tarmac.oracle import models as model_oracles
-from tarmac.oracle import pipeline as pipeline_oracles
+from tarmac.oracle import loading as loading_oracles
 from tarmac.oracle import views as view_oracles
 from tarmac.plans import eda, examples, models, views
 from tarmac.session import cut_lineage, fresh_path
@@ -44,11 +44,11 @@ def _add(name: str, query: Callable[[Testbed], DataFrame], oracle: str | None) -
         _ORACLES[name] = oracle
 
 
-def _pipeline(name: str):
-    """Register a query of the load pipeline under ``name``."""
+def _loading(name: str):
+    """Register a query of the load under ``name``."""
 
     def decorate(query: Callable[[Testbed], DataFrame]):
-        _add(name, query, pipeline_oracles.oracle(name))
+        _add(name, query, loading_oracles.oracle(name))
         return query
 
     return decorate
@@ -57,29 +57,29 @@ def _pipeline(name: str):
 # --- sources and sinks -------------------------------------------------------------------------------
 
 
-@_pipeline("src_airlines")
+@_loading("src_airlines")
 def _src_airlines(bed):
     path = bed.write_csv(bed.airlines, "airlines-csv")
     return files.read_airlines(bed.spark, path)
 
 
-@_pipeline("src_airports")
+@_loading("src_airports")
 def _src_airports(bed):
     path = bed.write_csv(bed.airports, "airports-csv", ["NULL", "n/a"])
     return files.read_airports(bed.spark, path)
 
 
-@_pipeline("src_flights")
+@_loading("src_flights")
 def _src_flights(bed):
     return bed.flights_from_csv
 
 
-@_pipeline("src_row_count")
+@_loading("src_row_count")
 def _src_row_count(bed):
     return files.row_count(bed.flights_from_csv)
 
 
-@_pipeline("src_null_tokens")
+@_loading("src_null_tokens")
 def _src_null_tokens(bed):
     text = files.read_text_csv(bed.spark, bed.flights_csv)
     columns = ["AIRLINE", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "CANCELLATION_REASON", "WEATHER_DELAY"]
@@ -88,7 +88,7 @@ def _src_null_tokens(bed):
     )
 
 
-@_pipeline("src_backslash_n")
+@_loading("src_backslash_n")
 def _src_backslash_n(bed):
     circuits = bed.sql(mapping.CIRCUITS_SQL)
     path = fresh_path(bed.spark, "circuits-csv")
@@ -102,12 +102,12 @@ def _src_backslash_n(bed):
     return files.read_backslash_n(bed.spark, path, schemas.CIRCUITS)
 
 
-@_pipeline("sample_first_n")
+@_loading("sample_first_n")
 def _sample_first_n(bed):
     return files.first_rows(bed.flights, 1000)
 
 
-@_pipeline("sink_append")
+@_loading("sink_append")
 def _sink_append(bed):
     path = fresh_path(bed.spark, "append")
     first_half = F.col("MONTH") <= 6
@@ -117,15 +117,15 @@ def _sink_append(bed):
     return bed.spark.read.schema(bed.flights.schema).parquet(path)
 
 
-@_pipeline("sink_fact")
+@_loading("sink_fact")
 def _sink_fact(bed):
     path = fresh_path(bed.spark, "fact")
     fact = facts.build_fact(bed.flights, bed.star)
-    tables.append_fact(fact, path)
+    tables.write_fact(fact, path)
     return bed.spark.read.schema(fact.schema).parquet(path)
 
 
-@_pipeline("sink_load_once")
+@_loading("sink_load_once")
 def _sink_load_once(bed):
     path = fresh_path(bed.spark, "load-once")
     later = bed.airlines.filter("IATA_CODE >= 'M'")
@@ -135,14 +135,14 @@ def _sink_load_once(bed):
     return tables.load_once(bed.spark, everything, path, "airline_code", "airline_key")
 
 
-@_pipeline("ingest_batches")
+@_loading("ingest_batches")
 def _ingest_batches(bed):
     load = ingest.new_ingest(bed.spark, bed.flights_csv, bed.star, max_files=4)
     load.run()
     return load.fact().select(*[c for c in bed.star.fact.columns if c not in ("year", "month")])
 
 
-@_pipeline("ingest_resume")
+@_loading("ingest_resume")
 def _ingest_resume(bed):
     """Two runs over one checkpoint: the second one reads only the files added in between."""
     source = fresh_path(bed.spark, "arriving-csv")
@@ -159,7 +159,7 @@ def _ingest_resume(bed):
 # --- profiling ---------------------------------------------------------------------------------------
 
 
-@_pipeline("check_required_columns")
+@_loading("check_required_columns")
 def _check_required_columns(bed):
     return quality.required_columns_report(
         {
@@ -171,7 +171,7 @@ def _check_required_columns(bed):
     )
 
 
-@_pipeline("check_sources")
+@_loading("check_sources")
 def _check_sources(bed):
     return quality.check_sources(
         bed.spark,
@@ -183,47 +183,47 @@ def _check_sources(bed):
     )
 
 
-@_pipeline("source_summary")
+@_loading("source_summary")
 def _source_summary(bed):
     return quality.source_summary(bed.airlines, bed.airports, bed.flights)
 
 
-@_pipeline("profile_columns")
+@_loading("profile_columns")
 def _profile_columns(bed):
     return quality.profile_columns(bed.flights)
 
 
-@_pipeline("fill_factor")
+@_loading("fill_factor")
 def _fill_factor(bed):
     return quality.fill_factor(bed.flights)
 
 
-@_pipeline("dim_summary")
+@_loading("dim_summary")
 def _dim_summary(bed):
     return quality.dim_summary(bed.star)
 
 
-@_pipeline("fact_summary")
+@_loading("fact_summary")
 def _fact_summary(bed):
     return quality.fact_summary(bed.star.fact)
 
 
-@_pipeline("bad_rows")
+@_loading("bad_rows")
 def _bad_rows(bed):
     return quality.bad_rows(bed.flights)
 
 
-@_pipeline("extreme_delays")
+@_loading("extreme_delays")
 def _extreme_delays(bed):
     return quality.extreme_delays(bed.star.fact, early=-30, late=200)
 
 
-@_pipeline("unmapped_codes")
+@_loading("unmapped_codes")
 def _unmapped_codes(bed):
     return quality.unmapped_codes(facts.add_hour(facts.add_date_key(facts.clean(bed.flights))), bed.star)
 
 
-@_pipeline("table_stats")
+@_loading("table_stats")
 def _table_stats(bed):
     return tables.table_stats(bed.spark, bed.warehouse_path)
 
@@ -251,12 +251,12 @@ def _with_flights(dim: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     return joined.select(*dim.columns, F.coalesce("flights", F.lit(0)).alias("flights"))
 
 
-@_pipeline("dim_airline")
+@_loading("dim_airline")
 def _dim_airline(bed):
     return dims.build_airlines(bed.airlines)
 
 
-@_pipeline("airline_type")
+@_loading("airline_type")
 def _airline_type(bed):
     per_airline = bed.star.fact.groupBy("airline_key").agg(_flights())
     named = per_airline.join(bed.star.airline, "airline_key")
@@ -265,12 +265,12 @@ def _airline_type(bed):
     )
 
 
-@_pipeline("dim_airport")
+@_loading("dim_airport")
 def _dim_airport(bed):
     return dims.build_airports(bed.airports)
 
 
-@_pipeline("airport_timezone")
+@_loading("airport_timezone")
 def _airport_timezone(bed):
     per_airport = bed.star.fact.groupBy(F.col("origin_airport_key").alias("airport_key")).agg(_flights())
     located = per_airport.join(bed.star.airport, "airport_key")
@@ -279,29 +279,29 @@ def _airport_timezone(bed):
     )
 
 
-@_pipeline("airport_size")
+@_loading("airport_size")
 def _airport_size(bed):
     return dims.size_by_volume(bed.star.airport, bed.flights)
 
 
-@_pipeline("dim_date")
+@_loading("dim_date")
 def _dim_date(bed):
     bounds = _flight_dates(bed).agg(F.min("flight_date").alias("first"), F.max("flight_date").alias("last"))
     return dims.calendar(bounds)
 
 
-@_pipeline("is_holiday")
+@_loading("is_holiday")
 def _is_holiday(bed):
     per_day = _flight_dates(bed).groupBy("flight_date").agg(_flights())
     return per_day.withColumn("is_holiday", rules.is_holiday(F.col("flight_date")))
 
 
-@_pipeline("season")
+@_loading("season")
 def _season(bed):
     return bed.flights.groupBy(rules.season(F.col("MONTH")).alias("season")).agg(_flights())
 
 
-@_pipeline("is_business_day")
+@_loading("is_business_day")
 def _is_business_day(bed):
     per_day = _flight_dates(bed).groupBy("flight_date").agg(_flights())
     flagged = per_day.select("flights", *dims.calendar_columns("flight_date", rules.HOLIDAYS_2015))
@@ -310,23 +310,23 @@ def _is_business_day(bed):
     )
 
 
-@_pipeline("dim_time")
+@_loading("dim_time")
 def _dim_time(bed):
     return _with_flights(dims.build_times(bed.spark), _flights_per_hour(bed), "hour")
 
 
-@_pipeline("dim_time_seed")
+@_loading("dim_time_seed")
 def _dim_time_seed(bed):
     return _with_flights(dims.build_times(bed.spark, "seed"), _flights_per_hour(bed), "hour")
 
 
-@_pipeline("hour_category")
+@_loading("hour_category")
 def _hour_category(bed):
     category = rules.hour_category(F.col("hour")).alias("hour_category")
     return _flights_per_hour(bed).groupBy(category).agg(F.sum("flights").alias("flights"))
 
 
-@_pipeline("time_period")
+@_loading("time_period")
 def _time_period(bed):
     period = rules.time_period(F.col("hour")).alias("time_period")
     return _flights_per_hour(bed).groupBy(period).agg(F.sum("flights").alias("flights"))
@@ -337,12 +337,12 @@ def _flights_per_cause(bed) -> DataFrame:
     return facts.clean(bed.flights).groupBy(cause).agg(_flights())
 
 
-@_pipeline("dim_delay_cause")
+@_loading("dim_delay_cause")
 def _dim_delay_cause(bed):
     return _with_flights(dims.build_causes(bed.spark), _flights_per_cause(bed), "cause_code")
 
 
-@_pipeline("dim_delay_cause_seed")
+@_loading("dim_delay_cause_seed")
 def _dim_delay_cause_seed(bed):
     return _with_flights(dims.build_delay_causes(bed.spark), _flights_per_cause(bed), "cause_code")
 
@@ -350,80 +350,80 @@ def _dim_delay_cause_seed(bed):
 # --- fact steps ------------------------------------------------------------------------------------------
 
 
-@_pipeline("fact_clean")
+@_loading("fact_clean")
 def _fact_clean(bed):
     return facts.clean(bed.flights)
 
 
-@_pipeline("fact_date_key")
+@_loading("fact_date_key")
 def _fact_date_key(bed):
     return facts.add_date_key(facts.clean(bed.flights)).select("flight_key", "flight_date", "date_key")
 
 
-@_pipeline("hhmm_to_hour")
+@_loading("hhmm_to_hour")
 def _hhmm_to_hour(bed):
     clock = F.col("SCHEDULED_DEPARTURE").alias("scheduled_departure")
     per_clock = bed.flights.groupBy(clock).agg(_flights())
     return per_clock.withColumn("hour", clocks.nearest_hour(clocks.hhmm_number(F.col("scheduled_departure"))))
 
 
-@_pipeline("resolve_airline")
+@_loading("resolve_airline")
 def _resolve_airline(bed):
     keyed = facts.resolve_airline(facts.clean(bed.flights), bed.star.airline)
     return keyed.select("flight_key", "airline_key")
 
 
-@_pipeline("resolve_airports")
+@_loading("resolve_airports")
 def _resolve_airports(bed):
     keyed = facts.resolve_airports(facts.clean(bed.flights), bed.star.airport)
     return keyed.select("flight_key", "origin_airport_key", "destination_airport_key")
 
 
-@_pipeline("resolve_time")
+@_loading("resolve_time")
 def _resolve_time(bed):
     keyed = facts.resolve_time(facts.add_hour(facts.clean(bed.flights)), bed.star.time)
     return keyed.select("flight_key", "departure_hour", "departure_time_key")
 
 
-@_pipeline("delay_metrics")
+@_loading("delay_metrics")
 def _delay_metrics(bed):
     metrics = facts.delay_metrics()
     return facts.clean(bed.flights).withColumns(metrics).select("flight_key", *metrics)
 
 
-@_pipeline("primary_cause")
+@_loading("primary_cause")
 def _primary_cause(bed):
     caused = facts.resolve_cause(facts.clean(bed.flights), bed.star.cause)
     return caused.select("flight_key", "primary_cause", "delay_cause_key")
 
 
-@_pipeline("business_flags")
+@_loading("business_flags")
 def _business_flags(bed):
     flags = facts.business_flags()
     return facts.add_date_key(facts.clean(bed.flights)).withColumns(flags).select("flight_key", *flags)
 
 
-@_pipeline("fact_finalize")
+@_loading("fact_finalize")
 def _fact_finalize(bed):
     return facts.build_fact(bed.flights, bed.star).select(*facts.LOADED_COLUMNS)
 
 
-@_pipeline("total_delay")
+@_loading("total_delay")
 def _total_delay(bed):
     return facts.build_fact(bed.flights, bed.star).select("flight_key", "total_delay_minutes")
 
 
-@_pipeline("delay_severity")
+@_loading("delay_severity")
 def _delay_severity(bed):
     return facts.build_fact(bed.flights, bed.star).select("flight_key", "delay_severity_category")
 
 
-@_pipeline("fact_flights")
+@_loading("fact_flights")
 def _fact_flights(bed):
     return facts.build_fact(bed.flights, bed.star)
 
 
-@_pipeline("lookup_codes")
+@_loading("lookup_codes")
 def _lookup_codes(bed):
     codes = {
         "airline": ("airline_code", "airline_key"),
@@ -478,18 +478,18 @@ def _spoilt(star: Star) -> DataFrame:
 
 
 for _name, _check in {**integrity.ORPHAN_CHECKS, "fk_time": integrity.fk_time}.items():
-    _pipeline(_name)(lambda bed, check=_check: check(_incomplete(bed.star)))
+    _loading(_name)(lambda bed, check=_check: check(_incomplete(bed.star)))
 
 for _name in integrity.VALUE_RULES:
-    _pipeline(_name)(lambda bed, rule=_name: integrity.value_violations(_spoilt(bed.star), rule))
+    _loading(_name)(lambda bed, rule=_name: integrity.value_violations(_spoilt(bed.star), rule))
 
 
-@_pipeline("integrity_report")
+@_loading("integrity_report")
 def _integrity_report(bed):
     return integrity.integrity_report(replace(_incomplete(bed.star), fact=_spoilt(bed.star)))
 
 
-@_pipeline("unique_codes")
+@_loading("unique_codes")
 def _unique_codes(bed):
     return integrity.duplicate_codes(_repeated(bed.star))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,12 +20,12 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def append_fact(fact: DataFrame, path: str) -> None:
-    """Append flight facts, partitioned by month and sorted for min/max skipping inside files."""
+def write_fact(fact: DataFrame, path: str, mode: str = "append") -> None:
+    """Write flight facts, partitioned by month and sorted for min/max skipping inside files."""
     (
         fact.hint("rebalance", "year", "month")
         .sortWithinPartitions("year", "month", "date_key", "origin_airport_key")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("year", "month")
         .parquet(path)
     )
@@ -45,10 +46,22 @@ def new_members(existing: DataFrame, incoming: DataFrame, code: str, key: str) -
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a readable Parquet table."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def load_once(spark: SparkSession, incoming: DataFrame, path: str, code: str, key: str) -> DataFrame:
     """Load a dimension idempotently: only members missing from the table at ``path`` are appended."""
-    existing = spark.read.schema(incoming.schema).parquet(path)
-    new_members(existing, incoming, code, key).write.mode("append").parquet(path)
+    if not exists(spark, path):
+        incoming.write.parquet(path)
+    else:
+        existing = spark.read.schema(incoming.schema).parquet(path)
+        new_members(existing, incoming, code, key).write.mode("append").parquet(path)
     return spark.read.schema(incoming.schema).parquet(path)
 
 
