@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions import kpi
+from tarmac.functions import clocks, kpi
 from tarmac.sources.files import missing_columns, read_text_csv
 from tarmac.sources.schemas import CRITICAL
 
@@ -174,10 +174,29 @@ def fact_summary(fact: DataFrame) -> DataFrame:
     return long_form(fact.agg(*[c.cast("double").alias(n) for n, c in metrics.items()]))
 
 
+def _missing_fields() -> Column:
+    return F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in CRITICAL])
+
+
 def bad_rows(flights: DataFrame) -> DataFrame:
     """Records without a critical field, with the list of missing fields, for the quarantine."""
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in CRITICAL])
-    return flights.withColumn("missing_columns", missing).filter(F.col("missing_columns") != "")
+    return flights.withColumn("missing_columns", _missing_fields()).filter(F.col("missing_columns") != "")
+
+
+def rejected_rows(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """Records that have no place in the fact, with the reason: the complement of the fact build."""
+    listed = flights.withColumn("missing_columns", _missing_fields())
+    date = clocks.calendar_date(F.col("YEAR"), F.col("MONTH"), F.col("DAY"))
+    for role in ("ORIGIN_AIRPORT", "DESTINATION_AIRPORT"):
+        known = airports.select(F.col("airport_code").alias("_code"), F.lit(True).alias(f"_{role}"))
+        listed = listed.join(known, F.upper(F.trim(role)) == F.col("_code"), "left").drop("_code")
+    reason = (
+        F.when(F.col("missing_columns") != "", F.concat(F.lit("missing "), "missing_columns"))
+        .when(date.isNull(), "impossible date")
+        .when(F.col("_ORIGIN_AIRPORT").isNull(), "unknown origin airport")
+        .when(F.col("_DESTINATION_AIRPORT").isNull(), "unknown destination airport")
+    )
+    return listed.withColumn("reason", reason).filter("reason is not null").select(*flights.columns, "reason")
 
 
 def extreme_delays(fact: DataFrame, early: int = -600, late: int = 1440) -> DataFrame:

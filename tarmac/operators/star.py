@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.functions import rules
 from tarmac.operators import dims, facts
 from tarmac.sources import tables
 
@@ -48,6 +50,7 @@ def load_dims(
     warehouse: str,
     start: str = "2015-01-01",
     end: str = "2015-12-31",
+    holidays: Sequence[str] = rules.HOLIDAYS_2015,
 ) -> Star:
     """Build the five dimensions and load the members the warehouse does not have yet.
 
@@ -57,7 +60,7 @@ def load_dims(
     built = {
         "airline": dims.build_airlines(airlines),
         "airport": dims.build_airports(airports),
-        "date": dims.build_dates(spark, start, end),
+        "date": dims.build_dates(spark, start, end, holidays),
         "time": dims.build_times(spark),
         "cause": dims.build_delay_causes(spark),
     }

@@ -7,12 +7,14 @@ from tarmac.oracle.mapping import AIRLINES
 from tarmac.oracle.star import with_star
 from tarmac.oracle.views import half_up, pct, std
 
-_SECONDS = {c: s.SECONDS.format(c) for c in ("SCHEDULED_DEPARTURE", "SCHEDULED_ARRIVAL", "DEPARTURE_TIME", "ARRIVAL_TIME")}
+_CLOCKS = ("SCHEDULED_DEPARTURE", "SCHEDULED_ARRIVAL", "DEPARTURE_TIME", "ARRIVAL_TIME")
+_SECONDS = {c: s.SECONDS.format(c) for c in _CLOCKS}
 
 
 def _clock(column: str) -> str:
     x = f"({_SECONDS[column]})"
-    return f"lpad(CAST({x} // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST({x} % 3600 // 60 AS VARCHAR), 2, '0') || ':00'"
+    hour, minute = (f"lpad(CAST({part} AS VARCHAR), 2, '0')" for part in (f"{x} // 3600", f"{x} % 3600 // 60"))
+    return f"{hour} || ':' || {minute} || ':00'"
 
 
 _TIMESTAMP = f"""(CAST({s.FLIGHT_DATE} AS TIMESTAMP) + to_seconds({_SECONDS["SCHEDULED_DEPARTURE"]})
@@ -69,7 +71,8 @@ SQL["eda_delay_histogram"] = """SELECT airline, bin, bin * 2.75::DOUBLE + 16.375
 SQL["eda_dep_vs_arr"] = """SELECT carrier AS airline, avg(delay) AS mean_departure_delay,
   avg(arr_delay) AS mean_arrival_delay FROM analysed GROUP BY 1"""
 SQL["eda_airport_count"] = "SELECT count(DISTINCT origin) AS airports FROM analysed"
-SQL["eda_airports_per_airline"] = "SELECT carrier AS airline, count(DISTINCT origin) AS airports FROM analysed GROUP BY 1"
+SQL["eda_airports_per_airline"] = """SELECT carrier AS airline, count(DISTINCT origin) AS airports
+  FROM analysed GROUP BY 1"""
 _LOCATED = "(SELECT IATA_CODE FROM airports WHERE LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL)"
 SQL["eda_route_volume"] = f"""SELECT *, CASE WHEN flights >= 200 THEN '>= 200' WHEN flights >= 100 THEN '100 - 200'
   ELSE '< 100' END AS volume_class FROM (SELECT carrier AS airline, origin, destination, count(*) AS flights
@@ -85,7 +88,8 @@ SQL["eda_route_delay"] = f"""SELECT *, least(mean_delay + 15, std_delay) AS std_
 SQL["eda_airport_series"] = """SELECT departure_ts, FLIGHT_NUMBER, TAIL_NUMBER, delay, departure_seconds
   FROM analysed WHERE carrier = 'WN' AND origin = 'P5' AND arr_delay > 0"""
 SQL["eda_time_of_day"] = f"SELECT departure_seconds, {STATS} FROM analysed GROUP BY 1"
-_FIT = "my + (szz * sxy - sxz * szy) / (sxx * szz - sxz * sxz) * (x - mx) + (sxx * szy - sxz * sxy) / (sxx * szz - sxz * sxz) * (x * x - mz)"
+_DET = "(sxx * szz - sxz * sxz)"
+_FIT = f"""my + (szz * sxy - sxz * szy) / {_DET} * (x - mx) + (sxx * szy - sxz * sxy) / {_DET} * (x * x - mz)"""
 SQL["eda_quadratic_fit"] = f"""
 SELECT departure_seconds, "min", "max", "count", mean, {half_up(_FIT, 6)} AS fit
 FROM (SELECT *, departure_seconds / 86400.0::DOUBLE AS x FROM ({SQL["eda_time_of_day"]})) p,

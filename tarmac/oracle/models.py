@@ -17,7 +17,8 @@ SQL["ml_time_split"] = """SELECT CASE WHEN flight_date < DATE '2015-01-23' THEN
   avg(delay) AS mean_delay FROM analysed WHERE flight_date <> DATE '2015-01-23' GROUP BY 1, 2"""
 
 _BY_TIME = f"SELECT carrier AS airline, origin, departure_seconds, {STATS} FROM analysed GROUP BY 1, 2, 3"
-_TRIMMED = f"SELECT carrier AS airline, origin, departure_seconds, {STATS} FROM analysed WHERE delay < 60 GROUP BY 1, 2, 3"
+_TRIMMED = f"""SELECT carrier AS airline, origin, departure_seconds, {STATS} FROM analysed
+  WHERE delay < 60 GROUP BY 1, 2, 3"""
 SQL["ml_mean_delay_by_time"] = _BY_TIME
 SQL["ml_merged_delays"] = f"SELECT airline, origin AS airport_id, departure_seconds, mean FROM ({_TRIMMED})"
 
@@ -39,8 +40,8 @@ SQL["ml_outlier_effect"] = f"""SELECT *, {half_up(_AT_NOON, 4)} AS noon_differen
 _DET = "(sxx * szz - sxz * sxz)"
 _B = f"(CASE WHEN n > 2 THEN (szz * sxy - sxz * szy) / {_DET} WHEN n = 2 THEN sxy / sxx ELSE 0.0 END)"
 _C = f"(CASE WHEN n > 2 THEN (sxx * szy - sxz * sxy) / {_DET} ELSE 0.0 END)"
-SQL["ml_poly_fit"] = f"""SELECT airline, origin, n AS train_points, {half_up(f"my - {_B} * mx - {_C} * mz", 4)} AS c0,
-  {half_up(_B, 4)} AS c1, {half_up(_C, 4)} AS c2, {half_up(f"greatest(syy - {_B} * sxy - {_C} * szy, 0.0)", 4)} AS mse
+SQL["ml_poly_fit"] = f"""SELECT airline, origin, n AS train_points, {half_up(f"my - {_B} * mx - {_C} * mz", 2)} AS c0,
+  {half_up(_B, 2)} AS c1, {half_up(_C, 2)} AS c2, {half_up(f"greatest(syy - {_B} * sxy - {_C} * szy, 0.0)", 2)} AS mse
 FROM (SELECT airline, origin, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS sxx,
     var_pop(z) AS szz, var_pop(y) AS syy, covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy
   FROM (SELECT airline, origin, mean AS y, departure_seconds / 86400.0::DOUBLE AS x,
@@ -92,7 +93,8 @@ SQL["ml_split_eval"] = f"""SELECT * FROM ({_SPLIT_SCOPE}
 SELECT part, count(*) AS points, {half_up(f"avg({_ERROR})", 4)} AS mse,
   {half_up(f"sqrt(avg({_ERROR}))", 4)} AS rmse_minutes FROM ({_SPLIT}) GROUP BY part)"""
 SQL["ml_residual_terms"] = f"""SELECT * FROM ({_SPLIT_SCOPE}
-SELECT airport_id, departure_seconds, {half_up(_ERROR, 4)} AS squared_error, {half_up("prediction", 4)} AS prediction, mean
+SELECT airport_id, departure_seconds, {half_up(_ERROR, 4)} AS squared_error,
+  {half_up("prediction", 4)} AS prediction, mean
 FROM ({_SPLIT}) WHERE part = 'test' AND {_ERROR} > 400)"""
 
 _BEFORE, _AFTER = (
@@ -102,7 +104,8 @@ _BEFORE, _AFTER = (
     for side in ("<", ">")
 )
 _HOLDOUT_ERROR = f"power(my + {_B} * (x - mx) + {_C} * (z - mz) - y, 2)"
-SQL["ml_eval_holdout"] = f"""SELECT airline, origin, count(*) AS points, {half_up(f"avg({_HOLDOUT_ERROR})", 4)} AS mse,
+SQL["ml_eval_holdout"] = f"""SELECT airline, origin, count(*) AS points,
+  {half_up(f"avg({_HOLDOUT_ERROR})", 4)} AS mse,
   {half_up(f"sqrt(avg({_HOLDOUT_ERROR}))", 4)} AS rmse_minutes
 FROM ({_AFTER}) JOIN (SELECT airline, origin, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS sxx,
     var_pop(z) AS szz, covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy
@@ -117,7 +120,8 @@ SQL["ml_ols_all_airports"] = _rounded(_OLS)
 SQL["ml_poly_all_airports"] = _rounded(_POLY)
 _OFF = "count(*) FILTER (WHERE abs(prediction - mean) > 15)"
 SQL["ml_large_error_share"] = " UNION ALL ".join(
-    f"SELECT {order} AS polynomial_order, count(*) AS points, {pct(_OFF, 'count(*)')} AS large_error_pct FROM ({source})"
+    f"SELECT {order} AS polynomial_order, count(*) AS points, {pct(_OFF, 'count(*)')} AS large_error_pct"
+    f" FROM ({source})"
     for order, source in ((1, _OLS), (2, _POLY))
 )
 SQL["ml_pred_vs_obs"] = f"""SELECT count(*) AS points, {half_up("regr_slope(prediction, mean)", 4)} AS slope,

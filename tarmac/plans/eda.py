@@ -281,8 +281,9 @@ def route_delay(flights: DataFrame, cap: int = 90) -> DataFrame:
 
 def airport_series(flights: DataFrame, airline: str, origin: str) -> DataFrame:
     """Delays of late-arriving flights of one airline and origin in departure order."""
+    chosen = (F.col("airline") == airline) & (F.col("origin") == origin)
     return (
-        flights.filter((F.col("airline") == airline) & (F.col("origin") == origin) & (F.col("arr_delay") > 0))
+        flights.filter(chosen & (F.col("arr_delay") > 0))
         .select(_departure_timestamp().alias("departure_ts"), "FLIGHT_NUMBER", "TAIL_NUMBER", "delay", "departure_seconds")
         .orderBy("departure_ts", "FLIGHT_NUMBER", "TAIL_NUMBER")
     )
@@ -300,7 +301,7 @@ def quadratic_fit(by_time: DataFrame) -> DataFrame:
     """
     everything = Window.partitionBy()
     x, z, y = F.col("_x"), F.col("_z"), F.col("mean")
-    scaled = by_time.withColumn("_x", F.col("departure_seconds") / 43200.0 - 1.0).withColumn("_z", F.col("_x") * F.col("_x"))
+    scaled = by_time.withColumn("_x", F.col("departure_seconds") / 43200.0 - 1.0).withColumn("_z", x * x)
     sums = {
         "_mx": F.avg(x), "_mz": F.avg(z), "_my": F.avg(y),
         "_xx": F.var_pop(x), "_zz": F.var_pop(z), "_xz": F.covar_pop(x, z),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import clocks, kpi, rules
 from tarmac.operators import dims, facts, integrity, quality
-from tarmac.operators.star import Star
+from tarmac.operators.star import Star, fact_path
 from tarmac.oracle import eda as eda_oracles
 from tarmac.oracle import mapping
 from tarmac.oracle import models as model_oracles
@@ -225,7 +225,8 @@ def _unmapped_codes(bed):
 
 @_loading("table_stats")
 def _table_stats(bed):
-    return tables.table_stats(bed.spark, bed.warehouse_path)
+    bed.star  # loaded first
+    return tables.table_stats(bed.spark, fact_path(bed.warehouse))
 
 
 # --- dimensions ------------------------------------------------------------------------------------------
@@ -649,7 +650,7 @@ def _poly_fit(bed) -> DataFrame:
     c = F.col("coefficients")
     return _rounded(
         fits.select("airline", "origin", "train_points", *[c[k].alias(f"c{k}") for k in range(3)], "mse"),
-        4, "c0", "c1", "c2", "mse",
+        2, "c0", "c1", "c2", "mse",
     )
 
 

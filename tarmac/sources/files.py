@@ -62,8 +62,8 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text, named by the header line."""
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """All columns as text, named by the header line; files with another header raise an error."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType, required: Sequence[str]) -> DataFrame:

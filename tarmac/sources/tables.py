@@ -34,16 +34,16 @@ def write_fact(fact: DataFrame, path: str, mode: str = "append") -> None:
 def new_members(existing: DataFrame, incoming: DataFrame, code: str, key: str) -> DataFrame:
     """Rows of ``incoming`` whose code is not loaded yet, with keys that continue the existing ones.
 
-    Keys already handed out never change. Dimensions are bounded by their subject (carriers, airports,
-    days), so numbering the few new members in one window is safe.
+    Keys already handed out never change; a dimension whose code is its key (the date) keeps it.
+    Dimensions are bounded by their subject (carriers, airports, days), so numbering the few new
+    members in one window is safe.
     """
+    fresh = incoming.join(existing.select(code), code, "left_anti")
+    if code == key:
+        return fresh.select(*existing.columns)
     last_key = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("last")).scalar()
     number = F.row_number().over(Window.orderBy(code))
-    return (
-        incoming.join(existing.select(code), code, "left_anti")
-        .withColumn(key, (number + last_key).cast("int"))
-        .select(*existing.columns)
-    )
+    return fresh.withColumn(key, (number + last_key).cast("int")).select(*existing.columns)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

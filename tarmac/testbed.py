@@ -63,12 +63,13 @@ class Testbed:
 
     @cached_property
     def star(self) -> star_module.Star:
-        path = fresh_path(self.spark, "warehouse")
-        return star_module.load_star(self.spark, self.flights, self.airlines, self.airports, path)
+        return star_module.load_star(
+            self.spark, self.flights, self.airlines, self.airports, self.warehouse
+        )
 
     @cached_property
-    def warehouse_path(self) -> str:
-        return self.star.fact.inputFiles()[0].split("/fact_flights/")[0] + "/fact_flights"
+    def warehouse(self) -> str:
+        return fresh_path(self.spark, "warehouse")
 
     def write_csv(self, df: DataFrame, name: str, tokens: list[str] | None = None) -> str:
         """Write CSV, optionally spelling nulls with different tokens from row to row."""

@@ -6,10 +6,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.functions import rules
 from tarmac.operators import integrity, quality, star
 from tarmac.plans import views
 from tarmac.sources import files
@@ -53,6 +55,7 @@ def load_warehouse(
     max_files: int | None = None,
     start: str = "2015-01-01",
     end: str = "2015-12-31",
+    holidays: Sequence[str] = rules.HOLIDAYS_2015,
 ) -> LoadReport:
     """Check the sources, load dimensions and facts, register the views, check the result.
 
@@ -66,7 +69,7 @@ def load_warehouse(
         raise ValueError("sample_rows applies to full loads")
     airlines = files.read_airlines(spark, sources.airlines)
     airports = files.read_airports(spark, sources.airports)
-    loaded = star.load_dims(spark, airlines, airports, warehouse, start, end)
+    loaded = star.load_dims(spark, airlines, airports, warehouse, start, end, holidays)
     if incremental:
         ingest = FlightIngest(
             spark, sources.flights, loaded, warehouse, f"{warehouse}/_checkpoint",
@@ -79,7 +82,7 @@ def load_warehouse(
         if sample_rows:
             flights = files.first_rows(flights, sample_rows)
         loaded = star.load_fact(spark, flights, loaded, warehouse)
-        batches, rejected = [], quality.bad_rows(flights)
+        batches, rejected = [], quality.rejected_rows(flights, loaded.airport)
     loaded = replace(loaded, fact=spark.read.parquet(star.fact_path(warehouse)))
     views.register_views(loaded)
     return LoadReport(

@@ -33,6 +33,13 @@ def test_missing_critical_fields_and_impossible_dates(spark, star):
     assert listed == {0: "AIRLINE", 1: "DAY", 3: "YEAR,ORIGIN_AIRPORT"}
 
 
+def test_fact_and_rejected_rows_cover_the_source(bed, star):
+    rejected = quality.rejected_rows(bed.flights, star.airport)
+    assert rejected.count() + star.fact.count() == bed.flights.count()
+    kinds = {r.reason.split(" ")[0] for r in rejected.select("reason").distinct().collect()}
+    assert {"missing", "unknown"} <= kinds
+
+
 def test_missing_measures_become_zero(spark, star):
     names = ["DEPARTURE_DELAY", "ARRIVAL_DELAY", "SCHEDULED_TIME", "DISTANCE", "TAIL_NUMBER", "CANCELLED", "DIVERTED"]
     row = build(spark, star, {n: None for n in names})[0]
@@ -49,8 +56,8 @@ def test_missing_measures_become_zero(spark, star):
     ],
 )
 def test_severity(spark, delay, severity):
-    row = spark.range(1).select(rules.delay_severity(F.lit(False), F.lit(delay)), rules.delay_severity(F.lit(True), F.lit(delay)))
-    assert tuple(row.first()) == (severity, "Cancelled")
+    flown, cancelled = (rules.delay_severity(F.lit(c), F.lit(delay)) for c in (False, True))
+    assert tuple(spark.range(1).select(flown, cancelled).first()) == (severity, "Cancelled")
 
 
 def test_primary_cause(spark, star):

@@ -25,6 +25,8 @@ def test_resume_reset_and_quarantine(spark, star):
     assert load.fact().count() == 3
     state = {r.batch_id: (r.loaded_rows, r.rejected_rows) for r in load.state().collect()}
     assert state == {0: (1, 2), 1: (2, 0)}
+    reasons = sorted(r.reason for r in load.quarantine().collect())
+    assert reasons == ["impossible date", "missing AIRLINE"]
 
     fresh = load.reset()
     assert sum(p["input_rows"] for p in fresh.run()) == 5 and fresh.fact().count() == 3

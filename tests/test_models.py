@@ -13,7 +13,8 @@ def by_time(bed):
 
 @pytest.fixture(scope="module")
 def merged(by_time):
-    return by_time.filter("airline = 'AA'").select(F.col("origin").alias("airport_id"), "departure_seconds", "mean").cache()
+    chosen = by_time.filter("airline = 'AA'")
+    return chosen.select(F.col("origin").alias("airport_id"), "departure_seconds", "mean").cache()
 
 
 def design(rows, airports, order):
@@ -86,7 +87,9 @@ def test_cross_validation_equals_numpy(by_time):
 
 def test_fold_sizes(by_time):
     folds = models.with_fold(by_time, 10).groupBy("airline", "origin", "fold").count()
-    spread = folds.groupBy("airline", "origin").agg((F.max("count") - F.min("count")).alias("d"), F.count("*").alias("k"))
+    spread = folds.groupBy("airline", "origin").agg(
+        (F.max("count") - F.min("count")).alias("d"), F.count("*").alias("k")
+    )
     assert spread.filter("k = 10 and d > 1").isEmpty()
 
 
@@ -121,7 +124,8 @@ def test_split_does_not_depend_on_partitioning(merged):
 
 def test_split_bias_uses_every_split(by_time):
     busiest = by_time.groupBy("airline", "origin").count().orderBy(F.desc("count")).first()
-    found = models.split_bias(by_time.filter((F.col("airline") == busiest.airline) & (F.col("origin") == busiest.origin)))
+    chosen = (F.col("airline") == busiest.airline) & (F.col("origin") == busiest.origin)
+    found = models.split_bias(by_time.filter(chosen))
     assert found.count() == 40 and found.filter("best_order not between 1 and 3").isEmpty()
 
 

@@ -127,7 +127,9 @@ def test_percent_rounds_ties_up_and_survives_empty_groups(spark):
 
 
 def test_rounded_ratio_and_half_up_are_symmetric(spark):
-    ratio = lambda a, b: one(spark, kpi.rounded_ratio(F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), 1))
+    def ratio(total, n):
+        return one(spark, kpi.rounded_ratio(F.lit(total).cast("bigint"), F.lit(n).cast("bigint"), 1))
+
     assert ratio(5, 20) == 0.3 and ratio(-5, 20) == -0.3 and ratio(1, 0) is None
     assert one(spark, kpi.half_up(F.lit(-2.5), 0)) == -3.0 and one(spark, kpi.half_up(F.lit(2.5), 0)) == 3.0
 

@@ -25,8 +25,8 @@ def test_null_tokens_and_column_order(spark, tmp_path):
 
 
 def test_unparseable_numbers_become_null(spark, tmp_path):
-    path = write(tmp_path, "a.csv", "IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\nX,Y,Z,CA,USA,north,12.5\n,Y,Z,,,,\n")
-    rows = files.read_airports(spark, path).collect()
+    text = "IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\nX,Y,Z,CA,USA,north,12.5\n,Y,Z,,,,\n"
+    rows = files.read_airports(spark, write(tmp_path, "a.csv", text)).collect()
     assert len(rows) == 1 and rows[0].LATITUDE is None and rows[0].LONGITUDE == 12.5
 
 
@@ -41,7 +41,8 @@ def test_backslash_n(spark, tmp_path):
         '1,"one","A ""quoted"", name","X","Y",1.5,-2.5,10,"http://example.org"\n'
         '2,"two","B","X","Y",1.5,-2.5,\\N,"http://example.org"\n'
     )
-    one, two = files.read_backslash_n(spark, write(tmp_path, "c.csv", text), schemas.CIRCUITS).orderBy("circuitId").collect()
+    circuits = files.read_backslash_n(spark, write(tmp_path, "c.csv", text), schemas.CIRCUITS)
+    one, two = circuits.orderBy("circuitId").collect()
     assert one.name == 'A "quoted", name' and one.alt == 10 and two.alt is None
 
 
@@ -86,3 +87,20 @@ def test_append_of_nothing_changes_nothing(spark, tmp_path):
     tables.append(df, path, ["MONTH"])
     tables.append(df.filter(F.lit(False)), path, ["MONTH"])
     assert spark.read.parquet(path).count() == 2
+
+
+def test_load_once_extends_the_calendar_with_its_own_keys(spark, tmp_path):
+    path = str(tmp_path / "dim_date")
+    for year in (2015, 2016):
+        days = dims.build_dates(spark, f"{year}-01-01", f"{year}-12-31")
+        loaded = tables.load_once(spark, days, path, "date_key", "date_key")
+    assert loaded.count() == 365 + 366 and loaded.filter("date_key = 20160229 and day = 29").count() == 1
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "airlines"
+    folder.mkdir()
+    (folder / "a.csv").write_text("IATA_CODE,AIRLINE\nAA,American\n")
+    (folder / "b.csv").write_text("AIRLINE,IATA_CODE\nDelta,DL\n")
+    with pytest.raises(Exception, match="header|schema"):
+        files.read_airlines(spark, str(folder)).collect()
