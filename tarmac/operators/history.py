@@ -63,6 +63,7 @@ def trailing_average(
     """Add ``name``: the mean ``value`` of the ``rows`` rows before each row of its peer group.
 
     The order inside a group is ``day``, then ``tie_key``, a hash of the row identity in hexadecimal.
+    ``value`` is an integer column, null values do not count.
     ``base`` holds the same rows as ``df`` before other windows were added, so that finding hot groups
     and their chunk tails does not repeat those windows.
 
@@ -96,9 +97,19 @@ def trailing_average(
         .withColumn("_prefix", F.lit(True))
     )
     body = _chunked(df, hot, keys, day, tie_key, "left").withColumn("_prefix", F.lit(False))
+    # Differences of running totals cost the same for every row, whatever the number of rows; a
+    # sliding frame would add up all of them again for each row.
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = body.unionByName(prefix, allowMissingColumns=True).withColumns(
+        {"_sum": F.sum(F.coalesce(value, F.lit(0))).over(upto), "_count": F.count(value).over(upto)}
+    )
+
+    def trailing(total: str) -> Column:
+        return F.lag(total, 1, 0).over(ordered) - F.lag(total, rows + 1, 0).over(ordered)
+
+    n = F.nullif(trailing("_count"), F.lit(0).cast("bigint"))
     return (
-        body.unionByName(prefix, allowMissingColumns=True)
-        .withColumn(name, F.avg(value).over(ordered.rowsBetween(-rows, -1)))
+        running.withColumn(name, trailing("_sum") / n)
         .filter(~F.col("_prefix"))
-        .drop("_day", "_slice", "_prefix")
+        .drop("_day", "_slice", "_prefix", "_sum", "_count")
     )

@@ -563,8 +563,8 @@ def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_
         "departure_time_key", "distance_miles", "scheduled_elapsed_minutes", "departure_delay_minutes",
         "is_cancelled", (weather() > 0).cast("int").alias("has_weather_delay"),
     )
-    flights = with_airline(flights, star, "airline_code", "airline_type")
-    flights = flights.join(star.date.select("date_key", "day_of_week"), "date_key")
+    # The windows move whole rows, so text is attached after them.
+    flights = _known_airline(flights, star).join(star.date.select("date_key", "day_of_week"), "date_key")
     peers = {
         "historical_avg_delay_airline_airport": ["airline_key", "origin_airport_key"],
         "historical_avg_delay_route": ["origin_airport_key", "destination_airport_key"],
@@ -580,6 +580,7 @@ def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_
         F.col("time_key").alias("departure_time_key"), "hour", "hour_category", "is_business_hours"
     )
     named = featured.join(days, "date_key").join(hours, "departure_time_key", "left")
+    named = with_airline(named, star, "airline_code", "airline_type")
     named = with_airport(named, star, "origin", origin_airport="airport_code", origin_state="state")
     named = with_airport(
         named, star, "destination", destination_airport="airport_code", destination_state="state"
