@@ -145,14 +145,20 @@ def total_delay() -> Column:
     return total
 
 
-def primary_cause(departure_delay: Column) -> Column:
-    """Cause with the most minutes of a delayed flight; ties go to the earlier one in the list."""
-    minutes = {name: F.coalesce(F.col(name), F.lit(0)) for name, _ in CAUSE_PRIORITY}
-    most = F.greatest(*minutes.values())
+def most_cause_minutes() -> Column:
+    """The largest of the five cause columns of a flight."""
+    return F.greatest(*[F.coalesce(F.col(name), F.lit(0)) for name, _ in CAUSE_PRIORITY])
+
+
+def primary_cause(departure_delay: Column, most: Column) -> Column:
+    """Cause with the most minutes of a delayed flight; ties go to the earlier one in the list.
+
+    ``most`` is a column that holds ``most_cause_minutes()``, computed once per row.
+    """
     result = F.when(departure_delay <= 0, "NO_DELAY").when(most <= 0, "UNKNOWN")
-    for name, code in CAUSE_PRIORITY:
-        result = result.when(minutes[name] == most, code)
-    return result.otherwise("UNKNOWN")
+    for name, code in CAUSE_PRIORITY[:-1]:
+        result = result.when(F.col(name) == most, code)
+    return result.otherwise(CAUSE_PRIORITY[-1][1])
 
 
 def traffic_period(hour: Column) -> Column:

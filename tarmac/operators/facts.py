@@ -138,9 +138,13 @@ def business_flags() -> dict[str, Column]:
     }
 
 
+def add_primary_cause(flights: DataFrame) -> DataFrame:
+    code = rules.primary_cause(F.col("departure_delay_minutes"), F.col("_most"))
+    return flights.withColumn("_most", rules.most_cause_minutes()).withColumn("primary_cause", code).drop("_most")
+
+
 def resolve_cause(flights: DataFrame, causes: DataFrame) -> DataFrame:
-    code = rules.primary_cause(F.col("departure_delay_minutes"))
-    caused = flights.withColumn("primary_cause", code)
+    caused = add_primary_cause(flights)
     keyed = _lookup(caused, causes, "cause_code", "delay_cause_key", "primary_cause", "delay_cause_key", "left")
     unknown = causes.filter("cause_code = 'UNKNOWN'").select("delay_cause_key").scalar()
     return keyed.withColumn("delay_cause_key", F.coalesce("delay_cause_key", unknown))

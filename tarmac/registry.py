@@ -334,8 +334,8 @@ def _time_period(bed):
 
 
 def _flights_per_cause(bed) -> DataFrame:
-    cause = rules.primary_cause(F.col("departure_delay_minutes")).alias("cause_code")
-    return facts.clean(bed.flights).groupBy(cause).agg(_flights())
+    caused = facts.add_primary_cause(facts.clean(bed.flights))
+    return caused.groupBy(F.col("primary_cause").alias("cause_code")).agg(_flights())
 
 
 @_loading("dim_delay_cause")

@@ -23,7 +23,7 @@ def local_session(cores: str = "8", app: str = "tarmac") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        # Methods above this size are never compiled by the JVM; split them instead.
+        # The JVM interprets generated methods above this size; smaller ones per operator get compiled.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
