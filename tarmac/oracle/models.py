@@ -40,8 +40,8 @@ SQL["ml_outlier_effect"] = f"""SELECT *, {half_up(_AT_NOON, 4)} AS noon_differen
 _DET = "(sxx * szz - sxz * sxz)"
 _B = f"(CASE WHEN n > 2 THEN (szz * sxy - sxz * szy) / {_DET} WHEN n = 2 THEN sxy / sxx ELSE 0.0 END)"
 _C = f"(CASE WHEN n > 2 THEN (sxx * szy - sxz * sxy) / {_DET} ELSE 0.0 END)"
-SQL["ml_poly_fit"] = f"""SELECT airline, origin, n AS train_points, {half_up(f"my - {_B} * mx - {_C} * mz", 2)} AS c0,
-  {half_up(_B, 2)} AS c1, {half_up(_C, 2)} AS c2, {half_up(f"greatest(syy - {_B} * sxy - {_C} * szy, 0.0)", 2)} AS mse
+SQL["ml_poly_fit"] = f"""SELECT airline, origin, n AS train_points, {half_up(f"my - {_B} * mx - {_C} * mz", 3)} AS c0,
+  {half_up(_B, 3)} AS c1, {half_up(_C, 3)} AS c2, {half_up(f"greatest(syy - {_B} * sxy - {_C} * szy, 0.0)", 3)} AS mse
 FROM (SELECT airline, origin, count(*) AS n, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS sxx,
     var_pop(z) AS szz, var_pop(y) AS syy, covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy
   FROM (SELECT airline, origin, mean AS y, departure_seconds / 86400.0::DOUBLE AS x,

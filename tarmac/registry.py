@@ -650,7 +650,7 @@ def _poly_fit(bed) -> DataFrame:
     c = F.col("coefficients")
     return _rounded(
         fits.select("airline", "origin", "train_points", *[c[k].alias(f"c{k}") for k in range(3)], "mse"),
-        2, "c0", "c1", "c2", "mse",
+        3, "c0", "c1", "c2", "mse",
     )
 
 
