@@ -7,12 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import hyperlang, license_automaton
+from tarmac.llm import cutting_stock, hyperlang, license_automaton, merkle, rank_bpe, toxicity
 from tarmac.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    """The byte-level vocabulary the queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = cutting_stock.cut(table(spark, sf_dir, "documents"), rank_bpe.encoder(vocabulary()))
+    return cutting_stock.pack(spark, pieces)
+
+
+def op5_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_study(spark, table(spark, sf_dir, "documents"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
+    """Learned from the labelled documents outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold("doc_id", 5) != 0)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.learn(docs.join(labels, "doc_id"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_automaton.license_scan(table(spark, sf_dir, "documents"))
     return found.drop("spans")
@@ -28,6 +60,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_cutting_stock": op4_cutting_stock,
+        "op5_rank_bpe": op5_rank_bpe,
+        "op6_merkle": op6_merkle,
+        "op7_toxicity": op7_toxicity,
         "op9_license_scan": op9_license_scan,
         "op10_language_id": op10_language_id,
     }
