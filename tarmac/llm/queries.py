@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import cutting_stock, hyperlang, license_automaton, merkle, rank_bpe, toxicity
+from tarmac.llm import cutting_stock, hyperlang, license_automaton, merkle, rank_bpe, suffix_tree_lm, toxicity
 from tarmac.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = suffix_tree_lm.score(spark, docs, fold("doc_id", 10) != 0)
+    held_out = (fold("doc_id", 10) == 0).alias("held_out")
+    return scored.select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_automaton.license_scan(table(spark, sf_dir, "documents"))
     return found.drop("spans")
@@ -64,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op5_rank_bpe": op5_rank_bpe,
         "op6_merkle": op6_merkle,
         "op7_toxicity": op7_toxicity,
+        "op8_suffix_tree_lm": op8_suffix_tree_lm,
         "op9_license_scan": op9_license_scan,
         "op10_language_id": op10_language_id,
     }

@@ -229,7 +229,7 @@ def learn(
     label_col: str = "toxic",
     per_class: int = 8_000,
     max_entries: int = 2_000,
-    min_docs: int = 5,
+    min_docs: int = 3,
     min_weight: float = 2.5,
     window: int = 8,
 ) -> Model | None:
