@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.session import cut_lineage
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words_of(text: str) -> list[str]:
+    """What stands between ASCII white space, with A-Z lower-cased."""
+    return WORD.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

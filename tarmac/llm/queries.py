@@ -13,6 +13,7 @@ from tarmac.llm import (
     hyperlang,
     license_automaton,
     merkle,
+    ngram_jaccard,
     pivot_index,
     rank_bpe,
     suffix_tree_lm,
@@ -30,6 +31,40 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_jaccard.near_groups(spark, docs, size=3, numerator=90, denominator=100)
+
+
+_OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM words
+),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+),
+linked AS (
+  SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id
+  WHERE 100 * common >= 90 * (len(x.s) + len(y.s) - common)
+),
+links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_reached AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM sets LEFT JOIN least_reached ON doc_id = a
+"""
+
+
 #: The conversation that every run of the chat query adds: control strings inside both texts.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -132,6 +167,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_chat_tree": op2_chat_tree,
         "op3_pivot_index": op3_pivot_index,
         "op4_cutting_stock": op4_cutting_stock,
@@ -145,4 +181,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_chat_tree": _OP2_SQL, "op3_pivot_index": _OP3_SQL}
+    return {"op1_ngram_jaccard": _OP1_SQL, "op2_chat_tree": _OP2_SQL, "op3_pivot_index": _OP3_SQL}
