@@ -18,13 +18,14 @@ from tarmac.llm import (
     rank_bpe,
     suffix_tree_lm,
     toxicity,
+    vocabulary,
 )
 from tarmac.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def vocabulary() -> str:
+def vocabulary_path() -> str:
     """The byte-level vocabulary the queries use; operators take any path."""
     import public_tokenizers
 
@@ -119,12 +120,12 @@ FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN c ON v.vec_id = c.a
 
 
 def op4_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = cutting_stock.cut(table(spark, sf_dir, "documents"), rank_bpe.encoder(vocabulary()))
+    pieces = cutting_stock.cut(table(spark, sf_dir, "documents"), vocabulary.encoder(vocabulary_path()))
     return cutting_stock.pack(spark, pieces)
 
 
 def op5_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+    return rank_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
