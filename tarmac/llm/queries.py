@@ -136,7 +136,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
     """Learned from the labelled documents outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold("doc_id", 5) != 0)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.learn(docs.join(labels, "doc_id"))
+    return toxicity.learn(spark, docs, labels)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

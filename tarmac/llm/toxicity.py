@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import bounded_sample, texts
+from tarmac.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words that introduce somebody else's speech, in a few languages.
@@ -223,7 +224,9 @@ def _candidates(text: str) -> set[str]:
 
 
 def learn(
-    labelled: DataFrame,
+    spark: SparkSession,
+    docs: DataFrame,
+    labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
@@ -233,17 +236,18 @@ def learn(
     min_weight: float = 2.5,
     window: int = 8,
 ) -> Model | None:
-    """Learn lexicon and weights from at most about ``per_class`` documents of each label.
+    """Learn lexicon and weights from at most about ``per_class`` labelled documents of each label.
 
-    The sample is chosen by a hash of the id over all labelled rows; rows without a label are ignored, null
+    The sample is chosen by a hash of the id over all rows of ``labels``; only its ids, bounded by ``per_class``,
+    are broadcast to the documents. Labels other than 0 and 1 and rows without a document are ignored, null
     texts are empty. The lexicon holds the ``max_entries`` terms and stems that occur in at least ``min_docs``
     toxic documents with log odds of ``min_weight`` or more; terms that one of its stems covers are left out.
     None if a label is missing altogether.
     """
-    rows = bounded_sample(labelled.filter(F.col(label_col).isin(0, 1)), label_col, id_col, per_class)
-    rows = rows.select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label")
-    )
+    labelled = labels.select(id_col, F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
+    chosen = bounded_sample(labelled, "label", id_col, per_class)
+    texts_of = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = cut_lineage(spark, texts_of.join(F.broadcast(chosen), id_col).select("text", "label"), "sample")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
