@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import bounded_sample, texts
@@ -43,18 +43,19 @@ class Lexicon:
 class Matcher:
     """Deterministic product of the lexicon trie and its Levenshtein automata, built as words ask for it.
 
-    Entries of ``min_fuzzy`` letters or more are met within one edit (insertion, deletion, substitution or two
-    neighbours swapped), shorter ones exactly. A stem is met by any word that begins within reach of it.
+    Whole terms of ``min_fuzzy`` letters or more are met within one edit (insertion, deletion, substitution or
+    two neighbours swapped), shorter ones exactly. A stem is met by any word that begins with it.
     """
 
     def __init__(self, lexicon: Lexicon):
         self.weights = lexicon.weights
         self.children: list[dict[str, int]] = [{}]
         self.terms: list[list[str]] = [[]]
-        self.reach: list[int] = [0]  # the longest entry below a node
+        self.reach: list[int] = [0]  # the longest whole term below a node
         for entry in sorted(lexicon.weights):
             node, letters = 0, entry.rstrip("*")
-            self.reach[0] = max(self.reach[0], len(letters))
+            reach = 0 if entry.endswith("*") else len(letters)
+            self.reach[0] = max(self.reach[0], reach)
             for letter in letters:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
@@ -62,7 +63,7 @@ class Matcher:
                     self.terms.append([])
                     self.reach.append(0)
                 node = self.children[node][letter]
-                self.reach[node] = max(self.reach[node], len(letters))
+                self.reach[node] = max(self.reach[node], reach)
             self.terms[node].append(entry)
         self.min_fuzzy = lexicon.min_fuzzy
         start = self._close({(0, 0, "")})
@@ -90,7 +91,7 @@ class Matcher:
             if owed:
                 continue
             for entry in self.terms[node]:
-                if edits and len(entry.rstrip("*")) < self.min_fuzzy:
+                if edits and (entry.endswith("*") or len(entry) < self.min_fuzzy):
                     continue
                 found = (self.weights[entry], entry, not edits)
                 if best is None or (found[2], found[0], entry) > (best[2], best[0], best[1]):
@@ -152,7 +153,9 @@ class Matcher:
         return found
 
 
-FEATURES = ("exact", "fuzzy", "entries", "strongest", "quoted", "dense", "share")
+FEATURES = ("hits", "entries", "strongest", "quoted", "dense", "share")
+#: What a misspelled term counts for, of an exact one.
+FUZZY = 0.7
 
 
 def hits(matcher: Matcher, text: str, window: int = 8) -> list[tuple[int, str, bool, bool, int]]:
@@ -182,10 +185,9 @@ def features(matcher: Matcher, text: str, window: int = 8) -> list[float]:
     exact, fuzzy = sum(f[2] for f in plain), sum(not f[2] for f in plain)
     words = len(WORD.findall(text))
     return [
-        np.log1p(exact),
-        np.log1p(fuzzy),
+        np.log1p(exact + FUZZY * fuzzy),
         np.log1p(len({f[1] for f in plain})),
-        max((matcher.weights[f[1]] * (1.0 if f[2] else 0.5) for f in plain), default=0.0) / 5,
+        max((matcher.weights[f[1]] * (1.0 if f[2] else FUZZY) for f in plain), default=0.0) / 5,
         np.log1p(sum(f[3] for f in found)),
         np.log1p(sum(f[4] > 0 for f in plain)),
         min(1.0, 10 * len(plain) / max(1, words)),
@@ -223,6 +225,31 @@ def _candidates(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEM_SIZES if len(w) > n}
 
 
+def _cover(found: list[tuple[str, int, float]], same: float = 0.95) -> dict[str, float]:
+    """Entries of (entry, toxic documents, weight) such that none begins like a stem among them.
+
+    Each shortest stem covers the longer ones and the terms below it. Where one of those alone occurs in nearly
+    as many documents, it stands for the stem, as a longer entry tells more.
+    """
+    stems: set[str] = set()
+    for entry, _, _ in sorted(found, key=lambda f: len(f[0])):
+        if entry.endswith("*") and not any(entry.startswith(s) for s in stems):
+            stems.add(entry[:-1])
+    cover: dict[str, float] = {}
+    below: dict[str, list] = {s: [] for s in stems}
+    for f in found:
+        stem = next((f[0][:n] for n in STEM_SIZES if f[0][:n] in stems), None)
+        if stem is None:
+            cover[f[0]] = f[2]
+        else:
+            below[stem].append(f)
+    for entries in below.values():
+        most = max(f[1] for f in entries if f[0].endswith("*"))
+        entry, _, weight = max((f for f in entries if f[1] >= same * most), key=lambda f: (len(f[0].rstrip("*")), f[0]))
+        cover[entry] = weight
+    return cover
+
+
 def learn(
     spark: SparkSession,
     docs: DataFrame,
@@ -233,6 +260,7 @@ def learn(
     per_class: int = 8_000,
     max_entries: int = 2_000,
     min_docs: int = 3,
+    min_share: float = 0.015,
     min_weight: float = 2.5,
     window: int = 8,
 ) -> Model | None:
@@ -240,8 +268,9 @@ def learn(
 
     The sample is chosen by a hash of the id over all rows of ``labels``; only its ids, bounded by ``per_class``,
     are broadcast to the documents. Labels other than 0 and 1 and rows without a document are ignored, null
-    texts are empty. The lexicon holds the ``max_entries`` terms and stems that occur in at least ``min_docs``
-    toxic documents with log odds of ``min_weight`` or more; terms that one of its stems covers are left out.
+    texts are empty. Equal texts count once for the lexicon. It holds the ``max_entries`` terms and stems that
+    occur in at least ``min_docs`` toxic documents and ``min_share`` of them, with log odds of ``min_weight`` or more;
+    terms that one of its stems covers are left out.
     None if a label is missing altogether.
     """
     labelled = labels.select(id_col, F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
@@ -260,30 +289,20 @@ def learn(
                     seen.setdefault(entry, [0, 0])[label] += 1
             yield pd.DataFrame([(e, n[0], n[1]) for e, n in seen.items()], columns=["entry", "clean", "toxic"])
 
-    # Of two entries, an odd one in the clean texts of a large sample must weigh little against the evidence.
     weight = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
     found = (
-        rows.mapInPandas(count, "entry string, clean long, toxic long")
+        rows.distinct()
+        .mapInPandas(count, "entry string, clean long, toxic long")
         .groupBy("entry")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter(F.col("toxic") >= min_docs)
+        .filter(F.col("toxic") >= max(min_docs, min_share * sizes[1]))
         .withColumn("weight", weight)
         .filter(F.col("weight") >= min_weight)
         .orderBy((F.col("weight") * F.sqrt("toxic")).desc(), "entry")
         .limit(max_entries)
         .collect()
     )
-    stems: dict[str, float] = {}
-    for r in sorted((r for r in found if r["entry"].endswith("*")), key=lambda r: len(r["entry"])):
-        stem = r["entry"][:-1]
-        if not any(stem[:n] + "*" in stems for n in STEM_SIZES):
-            stems[r["entry"]] = r["weight"]
-    terms = {
-        r["entry"]: r["weight"]
-        for r in found
-        if not r["entry"].endswith("*") and not any(r["entry"][:n] + "*" in stems for n in STEM_SIZES)
-    }
-    lexicon = Lexicon(stems | terms)
+    lexicon = Lexicon(_cover([(r["entry"], r["toxic"], r["weight"]) for r in found]))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(lexicon)
@@ -297,6 +316,19 @@ def learn(
     return Model(lexicon, weights, bias, window)
 
 
+def probability(model: Model, text: Column) -> Column:
+    """The score alone, as a column; null counts as empty."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(model.lexicon)
+        for batch in batches:
+            x = np.array([features(matcher, t, model.window) for t in batch]).reshape(-1, len(FEATURES))
+            yield pd.Series(model.score(x))
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted, hits) for every row: the probability of label 1, whether it is at least 0.5,
     and the hits (word position, entry, exact, quoted).
