@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import bounded_sample, texts
@@ -114,6 +114,22 @@ def learn(labelled: DataFrame, id_col="doc_id", text_col="text", lang_col="lang"
     return {k: v / np.linalg.norm(v) for k, v in sorted(prototypes.items()) if np.linalg.norm(v) > 0}
 
 
+def cosine(prototypes: dict[str, np.ndarray], text: Column) -> Column:
+    """The cosine with the nearest prototype as a column; -1 for null and for texts without a letter."""
+    matrix = np.stack([prototypes[n] for n in sorted(prototypes)]).astype(np.float32)
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = [pd.Series(dtype=float)]
+            for block in _blocks(batch.to_frame("text")):
+                vectors = bundles(block["text"].tolist(), matrix.shape[1])
+                out.append(pd.Series(np.where(vectors.any(axis=1), (vectors @ matrix.T).max(axis=1), -1).astype(float)))
+            yield pd.concat(out, ignore_index=True)
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row.
 
