@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tarmac.functions import clocks
+
 # Name fragments per carrier class, tried in this order.
 AIRLINE_TYPES = [
     ("Major", ["AMERICAN", "DELTA", "UNITED", "SOUTHWEST", "JETBLUE"]),
@@ -29,8 +31,15 @@ STATE_ZONES = {
 }
 DEFAULT_ZONE = "America/New_York"
 
-# The holidays of the 2015 calendar.
-HOLIDAYS_2015 = ["2015-01-01", "2015-05-25", "2015-07-04", "2015-09-07", "2015-11-26", "2015-12-25"]
+# The holidays, as (month, first day, last day, ISO weekday or None for any).
+HOLIDAYS = [
+    (1, 1, 1, None),  # New Year
+    (5, 25, 31, 1),  # last Monday of May
+    (7, 4, 4, None),  # Independence Day
+    (9, 1, 7, 1),  # first Monday of September
+    (11, 22, 28, 4),  # fourth Thursday of November
+    (12, 25, 25, None),  # Christmas
+]
 
 # Cause columns in the order that settles ties, with their cause codes.
 CAUSE_PRIORITY = [
@@ -76,8 +85,15 @@ def season(month: Column) -> Column:
     )
 
 
-def is_holiday(date: Column, holidays: Sequence[str] = HOLIDAYS_2015) -> Column:
-    return date.isin([F.lit(h).cast("date") for h in holidays])
+def is_holiday(date: Column, holidays: Sequence[str] | None = None) -> Column:
+    """Whether a date of any year is a holiday: one of the listed dates, or by the rules without a list."""
+    if holidays is not None:
+        return date.isin([F.lit(h).cast("date") for h in holidays])
+    found = F.lit(False)
+    for month, first, last, weekday in HOLIDAYS:
+        day = (F.month(date) == month) & F.dayofmonth(date).between(first, last)
+        found = found | (day if weekday is None else day & (clocks.iso_weekday(date) == weekday))
+    return F.when(date.isNotNull(), found)
 
 
 def hour_category(hour: Column) -> Column:

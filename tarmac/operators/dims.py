@@ -72,7 +72,7 @@ def size_by_volume(airports: DataFrame, flights: DataFrame, years: int = 1) -> D
     )
 
 
-def calendar_columns(date: str, holidays: Sequence[str]) -> list:
+def calendar_columns(date: str, holidays: Sequence[str] | None = None) -> list:
     """The calendar attributes of a date column."""
     d = F.col(date)
     month = F.month(d)
@@ -99,8 +99,11 @@ def calendar_columns(date: str, holidays: Sequence[str]) -> list:
     ]
 
 
-def calendar(days: DataFrame, holidays: Sequence[str] = rules.HOLIDAYS_2015) -> DataFrame:
-    """The date dimension of the days from ``first`` to ``last`` (a frame with these two columns)."""
+def calendar(days: DataFrame, holidays: Sequence[str] | None = None) -> DataFrame:
+    """The date dimension of the days from ``first`` to ``last`` (a frame with these two columns).
+
+    Holidays follow their rules in every year unless they are listed.
+    """
     every_day = days.select(
         F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("_date")
     )
@@ -111,7 +114,7 @@ def build_dates(
     spark: SparkSession,
     start: str = "2015-01-01",
     end: str = "2015-12-31",
-    holidays: Sequence[str] = rules.HOLIDAYS_2015,
+    holidays: Sequence[str] | None = None,
 ) -> DataFrame:
     bounds = spark.range(1).select(
         F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("last")
@@ -119,6 +122,12 @@ def build_dates(
     return calendar(bounds, holidays)
 
 
+def calendar_of_years(years: DataFrame, holidays: Sequence[str] | None = None) -> DataFrame:
+    """The date dimension of whole calendar years (column ``year``, repeated years count once)."""
+    first, last = (F.make_date("year", F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    return calendar(years.select("year").distinct().select(first.alias("first"), last.alias("last")), holidays)
+
+
 def build_times(spark: SparkSession, taxonomy: str = "standard") -> DataFrame:
     """24 hourly rows, labelled by the standard or the seed taxonomy."""
     if taxonomy == "standard":

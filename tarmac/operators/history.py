@@ -14,13 +14,14 @@ _SLICE_UNITS = 16**4
 def hot_groups(base: DataFrame, keys: Sequence[str], day: str, split_rows: int) -> DataFrame:
     """Peer groups with more than ``split_rows`` rows, and the number of slices their days need.
 
-    There are at most ``rows / split_rows`` such groups, which bounds the size of the result.
+    There are at most ``rows / split_rows`` such groups. The list is joined without a hint: adaptive execution
+    measures it and broadcasts it only below the threshold.
     """
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     large = sizes.filter(F.col("_total") > split_rows).select(*keys)
     # Days are counted in the large groups only; usually there are none.
     per_day = (
-        base.join(F.broadcast(large), list(keys), "left_semi")
+        base.join(large, list(keys), "left_semi")
         .groupBy(*keys, day)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -36,9 +37,8 @@ def _slice(tie_key: str) -> Column:
 def _chunked(df: DataFrame, hot: DataFrame, keys: Sequence[str], day: str, tie_key: str, how: str) -> DataFrame:
     """Add the chunk of each row: (day, slice) in hot groups, one chunk for a whole cold group."""
     split = F.col("_slices").isNotNull()
-    # The list of hot groups is bounded by rows / split_rows, see hot_groups.
     return (
-        df.join(F.broadcast(hot), list(keys), how)
+        df.join(hot, list(keys), how)
         .withColumns(
             {
                 "_day": F.when(split, F.col(day)).otherwise(0),
@@ -49,6 +49,18 @@ def _chunked(df: DataFrame, hot: DataFrame, keys: Sequence[str], day: str, tie_k
     )
 
 
+def needs_split(base: DataFrame, peers: Sequence[Sequence[str]], split_rows: int) -> list[bool]:
+    """For each list of keys, whether any of its groups has more than ``split_rows`` rows; one pass over ``base``."""
+    columns = list(dict.fromkeys(k for keys in peers for k in keys))
+    level = F.grouping_id().alias("_level")
+    sizes = base.groupingSets([list(k) for k in peers], *columns).agg(F.count(F.lit(1)).alias("_n"), level)
+    found = sizes.filter(F.col("_n") > split_rows).select("_level").distinct().collect()  # one row a list at most
+    hot = {r["_level"] for r in found}
+    # The grouping id has a bit for every column that is not among the keys, the first column highest.
+    bits = {c: 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
+    return [sum(bits[c] for c in columns if c not in keys) in hot for keys in peers]
+
+
 def trailing_average(
     df: DataFrame,
     base: DataFrame,
@@ -59,26 +71,31 @@ def trailing_average(
     name: str,
     rows: int,
     split_rows: int,
+    split: bool = True,
 ) -> DataFrame:
     """Add ``name``: the mean ``value`` of the ``rows`` rows before each row of its peer group.
 
-    The order inside a group is ``day``, then ``tie_key``, a hash of the row identity in hexadecimal.
-    ``value`` is an integer column, null values do not count.
+    The order inside a group is ``day``, then ``tie_key``, a hash of the row identity in hexadecimal, then
+    ``value``, an integer column whose null values do not count.
     ``base`` holds the same rows as ``df`` before other windows were added, so that finding hot groups
     and their chunk tails does not repeat those windows.
 
     A group above ``split_rows`` is cut into chunks along that order, by day and by leading hash
     digits. Each chunk receives the last ``rows`` rows that precede it as a prefix, so its window gives
-    the same answer as one window over the whole group.
+    the same answer as one window over the whole group. Without ``split``, for when ``needs_split`` has found no
+    such group, there is only that window.
     """
     keys = list(keys)
+    if not split:
+        ordered = Window.partitionBy(*keys).orderBy(day, tie_key, value)
+        return _trailing(df, ordered, value, name, rows).drop("_sum", "_count")
     narrow = base.select(*dict.fromkeys([*keys, day, tie_key, value]))
     hot = hot_groups(narrow, keys, day, split_rows)
     chunk = [*keys, "_day", "_slice"]
-    ordered = Window.partitionBy(*chunk).orderBy(day, tie_key)
+    ordered = Window.partitionBy(*chunk).orderBy(day, tie_key, value)
 
     # The last rows of every chunk; the row_number limit keeps at most `rows` per chunk and map task.
-    backwards = Window.partitionBy(*chunk).orderBy(F.desc(day), F.desc(tie_key))
+    backwards = Window.partitionBy(*chunk).orderBy(F.desc(day), F.desc(tie_key), F.desc(value))
     tails = (
         _chunked(narrow, hot, keys, day, tie_key, "inner")
         .withColumn("_back", F.row_number().over(backwards))
@@ -97,10 +114,19 @@ def trailing_average(
         .withColumn("_prefix", F.lit(True))
     )
     body = _chunked(df, hot, keys, day, tie_key, "left").withColumn("_prefix", F.lit(False))
+    both = body.unionByName(prefix, allowMissingColumns=True)
+    return (
+        _trailing(both, ordered, value, name, rows)
+        .filter(~F.col("_prefix"))
+        .drop("_day", "_slice", "_prefix", "_sum", "_count")
+    )
+
+
+def _trailing(df: DataFrame, ordered, value: str, name: str, rows: int) -> DataFrame:
     # Differences of running totals cost the same for every row, whatever the number of rows; a
     # sliding frame would add up all of them again for each row.
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = body.unionByName(prefix, allowMissingColumns=True).withColumns(
+    running = df.withColumns(
         {"_sum": F.sum(F.coalesce(value, F.lit(0))).over(upto), "_count": F.count(value).over(upto)}
     )
 
@@ -108,8 +134,4 @@ def trailing_average(
         return F.lag(total, 1, 0).over(ordered) - F.lag(total, rows + 1, 0).over(ordered)
 
     n = F.nullif(trailing("_count"), F.lit(0).cast("bigint"))
-    return (
-        running.withColumn(name, trailing("_sum") / n)
-        .filter(~F.col("_prefix"))
-        .drop("_day", "_slice", "_prefix", "_sum", "_count")
-    )
+    return running.withColumn(name, trailing("_sum") / n)

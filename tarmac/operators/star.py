@@ -6,8 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.functions import rules
 from tarmac.operators import dims, facts
 from tarmac.sources import tables
 
@@ -48,19 +48,22 @@ def load_dims(
     airlines: DataFrame,
     airports: DataFrame,
     warehouse: str,
-    start: str = "2015-01-01",
-    end: str = "2015-12-31",
-    holidays: Sequence[str] = rules.HOLIDAYS_2015,
+    start: str | None = None,
+    end: str | None = None,
+    holidays: Sequence[str] | None = None,
 ) -> Star:
     """Build the five dimensions and load the members the warehouse does not have yet.
 
-    Reading them back from files gives Catalyst their true sizes, so it broadcasts a dimension when
+    The calendar starts with the days from ``start`` to ``end``, if both are given; ``extend_dates`` adds the
+    years of the loaded flights. Reading them back from files gives Catalyst their true sizes, so it broadcasts a dimension when
     it is below the broadcast threshold and shuffles otherwise; no join carries a broadcast hint.
     """
+    no_years = spark.range(0).select(F.col("id").cast("int").alias("year"))
+    given = dims.build_dates(spark, start, end, holidays) if start and end else dims.calendar_of_years(no_years)
     built = {
         "airline": dims.build_airlines(airlines),
         "airport": dims.build_airports(airports),
-        "date": dims.build_dates(spark, start, end, holidays),
+        "date": given,
         "time": dims.build_times(spark),
         "cause": dims.build_delay_causes(spark),
     }
@@ -72,6 +75,19 @@ def load_dims(
     )
 
 
+def extend_dates(
+    spark: SparkSession, loaded: Star, warehouse: str, holidays: Sequence[str] | None = None
+) -> Star:
+    """Add the calendar years of the loaded facts that the date dimension lacks.
+
+    Years are a partition column of the fact, so this reads no flights; every day a fact refers to is
+    in the dimension afterwards, and days already there stay.
+    """
+    days = dims.calendar_of_years(loaded.fact.select("year"), holidays)
+    dates = tables.load_once(spark, days.coalesce(1), dim_path(warehouse, "date"), *DIM_CODES["date"])
+    return replace(loaded, date=dates)
+
+
 def read_star(spark: SparkSession, warehouse: str) -> Star:
     """The star schema stored in a warehouse folder."""
     stored = {name: spark.read.parquet(dim_path(warehouse, name)) for name in DIM_CODES}
@@ -88,5 +104,6 @@ def load_fact(spark: SparkSession, flights: DataFrame, dims: Star, warehouse: st
 def load_star(
     spark: SparkSession, flights: DataFrame, airlines: DataFrame, airports: DataFrame, warehouse: str
 ) -> Star:
-    """Full load: new dimension members, then the whole fact."""
-    return load_fact(spark, flights, load_dims(spark, airlines, airports, warehouse), warehouse)
+    """Full load: new dimension members, then the whole fact, then the days it needs."""
+    loaded = load_fact(spark, flights, load_dims(spark, airlines, airports, warehouse), warehouse)
+    return extend_dates(spark, loaded, warehouse)

@@ -23,7 +23,7 @@ _TIMESTAMP = f"""(CAST({s.FLIGHT_DATE} AS TIMESTAMP) + to_seconds({_SECONDS["SCH
 EXPLORED = f"""SELECT *, upper(trim(AIRLINE)) AS carrier, upper(trim(ORIGIN_AIRPORT)) AS origin,
   upper(trim(DESTINATION_AIRPORT)) AS destination, {s.FLIGHT_DATE} AS flight_date,
   {_SECONDS["SCHEDULED_DEPARTURE"]} AS departure_seconds, {_SECONDS["SCHEDULED_ARRIVAL"]} AS arrival_seconds,
-  CAST(DEPARTURE_DELAY AS INT) AS delay, CAST(ARRIVAL_DELAY AS INT) AS arr_delay, {_TIMESTAMP} AS departure_ts
+  TRY_CAST(DEPARTURE_DELAY AS INT) AS delay, TRY_CAST(ARRIVAL_DELAY AS INT) AS arr_delay, {_TIMESTAMP} AS departure_ts
   FROM flights"""
 
 _NEEDED = [
@@ -77,11 +77,8 @@ _LOCATED = "(SELECT IATA_CODE FROM airports WHERE LATITUDE IS NOT NULL AND LONGI
 SQL["eda_route_volume"] = f"""SELECT *, CASE WHEN flights >= 200 THEN '>= 200' WHEN flights >= 100 THEN '100 - 200'
   ELSE '< 100' END AS volume_class FROM (SELECT carrier AS airline, origin, destination, count(*) AS flights
   FROM analysed WHERE origin IN {_LOCATED} AND destination IN {_LOCATED} GROUP BY 1, 2, 3)"""
-SQL["eda_airport_carrier_pivot"] = (
-    "SELECT origin, "
-    + ", ".join(f"avg(delay) FILTER (WHERE carrier = '{code}') AS \"{code}\"" for code, _ in AIRLINES)
-    + " FROM analysed GROUP BY origin"
-)
+SQL["eda_airport_carrier_pivot"] = """SELECT origin, carrier AS airline, avg(delay) AS mean_delay
+  FROM analysed GROUP BY ALL HAVING avg(delay) IS NOT NULL"""
 SQL["eda_route_delay"] = f"""SELECT *, least(mean_delay + 15, std_delay) AS std_min FROM (
   SELECT carrier AS airline, origin || '-' || destination AS route, count(*) AS flights,
     avg(least(delay, 90)) AS mean_delay, {std("least(delay, 90)")} AS std_delay FROM analysed GROUP BY 1, 2)"""

@@ -27,13 +27,19 @@ def _line(source: str, prefix: str = "") -> str:
     hours = "departure_seconds / 3600.0::DOUBLE"
     slope = f"CASE WHEN count(*) > 1 THEN regr_slope(mean, {hours}) ELSE 0.0 END"
     intercept = f"CASE WHEN count(*) > 1 THEN regr_intercept(mean, {hours}) ELSE avg(mean) END"
-    return f"""SELECT airline, origin, count(*) AS {prefix}points, {half_up(slope, 6)} AS {prefix}slope,
-  {half_up(intercept, 6)} AS {prefix}intercept FROM ({source}) GROUP BY 1, 2"""
+    return f"""SELECT airline, origin, count(*) AS {prefix}points, {slope} AS {prefix}slope,
+  {intercept} AS {prefix}intercept FROM ({source}) GROUP BY 1, 2"""
 
 
-SQL["ml_linear_fit"] = _line(_BY_TIME)
+def _rounded(*columns: str) -> str:
+    return ", ".join(f"{half_up(c, 6)} AS {c}" for c in columns)
+
+
+SQL["ml_linear_fit"] = f"SELECT * REPLACE ({_rounded('slope', 'intercept')}) FROM ({_line(_BY_TIME)})"
 _AT_NOON = "(all_intercept + all_slope * 12) - (trimmed_intercept + trimmed_slope * 12)"
-SQL["ml_outlier_effect"] = f"""SELECT *, {half_up(_AT_NOON, 4)} AS noon_difference
+SQL["ml_outlier_effect"] = f"""SELECT * REPLACE (
+    {_rounded("all_slope", "all_intercept", "trimmed_slope", "trimmed_intercept")}),
+  {half_up(_AT_NOON, 4)} AS noon_difference
   FROM ({_line(_BY_TIME, "all_")}) JOIN ({_line(_TRIMMED, "trimmed_")}) USING (airline, origin)"""
 
 # Square, line or constant, whichever the number of points allows.

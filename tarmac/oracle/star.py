@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tarmac.functions.rules import HOLIDAYS_2015
 from tarmac.operators.dims import DELAY_CAUSES, SEED_CAUSES
 from tarmac.oracle import mapping
 
@@ -11,7 +10,12 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-HOLIDAY_LIST = ", ".join(f"DATE '{d}'" for d in HOLIDAYS_2015)
+# The holidays of the years in the mapping.
+HOLIDAYS = [
+    "2015-01-01", "2015-05-25", "2015-07-04", "2015-09-07", "2015-11-26", "2015-12-25",
+    "2016-01-01", "2016-05-30", "2016-07-04", "2016-09-05", "2016-11-24", "2016-12-25",
+]
+HOLIDAY_LIST = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
 
 AIRLINE_TYPE = """CASE
   WHEN regexp_matches(upper({0}), 'AMERICAN|DELTA|UNITED|SOUTHWEST|JETBLUE') THEN 'Major'
@@ -130,7 +134,7 @@ CTES: dict[str, str] = {
       IATA_CODE AS airport_code, AIRPORT AS airport_name, CITY AS city, STATE AS state, COUNTRY AS country,
       CAST(LATITUDE AS DECIMAL(10,5)) AS latitude, CAST(LONGITUDE AS DECIMAL(10,5)) AS longitude,
       {TIMEZONE.format("STATE")} AS timezone, 'Medium' AS airport_size_category FROM airports""",
-    "dim_date": calendar_select("SELECT CAST(DATE '2015-01-01' + CAST(range AS INT) AS DATE) AS d FROM range(365)"),
+    "dim_date": calendar_select("SELECT CAST(DATE '2015-01-01' + CAST(range AS INT) AS DATE) AS d FROM range(731)"),
     "dim_time": times_select(),
     "dim_delay_cause": _merged_causes(),
     "cleaned": f"""SELECT md5(concat_ws('|', {_IDENTITY})) AS flight_key, YEAR, MONTH, DAY,

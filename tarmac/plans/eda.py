@@ -32,8 +32,8 @@ def explored(flights: DataFrame) -> DataFrame:
         F.upper(F.trim("DESTINATION_AIRPORT")).alias("destination"),
         date.alias("flight_date"),
         *[clocks.hhmm_number(F.col(c)).alias(f"{c}_number") for c in CLOCK_COLUMNS],
-        F.col("DEPARTURE_DELAY").cast("int").alias("delay"),
-        F.col("ARRIVAL_DELAY").cast("int").alias("arr_delay"),
+        F.col("DEPARTURE_DELAY").try_cast("int").alias("delay"),
+        F.col("ARRIVAL_DELAY").try_cast("int").alias("arr_delay"),
     )
     return parsed.withColumns(
         {
@@ -259,9 +259,14 @@ def route_volume(flights: DataFrame, airports: DataFrame) -> DataFrame:
     )
 
 
-def airport_carrier_pivot(flights: DataFrame, carriers: Sequence[str]) -> DataFrame:
-    """Mean delay matrix, one column per carrier; the fixed carrier list saves a pass over the data."""
-    return flights.groupBy("origin").pivot("airline", list(carriers)).agg(F.avg("delay"))
+def airport_carrier_pivot(flights: DataFrame) -> DataFrame:
+    """Mean delay matrix, one column for every carrier that occurs in the flights.
+
+    Flights shrink to sums per airport and carrier once, which the list of carriers is taken from too.
+    """
+    sums = flights.groupBy("origin", "airline").agg(F.sum("delay").alias("s"), F.count("delay").alias("n"))
+    mean = F.sum("s") / F.nullif(F.sum("n"), F.lit(0).cast("bigint"))
+    return sums.groupBy("origin").pivot("airline").agg(mean)
 
 
 def route_delay(flights: DataFrame, cap: int = 90) -> DataFrame:

@@ -93,8 +93,8 @@ def _line(prefix: str = "") -> list[Column]:
     intercept = F.coalesce(F.regr_intercept(y, hours), F.avg(y))
     return [
         F.count(y).alias(f"{prefix}points"),
-        kpi.half_up(slope, 6).alias(f"{prefix}slope"),
-        kpi.half_up(intercept, 6).alias(f"{prefix}intercept"),
+        slope.alias(f"{prefix}slope"),
+        intercept.alias(f"{prefix}intercept"),
     ]
 
 
@@ -111,7 +111,7 @@ def outlier_effect(flights: DataFrame) -> DataFrame:
         return F.col(f"{prefix}intercept") + F.col(f"{prefix}slope") * 12
 
     return with_all.join(trimmed, ["airline", "origin"]).withColumn(
-        "noon_difference", kpi.half_up(at_noon("all_") - at_noon("trimmed_"), 4)
+        "noon_difference", at_noon("all_") - at_noon("trimmed_")
     )
 
 
@@ -422,9 +422,9 @@ def predicted_vs_observed(scored: DataFrame) -> DataFrame:
     p, y = F.col("prediction"), F.col("mean")
     return scored.agg(
         F.count(F.lit(1)).alias("points"),
-        kpi.half_up(F.regr_slope(p, y), 4).alias("slope"),
-        kpi.half_up(F.regr_intercept(p, y), 4).alias("intercept"),
-        kpi.half_up(F.corr(p, y), 4).alias("correlation"),
+        F.regr_slope(p, y).alias("slope"),
+        F.regr_intercept(p, y).alias("intercept"),
+        F.corr(p, y).alias("correlation"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import kpi, rules
 from tarmac.functions.kpi import arr, cancelled, dep, is_flown, is_late, is_ontime, weather
-from tarmac.operators.history import trailing_average
+from tarmac.operators.history import needs_split, trailing_average
 from tarmac.operators.star import Star
 
 
@@ -571,9 +571,9 @@ def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_
         "historical_avg_delay_time": ["departure_time_key", "day_of_week"],
     }
     featured = flights
-    for name, keys in peers.items():
+    for (name, keys), split in zip(peers.items(), needs_split(flights, list(peers.values()), split_rows)):
         featured = trailing_average(
-            featured, flights, keys, "date_key", "flight_key", "departure_delay_minutes", name, rows, split_rows
+            featured, flights, keys, "date_key", "flight_key", "departure_delay_minutes", name, rows, split_rows, split
         )
     days = star.date.select("date_key", "month", "season", "is_weekend", "is_holiday")
     hours = star.time.select(
@@ -622,7 +622,7 @@ def v_historical_delay_trends(star: Star) -> DataFrame:
     # From here on there is one row per calendar day, so a window without partitions is small.
     def moving_average(days_before: int) -> Column:
         frame = Window.orderBy("date").rowsBetween(-days_before, 0)
-        return kpi.half_up(F.avg("daily_avg_delay").over(frame), 6)
+        return F.avg("daily_avg_delay").over(frame)
 
     month = F.col("month")
     return (

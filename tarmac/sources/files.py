@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.session import cut_lineage
 from tarmac.sources import schemas
 
 # Cell contents that mean "missing", the declared ones and the usual CSV defaults.
@@ -108,5 +109,21 @@ FLIGHT_IDENTITY = [
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str] = FLIGHT_IDENTITY) -> DataFrame:
-    """The first ``n`` rows in a total order (the row limit of a trial run)."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows in a total order (the row limit of a trial run).
+
+    The rows are sorted in ranges and written once; whole ranges come before the row limit, and only
+    the range that holds the n-th row is cut, so no task gets more than a range, whatever ``n`` is.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = cut_lineage(spark, ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    whole, before = [], 0
+    for row in ranged.groupBy("_range").count().orderBy("_range").collect():  # one row a range
+        if before + row["count"] > n:
+            cut = ranged.filter(F.col("_range") == row["_range"]).orderBy(*order).limit(n - before)
+            break
+        whole.append(row["_range"])
+        before += row["count"]
+    else:
+        return ranged.drop("_range")
+    return ranged.filter(F.col("_range").isin(whole)).unionByName(cut).drop("_range")

@@ -11,10 +11,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.functions import rules
 from tarmac.operators import integrity, quality, star
 from tarmac.plans import views
-from tarmac.sources import files
+from tarmac.sources import files, tables
 from tarmac.streaming.ingest import FlightIngest, header_columns
 
 
@@ -45,6 +44,16 @@ def _require_sources(spark: SparkSession, sources: Sources) -> None:
         raise UnreadableSource(f"missing or empty sources: {missing}")
 
 
+class LayoutConflict(ValueError):
+    """The fact table was loaded the other way, fully or incrementally."""
+
+
+def _require_layout(spark: SparkSession, warehouse: str, incremental: bool) -> None:
+    path = star.fact_path(warehouse)
+    if tables.exists(spark, path) and ("batch_id" in spark.read.parquet(path).columns) != incremental:
+        raise LayoutConflict(f"{path} was loaded {'fully' if incremental else 'incrementally'}")
+
+
 def load_warehouse(
     spark: SparkSession,
     sources: Sources,
@@ -53,18 +62,21 @@ def load_warehouse(
     incremental: bool = False,
     sample_rows: int | None = None,
     max_files: int | None = None,
-    start: str = "2015-01-01",
-    end: str = "2015-12-31",
-    holidays: Sequence[str] = rules.HOLIDAYS_2015,
+    start: str | None = None,
+    end: str | None = None,
+    holidays: Sequence[str] | None = None,
 ) -> LoadReport:
     """Check the sources, load dimensions and facts, register the views, check the result.
 
     A full load replaces the fact table. An incremental load appends the flight files that arrived
-    since the last run; its position is kept in the warehouse folder, and a warehouse is loaded either
-    fully or incrementally. ``sample_rows`` limits a full load to the first rows of the flight source.
-    Dimension members are only ever added, so their keys stay valid.
+    since the last run, and the rows in quarantine that the dimensions know by now; its position is kept in
+    the warehouse folder. A warehouse is loaded either fully or incrementally; the other kind is refused
+    before anything is written. ``sample_rows`` limits a full load to the first rows of the flight source.
+    Dimension members are only ever added, so their keys stay valid. The calendar covers the years of all
+    loaded flights, and the days from ``start`` to ``end`` if given.
     """
     _require_sources(spark, sources)
+    _require_layout(spark, warehouse, incremental)
     if incremental and sample_rows:
         raise ValueError("sample_rows applies to full loads")
     airlines = files.read_airlines(spark, sources.airlines)
@@ -75,6 +87,7 @@ def load_warehouse(
             spark, sources.flights, loaded, warehouse, f"{warehouse}/_checkpoint",
             header_columns(spark, sources.flights), max_files,
         )
+        ingest.replay()
         batches = ingest.run()
         rejected = ingest.quarantine()
     else:
@@ -84,6 +97,7 @@ def load_warehouse(
         loaded = star.load_fact(spark, flights, loaded, warehouse)
         batches, rejected = [], quality.rejected_rows(flights, loaded.airport)
     loaded = replace(loaded, fact=spark.read.parquet(star.fact_path(warehouse)))
+    loaded = star.extend_dates(spark, loaded, warehouse, holidays)
     views.register_views(loaded)
     return LoadReport(
         loaded, quality.fact_summary(loaded.fact), integrity.integrity_report(loaded), rejected, batches

@@ -52,3 +52,18 @@ def test_one_batch_per_file_equals_batch_load(spark, bed, star):
     expected = facts.build_fact(sample, star).select(*columns)
     assert load.fact().select(*columns).exceptAll(expected).isEmpty()
     assert load.fact().count() == expected.count()
+
+
+def test_late_airport_is_loaded_from_quarantine(spark, star):
+    source = fresh_path(spark, "arriving")
+    add_files(flights(spark, {}, {"ORIGIN_AIRPORT": "P3"}, {"AIRLINE": None}), source)
+    early = replace(star, airport=star.airport.filter("airport_code <> 'P3'"))
+    load = ingest.new_ingest(spark, source, early)
+    load.run()
+    assert load.fact().count() == 1 and load.quarantine().count() == 2
+    late = replace(load, dims=star)
+    for _ in range(2):  # again, as after a failure
+        late.replay()
+        late.run()
+        assert late.fact().count() == 2
+        assert [r.reason for r in late.quarantine().collect()] == ["missing AIRLINE"]

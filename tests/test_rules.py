@@ -75,7 +75,7 @@ def test_airport_size(spark, n, size):
 
 
 def test_calendar_of_2015(spark):
-    dates = dims.build_dates(spark)
+    dates = dims.build_dates(spark, "2015-01-01", "2015-12-31")
     row = dates.agg(
         F.count(F.lit(1)).alias("days"),
         F.count_if("is_weekend").alias("weekend"),
@@ -88,6 +88,19 @@ def test_calendar_of_2015(spark):
     assert (first.date_key, first.day_name, first.month_name, first.day_of_week) == (20150101, "Thursday", "January", 4)
 
 
+def test_holidays_of_other_years(spark):
+    years = spark.createDataFrame([(2016,), (2021,), (2016,)], "year int")
+    dates = dims.calendar_of_years(years)
+    assert dates.count() == 366 + 365
+    found = [str(r.date) for r in dates.filter("is_holiday").orderBy("date").collect()]
+    assert found == [
+        "2016-01-01", "2016-05-30", "2016-07-04", "2016-09-05", "2016-11-24", "2016-12-25",
+        "2021-01-01", "2021-05-31", "2021-07-04", "2021-09-06", "2021-11-25", "2021-12-25",
+    ]
+    listed = dims.build_dates(spark, "2016-03-01", "2016-03-03", ["2016-03-02"])
+    assert [r.is_holiday for r in listed.orderBy("date").collect()] == [False, True, False]
+
+
 def test_hours(spark):
     hours = {r.hour: r for r in dims.build_times(spark).collect()}
     assert len(hours) == 24 and sum(r.is_business_hours for r in hours.values()) == 10

@@ -2,6 +2,7 @@ import pytest
 
 from tarmac import warehouse as load
 from tarmac.operators.star import read_star
+from tarmac.plans import views
 from tarmac.session import fresh_path
 
 
@@ -54,3 +55,23 @@ def test_missing_source_is_an_error(spark, sources):
 
     with pytest.raises(load.UnreadableSource, match="flights"):
         load.load_warehouse(spark, replace(sources, flights="/nowhere"), fresh_path(spark, "warehouse"))
+
+
+def test_the_other_layout_is_refused_before_any_write(spark, star, sources):
+    full, incremental = fresh_path(spark, "warehouse"), fresh_path(spark, "warehouse")
+    load.load_warehouse(spark, sources, full)
+    load.load_warehouse(spark, sources, incremental, incremental=True)
+    with pytest.raises(load.LayoutConflict):
+        load.load_warehouse(spark, sources, full, incremental=True)
+    with pytest.raises(load.LayoutConflict):
+        load.load_warehouse(spark, sources, incremental)
+    assert read_star(spark, full).fact.count() == read_star(spark, incremental).fact.count() == star.fact.count()
+
+
+def test_the_calendar_covers_every_flight(star):
+    """The mapped flights span two years; views that join the date lose none of them."""
+    assert [r.year for r in star.date.select("year").distinct().orderBy("year").collect()] == [2015, 2016]
+    known = star.fact.filter("airline_key > 0").count()
+    for name in ("v_carrier_performance", "v_airline_rankings", "v_airline_monthly_summary"):
+        found = views.VIEWS[name](star, **({"min_flights": 1} if name == "v_airline_rankings" else {}))
+        assert found.agg({"total_flights": "sum"}).first()[0] == known, name
