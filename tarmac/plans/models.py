@@ -318,7 +318,7 @@ def _regression(label_std: float, alpha: float) -> LinearRegression:
         regParam=alpha * label_std,
         fitIntercept=alpha > 0,
         standardization=True,
-        solver="normal",
+        solver="auto",  # normal equations up to 4096 features, else L-BFGS on the same objective
     )
 
 

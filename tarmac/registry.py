@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -628,7 +628,9 @@ def _one_hot(bed) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def _grid(bed) -> models.GridResult:
+    """The grid of one test bed, shared by the queries that need it."""
     return models.grid_search(_merged(bed, "train"))
 
 
@@ -640,7 +642,7 @@ def _residuals(bed) -> DataFrame:
 
 def _refit(bed) -> DataFrame:
     merged = _merged(bed, "train")
-    model = models.refit_best(merged, models.grid_search(merged))
+    model = models.refit_best(merged, _grid(bed))
     return models.mse(model.predict(merged)).withColumns(
         {"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)}
     )
