@@ -18,7 +18,7 @@ from tarmac.llm.common import bounded_sample, texts
 
 UNKNOWN = "und"
 #: Documents whose counts are held in memory at once, in code points.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 _LETTER: list[np.ndarray] = []
 _VECTORS: dict[tuple[int, int], np.ndarray] = {}
 
