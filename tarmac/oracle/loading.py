@@ -300,6 +300,7 @@ SQL["unique_codes"] = " UNION ALL ".join(
         ("cause", "cause_code", "dim_delay_cause", "cause_code = 'WEATHER'"),
     )
 )
+SQL["table_stats"] = "SELECT count(*) AS row_count, count(*) > 0 AS has_size FROM fact"
 
 
 def oracle(name: str) -> str | None:

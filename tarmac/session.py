@@ -19,7 +19,7 @@ def local_session(cores: str = "8", app: str = "tarmac") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
