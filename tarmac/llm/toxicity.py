@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -38,23 +39,26 @@ class Lexicon:
 
     weights: dict[str, float]
     min_fuzzy: int = 5
+    fuzzy_stems: frozenset[str] = frozenset()
 
 
 class Matcher:
     """Deterministic product of the lexicon trie and its Levenshtein automata, built as words ask for it.
 
     Whole terms of ``min_fuzzy`` letters or more are met within one edit (insertion, deletion, substitution or
-    two neighbours swapped), shorter ones exactly. A stem is met by any word that begins with it.
+    two neighbours swapped), shorter ones exactly. A stem is met by any word that begins with it, one of
+    ``fuzzy_stems`` with ``min_fuzzy`` letters or more also by a word that begins within one edit of it.
     """
 
     def __init__(self, lexicon: Lexicon):
         self.weights = lexicon.weights
         self.children: list[dict[str, int]] = [{}]
         self.terms: list[list[str]] = [[]]
-        self.reach: list[int] = [0]  # the longest whole term below a node
+        self.reach: list[int] = [0]  # the longest entry below a node that allows an edit
+        self.min_fuzzy, self.fuzzy_stems = lexicon.min_fuzzy, lexicon.fuzzy_stems
         for entry in sorted(lexicon.weights):
             node, letters = 0, entry.rstrip("*")
-            reach = 0 if entry.endswith("*") else len(letters)
+            reach = len(letters) if entry in self.fuzzy_stems or not entry.endswith("*") else 0
             self.reach[0] = max(self.reach[0], reach)
             for letter in letters:
                 if letter not in self.children[node]:
@@ -65,12 +69,12 @@ class Matcher:
                 node = self.children[node][letter]
                 self.reach[node] = max(self.reach[node], reach)
             self.terms[node].append(entry)
-        self.min_fuzzy = lexicon.min_fuzzy
         start = self._close({(0, 0, "")})
         self.states: dict[frozenset, int] = {start: 0}
         self.sets: list[frozenset] = [start]
         self.follow: list[dict[str, int]] = [{}]
         self.accepts = [self._accept(start)]
+        self.begins = [self._accept(start, stems=True)]
         self.cache: dict[str, tuple[str, bool] | None] = {}
 
     def _fuzzy(self, node: int) -> bool:
@@ -84,14 +88,17 @@ class Matcher:
                 found.update((c, 1, "") for c in self.children[node].values() if self._fuzzy(c))
         return frozenset(found)
 
-    def _accept(self, items: frozenset) -> tuple[float, str, bool] | None:
-        """The best entry that ends here: (weight, entry, exact)."""
+    def _accept(self, items: frozenset, stems: bool = False) -> tuple[float, str, bool] | None:
+        """The best entry, or the best stem, that ends here: (weight, entry, exact)."""
         best = None
         for node, edits, owed in items:
             if owed:
                 continue
             for entry in self.terms[node]:
-                if edits and (entry.endswith("*") or len(entry) < self.min_fuzzy):
+                stem = entry.endswith("*")
+                if stems and not stem:
+                    continue
+                if edits and (stem and entry not in self.fuzzy_stems or len(entry) - stem < self.min_fuzzy):
                     continue
                 found = (self.weights[entry], entry, not edits)
                 if best is None or (found[2], found[0], entry) > (best[2], best[0], best[1]):
@@ -122,11 +129,12 @@ class Matcher:
             self.sets.append(key)
             self.follow.append({})
             self.accepts.append(self._accept(key))
+            self.begins.append(self._accept(key, stems=True))
         return self.states[key]
 
     def _stems(self, state: int, best):
-        found = self.accepts[state]
-        if found and found[1].endswith("*") and (best is None or (found[2], found[0]) > (best[2], best[0])):
+        found = self.begins[state]
+        if found and (best is None or (found[2], found[0]) > (best[2], best[0])):
             return found
         return best
 
@@ -153,6 +161,19 @@ class Matcher:
         return found
 
 
+def stems_near(matcher: Matcher, word: str) -> set[str]:
+    """All stems that a word meets with an edit."""
+    state, found = 0, set()
+    for letter in word:
+        if letter not in matcher.follow[state]:
+            matcher.follow[state][letter] = matcher._step(state, letter)
+        state = matcher.follow[state][letter]
+        for node, edits, owed in matcher.sets[state]:
+            if edits and not owed:
+                found.update(e for e in matcher.terms[node] if e in matcher.fuzzy_stems and len(e) > matcher.min_fuzzy)
+    return found
+
+
 FEATURES = ("hits", "entries", "strongest", "quoted", "dense", "share")
 #: What a misspelled term counts for, of an exact one.
 FUZZY = 0.7
@@ -225,29 +246,15 @@ def _candidates(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEM_SIZES if len(w) > n}
 
 
-def _cover(found: list[tuple[str, int, float]], same: float = 0.95) -> dict[str, float]:
-    """Entries of (entry, toxic documents, weight) such that none begins like a stem among them.
-
-    Each shortest stem covers the longer ones and the terms below it. Where one of those alone occurs in nearly
-    as many documents, it stands for the stem, as a longer entry tells more.
-    """
-    stems: set[str] = set()
-    for entry, _, _ in sorted(found, key=lambda f: len(f[0])):
-        if entry.endswith("*") and not any(entry.startswith(s) for s in stems):
-            stems.add(entry[:-1])
-    cover: dict[str, float] = {}
-    below: dict[str, list] = {s: [] for s in stems}
-    for f in found:
-        stem = next((f[0][:n] for n in STEM_SIZES if f[0][:n] in stems), None)
-        if stem is None:
-            cover[f[0]] = f[2]
-        else:
-            below[stem].append(f)
-    for entries in below.values():
-        most = max(f[1] for f in entries if f[0].endswith("*"))
-        entry, _, weight = max((f for f in entries if f[1] >= same * most), key=lambda f: (len(f[0].rstrip("*")), f[0]))
-        cover[entry] = weight
-    return cover
+def _mark(text: str) -> int:
+    """The least hash of three words in a row, which near copies nearly always share and other texts hardly ever."""
+    words = WORD.findall(text.lower())
+    hashes = np.array([crc32(w.encode()) for w in words], np.uint64)
+    while len(hashes) < 3:
+        hashes = np.append(hashes, np.uint64(0))
+    mixed = (hashes[:-2] * np.uint64(3) + hashes[1:-1]) * np.uint64(5) + hashes[2:] + np.uint64(1)
+    mixed = (mixed ^ mixed >> np.uint64(15)) * np.uint64(0x9E3779B97F4A7C15)
+    return int((mixed ^ mixed >> np.uint64(31)).min() >> np.uint64(1))
 
 
 def learn(
@@ -258,26 +265,27 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     per_class: int = 8_000,
-    max_entries: int = 2_000,
     min_docs: int = 3,
-    min_share: float = 0.015,
     min_weight: float = 2.5,
+    min_share: float = 0.015,
     window: int = 8,
 ) -> Model | None:
     """Learn lexicon and weights from at most about ``per_class`` labelled documents of each label.
 
     The sample is chosen by a hash of the id over all rows of ``labels``; only its ids, bounded by ``per_class``,
     are broadcast to the documents. Labels other than 0 and 1 and rows without a document are ignored, null
-    texts are empty. Equal texts count once for the lexicon. It holds the ``max_entries`` terms and stems that
-    occur in at least ``min_docs`` toxic documents and ``min_share`` of them, with log odds of ``min_weight`` or more;
-    terms that one of its stems covers are left out.
+    texts are empty. The lexicon holds all terms and stems with log odds of ``min_weight`` or more that occur in
+    at least ``min_docs`` toxic texts and ``min_share`` of them. Stems are left out, or not met with an edit, where the words met so
+    that are no terms themselves occur in ``min_docs`` clean texts and have lower log odds. Equal texts of a label count once, in the counts and in the class sizes, and so do near copies.
+    Terms stay beside their stems, so that misspellings of them are met too.
     None if a label is missing altogether.
     """
     labelled = labels.select(id_col, F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
     chosen = bounded_sample(labelled, "label", id_col, per_class)
     texts_of = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = cut_lineage(spark, texts_of.join(F.broadcast(chosen), id_col).select("text", "label"), "sample")
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    different = cut_lineage(spark, rows.distinct(), "different")
+    sizes = {r["label"]: r["count"] for r in different.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
 
@@ -289,20 +297,62 @@ def learn(
                     seen.setdefault(entry, [0, 0])[label] += 1
             yield pd.DataFrame([(e, n[0], n[1]) for e, n in seen.items()], columns=["entry", "clean", "toxic"])
 
-    weight = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
-    found = (
-        rows.distinct()
-        .mapInPandas(count, "entry string, clean long, toxic long")
+    counted = (
+        different.mapInPandas(count, "entry string, clean long, toxic long")
         .groupBy("entry")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter(F.col("toxic") >= max(min_docs, min_share * sizes[1]))
-        .withColumn("weight", weight)
-        .filter(F.col("weight") >= min_weight)
-        .orderBy((F.col("weight") * F.sqrt("toxic")).desc(), "entry")
-        .limit(max_entries)
-        .collect()
+        .filter(F.col("clean") + F.col("toxic") >= min_docs)
+    )
+    counted = cut_lineage(spark, counted, "entries")
+
+    def weigh(sizes: dict[int, int]) -> Column:
+        return F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
+
+    def strong(table: DataFrame, sizes: dict[int, int]) -> dict[str, float]:
+        """Entries that a share of the toxic texts hold, with weights."""
+        rows = table.filter(F.col("toxic") >= min_docs).withColumn("weight", weigh(sizes))
+        rows = rows.filter(F.col("weight") >= min_weight)
+        return {
+            r["entry"]: r["weight"] for r in rows.collect()
+            if r["toxic"] >= min_share * sizes[1]
+        }
+
+    first = strong(counted, sizes)
+
+    def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher(Lexicon(first, fuzzy_stems=frozenset(e for e in first if e.endswith("*"))))
+        near: dict[str, set[str]] = {}
+        for batch in batches:
+            out = []
+            for text, label in zip(batch["text"], batch["label"]):
+                mark = _mark(text)
+                own, stems, edits = {""}, set(), set()
+                for word in set(WORD.findall(text.lower())):
+                    below = {s for n in STEM_SIZES if len(word) > n and (s := word[:n] + "*") in first}
+                    own |= below
+                    if word in first:
+                        own.add(word)
+                    elif below:
+                        stems |= below
+                    else:
+                        if word not in near:
+                            near[word] = stems_near(matcher, word)
+                        edits |= near[word]
+                out += [(e, k, label, mark) for k, found in enumerate((own, stems, edits)) for e in found]
+            yield pd.DataFrame(out, columns=["entry", "kind", "label", "mark"])
+
+    marked = different.mapInPandas(group, "entry string, kind int, label int, mark long").distinct()
+    marked = marked.groupBy("entry", "kind").agg(
+        F.count_if(F.col("label") == 0).alias("clean"), F.count_if(F.col("label") == 1).alias("toxic")
     )
-    lexicon = Lexicon(_cover([(r["entry"], r["toxic"], r["weight"]) for r in found]))
+    marked = cut_lineage(spark, marked, "marked")
+    groups = marked.filter("entry = ''").first()
+    sizes = {0: groups["clean"], 1: groups["toxic"]}
+    refuted = marked.filter((F.col("kind") > 0) & (F.col("clean") >= min_docs) & (weigh(sizes) < min_weight)).collect()
+    no_stems, exact_only = ({r["entry"] for r in refuted if r["kind"] == k} for k in (1, 2))
+    entries = strong(marked.filter("kind = 0 AND entry <> ''"), sizes)
+    entries = {e: w for e, w in entries.items() if e not in no_stems}
+    lexicon = Lexicon(entries, fuzzy_stems=frozenset(e for e in entries if e.endswith("*") and e not in exact_only))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(lexicon)

@@ -71,3 +71,36 @@ def test_awkward_rows_and_no_model(spark, awkward, documents):
         assert len(scored) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in scored)
     assert tx.learn(spark, docs, labels.filter("toxic = 1")) is None
     assert tx.score(documents([]), model).count() == 0
+
+
+def test_misspelled_terms_and_stems_are_met_beside_each_other():
+    """Inflected terms share a stem that is an entry too; each is met with an edit, and so is the stem."""
+    rng = random.Random(3)
+    entries = {"idiot": 6.0, "idiots": 5.0, "idio*": 4.0, "idiot*": 4.5, "stupid": 5.0, "stupi*": 4.5, "mor*": 3.0}
+    matcher = tx.Matcher(tx.Lexicon(entries, fuzzy_stems=frozenset(e for e in entries if e.endswith("*"))))
+    assert matcher.find("idoit") == ("idiot", False) and matcher.find("idoits") is not None
+    assert matcher.find("stuipd") is not None and matcher.find("idiotic") == ("idiot*", True)
+    assert matcher.find("stuipdity") == matcher.find("stupxdity") == ("stupi*", False)
+    words = ["idiotic", "stupidly", "moron", "mxron"] + ["".join(rng.choice("idotsup") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    for w in words:
+        begins = [w[:n] for n in range(len(w) + 1)]
+        exact = w in entries or any(e.endswith("*") and w.startswith(e[:-1]) for e in entries)
+        near = any(
+            any(distance(b, e[:-1]) <= 1 for b in begins) if e.endswith("*") else distance(w, e) <= 1
+            for e in entries if len(e.rstrip("*")) >= 5
+        )
+        found = matcher.find(w)
+        assert (found is not None) == (exact or near), w
+        assert not found or found[1] == exact
+
+
+def test_inflected_terms_keep_their_misspellings(spark, documents, words):
+    labels, rows = [], []
+    for i in range(200):
+        toxic = i % 2
+        rows.append((i, f"{words(9, i)} {('idiot', 'idiots')[i // 2 % 2] if toxic else 'friend'} {words(3, 500 + i)}"))
+        labels.append((i, toxic))
+    model = tx.learn(spark, documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"idiot", "idiots"} <= set(model.lexicon.weights)
+    by = {r["doc_id"]: r for r in tx.score(documents([(1, "you idoit there"), (2, "you frined there")]), model).collect()}
+    assert by[1]["predicted"] == 1 and by[2]["predicted"] == 0
