@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import lgamma
 from zlib import crc32
 
 import numpy as np
@@ -246,6 +247,13 @@ def _candidates(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEM_SIZES if len(w) > n}
 
 
+def _tail(toxic: int, texts: int, share: float) -> float:
+    """The probability that ``toxic`` or more of ``texts`` are toxic if each is with probability ``share``."""
+    k = np.arange(toxic, texts + 1)
+    ways = lgamma(texts + 1) - np.array([lgamma(i + 1) + lgamma(texts - i + 1) for i in k])
+    return float(np.exp(ways + k * np.log(share) + (texts - k) * np.log1p(-share)).sum())
+
+
 def _mark(text: str) -> int:
     """The least hash of three words in a row, which near copies nearly always share and other texts hardly ever."""
     words = WORD.findall(text.lower())
@@ -267,7 +275,7 @@ def learn(
     per_class: int = 8_000,
     min_docs: int = 3,
     min_weight: float = 2.5,
-    min_share: float = 0.015,
+    chance: float = 5.0,
     window: int = 8,
 ) -> Model | None:
     """Learn lexicon and weights from at most about ``per_class`` labelled documents of each label.
@@ -275,8 +283,10 @@ def learn(
     The sample is chosen by a hash of the id over all rows of ``labels``; only its ids, bounded by ``per_class``,
     are broadcast to the documents. Labels other than 0 and 1 and rows without a document are ignored, null
     texts are empty. The lexicon holds all terms and stems with log odds of ``min_weight`` or more that occur in
-    at least ``min_docs`` toxic texts and ``min_share`` of them. Stems are left out, or not met with an edit, where the words met so
-    that are no terms themselves occur in ``min_docs`` clean texts and have lower log odds. Equal texts of a label count once, in the counts and in the class sizes, and so do near copies.
+    at least ``min_docs`` toxic texts, if as many of their texts would be toxic by chance for no more than
+    ``chance`` of all entries tested. Stems are left out, or not met with an edit, where the words met so
+    that are no terms themselves occur in ``min_docs`` clean texts and have lower log odds. There is no share of the texts to reach, and the sample alone bounds their
+    number. Equal texts of a label count once, in the counts and in the class sizes, and so do near copies.
     Terms stay beside their stems, so that misspellings of them are met too.
     None if a label is missing altogether.
     """
@@ -304,17 +314,19 @@ def learn(
         .filter(F.col("clean") + F.col("toxic") >= min_docs)
     )
     counted = cut_lineage(spark, counted, "entries")
+    tests = counted.count()
 
     def weigh(sizes: dict[int, int]) -> Column:
         return F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
 
     def strong(table: DataFrame, sizes: dict[int, int]) -> dict[str, float]:
-        """Entries that a share of the toxic texts hold, with weights."""
+        """Entries whose counts by chance would be expected ``chance`` times or less among all, with weights."""
         rows = table.filter(F.col("toxic") >= min_docs).withColumn("weight", weigh(sizes))
         rows = rows.filter(F.col("weight") >= min_weight)
+        share = sizes[1] / (sizes[0] + sizes[1])
         return {
             r["entry"]: r["weight"] for r in rows.collect()
-            if r["toxic"] >= min_share * sizes[1]
+            if tests * _tail(r["toxic"], r["toxic"] + r["clean"], share) <= chance
         }
 
     first = strong(counted, sizes)

@@ -104,3 +104,14 @@ def test_inflected_terms_keep_their_misspellings(spark, documents, words):
     assert {"idiot", "idiots"} <= set(model.lexicon.weights)
     by = {r["doc_id"]: r for r in tx.score(documents([(1, "you idoit there"), (2, "you frined there")]), model).collect()}
     assert by[1]["predicted"] == 1 and by[2]["predicted"] == 0
+
+
+def test_rare_terms_and_copies(spark, documents, words):
+    """A term of few of many toxic texts counts, and copies of one toxic text don't raise what others must reach."""
+    rows = [(i, f"{words(12, i)} friend") for i in range(1200)]
+    rows += [(2000 + i, f"{words(12, 5000 + i)} {'dumbhead' if i < 12 else 'fool'}") for i in range(1000)]
+    rows += [(4000 + i, "zumbrella zumbrella zumbrella") for i in range(3000)]
+    labels = spark.createDataFrame([(i, int(i >= 2000)) for i, _ in rows], "doc_id long, toxic int")
+    model = tx.learn(spark, documents(rows), labels)
+    assert {"dumbhead", "fool"} <= set(model.lexicon.weights)
+    assert "zumbrella" not in model.lexicon.weights
