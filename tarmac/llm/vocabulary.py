@@ -1,7 +1,8 @@
 """Ids of a byte-level vocabulary in the JSON format of the tokenizers library, from compiled code.
 
 The merges of a trained byte-level BPE are applied in the order of the ids they make, so the vocabulary's tokens
-with their ids are all that tiktoken needs to give the same ids as tokenizers; tests compare the two.
+with their ids are all that tiktoken needs to give the same ids as tokenizers; tests compare the two. Texts that
+its pattern engine refuses, with runs of about a million white-space letters, are encoded by ``rank_bpe``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ def _load(path: str) -> Callable[[str], bytes]:
 
     def encode(text: str) -> bytes:
         special = "all" if marks is not None and marks.search(text) else set()
-        ids = encoding.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+        try:
+            ids = encoding.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+        except ValueError:  # its pattern engine runs out of stack on very long runs of white space
+            return np.frombuffer(bpe.encode(text), np.uintc).astype("<u4").tobytes()
         return ids.astype("<u4", copy=False).tobytes() if len(ids) else np.empty(0, "<u4").tobytes()
 
     return encode

@@ -59,3 +59,12 @@ def test_tables(spark, awkward, vocabulary, library):
     back = rank_bpe.decode(encoded, vocabulary).collect()
     assert sorted(map(str, map(tuple, back))) == sorted(str((i, t or "")) for i, t in rows)
     assert rank_bpe.round_trip(docs.limit(0), vocabulary).count() == 0
+
+
+def test_very_long_white_space_has_ids(library, vocabulary):
+    """The compiled pattern engine runs out of stack on these runs."""
+    fast = compiled.encoder(vocabulary)()
+    for run in (" " * 2_000_000, "\n" * 2_000_000):
+        for text in (f"one{run}two <|endoftext|> three", run):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert fast(text) == array("I", want).tobytes()
