@@ -114,6 +114,58 @@ def learn(labelled: DataFrame, id_col="doc_id", text_col="text", lang_col="lang"
     return {k: v / np.linalg.norm(v) for k, v in sorted(prototypes.items()) if np.linalg.norm(v) > 0}
 
 
+def known_trigrams(
+    labelled: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", per_language=3000, min_docs=3
+) -> np.ndarray:
+    """The packed trigrams in ``min_docs`` or more different texts of the documents that ``learn`` samples, sorted."""
+    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = bounded_sample(rows, lang_col, id_col, per_language).select(F.col(text_col).alias("text")).distinct()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block in _blocks(batch):
+                found, packed = trigrams(block["text"].tolist())
+                pairs = np.unique(np.stack([found, packed]), axis=1)
+                grams, n = np.unique(pairs[1], return_counts=True)
+                yield pd.DataFrame({"gram": grams, "n": n})
+
+    counts = rows.mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return np.sort(counts.filter(F.col("n") >= min_docs).select("gram").toPandas()["gram"].to_numpy(np.int64))
+
+
+def like_a_language(prototypes: dict[str, np.ndarray], known: np.ndarray, text: Column, least: float, share=0.5, few=20):
+    """Whether a text is like one of the languages, as a column; not for null and for texts without a letter.
+
+    It is if its cosine reaches ``least``. Below, where a text of few different trigrams may lie by the noise of
+    the vectors, it is if at least ``share`` of its trigrams are known. A text with fewer than ``few`` trigrams
+    tells too little for that; below ``least`` it only needs one letter that occurs in the known trigrams.
+    """
+    matrix = np.stack([prototypes[n] for n in sorted(prototypes)]).astype(np.float32)
+    letters = np.unique(np.concatenate([known >> 42, known >> 21 & 0x1FFFFF, known & 0x1FFFFF]))
+
+    def judge(texts: list[str]) -> np.ndarray:
+        vectors = bundles(texts, matrix.shape[1])
+        out = vectors.any(axis=1) & ((vectors @ matrix.T).max(axis=1) >= least)
+        for at in np.flatnonzero(vectors.any(axis=1) & ~out):
+            _, packed = trigrams([texts[at]])
+            if len(packed) < few:
+                points = packed >> 21 & 0x1FFFFF
+                out[at] = np.isin(points[points > 0], letters).any()
+            else:
+                out[at] = np.isin(packed, known).mean() >= share
+        return out
+
+    @F.pandas_udf("boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = [pd.Series(dtype=bool)]
+            for block in _blocks(batch.to_frame("text")):
+                out.append(pd.Series(judge(block["text"].tolist())))
+            yield pd.concat(out, ignore_index=True)
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def cosine(prototypes: dict[str, np.ndarray], text: Column) -> Column:
     """The cosine with the nearest prototype as a column; -1 for null and for texts without a letter."""
     matrix = np.stack([prototypes[n] for n in sorted(prototypes)]).astype(np.float32)

@@ -107,3 +107,20 @@ def test_awkward_rows(spark, words):
     kept = cp.drop_foreign(spark, docs, SMALL)
     assert kept.filter(F.col("doc_id").isin(1, 2, 3)).count() == 0 and kept.filter("doc_id = 4").count() == 2
     assert cp.pack(spark, docs, SMALL).agg(F.sum("length")).first()[0] > len(rows)
+
+
+def test_foreign_texts_and_gibberish_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    draw = np.random.default_rng(5)
+
+    def text(letters):
+        return " ".join("".join(draw.choice(list(letters), draw.integers(2, 9))) for _ in range(60))
+
+    kinds = ["αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщыьэюя", "abcdefghijklmnopqrstuvwxyz"]
+    planted = [(10**9 + 100 * k + i, text(letters)) for k, letters in enumerate(kinds) for i in range(50)]
+    planted = spark.createDataFrame(planted, "doc_id long, text string")
+    kept = cut_lineage(spark, cp.drop_foreign(spark, docs.unionByName(planted, allowMissingColumns=True), SMALL), "foreign")
+    left = [kept.filter(f"doc_id DIV 100 = {10**7 + k}").count() for k in range(3)]
+    assert left[0] == left[1] == 0 and left[2] <= 5
+    lettered = docs.filter(F.col("text").rlike("\\p{L}")).count()
+    assert kept.filter("doc_id < 1000000000").count() == lettered
