@@ -44,6 +44,26 @@ def knapsack(prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), counts
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Matrix by vector without the threaded BLAS, whose threads can stand still in a driver that runs Spark."""
+    return np.einsum("ij,j->i", matrix, vector)
+
+
+def _inverse(columns: np.ndarray) -> np.ndarray:
+    """By elimination with row pivots, in element-wise steps for the same reason."""
+    n = len(columns)
+    work = np.hstack([columns.astype(float), np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.abs(work[i:, i]).argmax())
+        if pivot != i:
+            work[[i, pivot]] = work[[pivot, i]]
+        work[i] /= work[i, i]
+        factor = work[:, i].copy()
+        factor[i] = 0
+        work -= factor[:, None] * work[i]
+    return work[:, n:]
+
+
 def column_generation(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[float, np.ndarray]]:
     """(use, counts by size) of the patterns of a basic solution for ``demand`` pieces of sizes 1, 2, ...
 
@@ -58,10 +78,10 @@ def column_generation(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> l
     need = demand[sizes - 1].astype(float)
     columns = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1 / np.diag(columns))
-    use = inverse @ need
+    use = _times(inverse, need)
     prices = np.zeros(len(demand))
     center = sizes / capacity
-    bound, step = need @ center, 0
+    bound, step = (need * center).sum(), 0
     for step in range(1, 50 * len(sizes) + 1):
         if use.sum() <= (1 + gap) * bound:
             break
@@ -70,15 +90,15 @@ def column_generation(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> l
             mixed = np.maximum(weight * center + (1 - weight) * dual, 0)
             prices[sizes - 1] = mixed
             value, counts = knapsack(prices, capacity)
-            if value > 0 and need @ mixed / max(value, 1) > bound:
+            if value > 0 and (need * mixed).sum() / max(value, 1) > bound:
                 center = mixed / max(value, 1)
-                bound = need @ center
+                bound = (need * center).sum()
             entering = counts[sizes - 1].astype(float)
-            if dual @ entering > 1 + 1e-9:
+            if (dual * entering).sum() > 1 + 1e-9:
                 break
         else:
             break
-        direction = inverse @ entering
+        direction = _times(inverse, entering)
         positive = direction > 1e-9
         if not positive.any():
             break
@@ -88,13 +108,13 @@ def column_generation(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> l
         columns[:, out] = entering
         if step % 200:
             row = inverse[out] / direction[out]
-            inverse -= np.outer(direction, row)
+            inverse -= direction[:, None] * row
             inverse[out] = row
             use = use - direction * ratio[out]
             use[out] = ratio[out]
         else:  # against the growth of rounding errors
-            inverse = np.linalg.inv(columns)
-            use = inverse @ need
+            inverse = _inverse(columns)
+            use = _times(inverse, need)
     found = []
     for u, column in zip(use, columns.T):
         counts = np.zeros(len(demand), np.int64)

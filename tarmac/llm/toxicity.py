@@ -232,10 +232,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[tuple[f
     x1 = np.hstack([x, np.ones((len(x), 1))])
     penalty = np.diag([ridge] * x.shape[1] + [1e-3])
     beta = np.zeros(x1.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ beta, -30, 30)))
-        slope = x1.T @ (y - p) - penalty @ beta
-        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + penalty, slope)
+    for _ in range(30):  # sums without the threaded BLAS, which can stand still in a driver that runs Spark
+        p = 1 / (1 + np.exp(-np.clip((x1 * beta).sum(axis=1), -30, 30)))
+        slope = (x1 * (y - p)[:, None]).sum(axis=0) - (penalty * beta).sum(axis=1)
+        step = np.linalg.solve(np.einsum("ni,n,nj->ij", x1, p * (1 - p), x1) + penalty, slope)
         beta += step
         if np.abs(step).max() < 1e-8:
             break

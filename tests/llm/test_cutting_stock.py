@@ -42,6 +42,18 @@ def test_plan_of_nothing():
     assert cs.plan(np.zeros(8, int), 8).sequences == 0
 
 
+def test_plans_in_a_driver_whose_session_has_run_python_workers(spark):
+    """Threaded linear algebra stood still here: more than 200 columns enter, so the inverse is renewed."""
+    assert spark.range(1000).mapInPandas(lambda batches: batches, "id long").count() == 1000
+    draw = np.random.default_rng(5)
+    sizes = np.clip(draw.lognormal(4.0, 1.2, 60_000).astype(int), 1, 256)
+    demand = np.bincount(sizes, minlength=257)[1:]
+    plan = cs.plan(demand, 256)
+    assert plan.sequences <= 1.01 * sizes.sum() / 256 + 1
+    columns = draw.random((40, 40)) + np.eye(40)
+    assert np.allclose(cs._inverse(columns) @ columns, np.eye(40))
+
+
 def check(spark, docs, rows, vocabulary, capacity, rows_per_rank):
     encode = compiled.encoder(vocabulary)
     placed = cs.pack(spark, cs.cut(docs, encode, capacity), capacity, 8, rows_per_rank).toPandas()
