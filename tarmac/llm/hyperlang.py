@@ -18,7 +18,11 @@ from tarmac.llm.common import bounded_sample, texts
 
 UNKNOWN = "und"
 #: Documents whose counts are held in memory at once, in code points.
-BLOCK = 1_000_000
+BLOCK = 500_000
+#: Trigram vectors held in memory at once; a text with more different ones is bundled slice by slice.
+SLICE = 4096
+#: Letter vectors kept between texts.
+LETTERS = 8192
 _LETTER: list[np.ndarray] = []
 _VECTORS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -33,6 +37,8 @@ def is_letter() -> np.ndarray:
 def letter_vector(point: int, size: int) -> np.ndarray:
     key = (point, size)
     if key not in _VECTORS:
+        if len(_VECTORS) >= LETTERS:
+            _VECTORS.clear()
         signs = np.random.default_rng([size, point]).integers(0, 2, size, dtype=np.int8)
         _VECTORS[key] = (signs * 2 - 1).astype(np.float32)
     return _VECTORS[key]
@@ -70,13 +76,16 @@ def bundles(batch: list[str], size: int) -> np.ndarray:
     if not len(rows):
         return out
     grams, index = np.unique(packed, return_inverse=True)
-    vectors = trigram_vectors(grams, size)
-    bounds = np.searchsorted(rows, np.arange(len(batch) + 1))
-    for row in range(len(batch)):
-        own = index[bounds[row] : bounds[row + 1]]
-        if len(own):
-            seen, count = np.unique(own, return_counts=True)
-            out[row] = count.astype(np.float32) @ vectors[seen]
+    # How often each (slice, row, trigram) occurs, in that order; memory follows the letters, not the vectors.
+    pairs, count = np.unique((index // SLICE * len(batch) + rows) * SLICE + index % SLICE, return_counts=True)
+    group, place = pairs // SLICE, pairs % SLICE
+    begins = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    part, vectors = -1, np.empty((0, size), np.float32)
+    for begin, end in zip(begins, np.append(begins[1:], len(group))):
+        slice_, row = divmod(int(group[begin]), len(batch))
+        if slice_ != part:
+            part, vectors = slice_, trigram_vectors(grams[slice_ * SLICE : (slice_ + 1) * SLICE], size)
+        out[row] += count[begin:end].astype(np.float32) @ vectors[place[begin:end]]
     length = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(length > 0, length, 1)
 

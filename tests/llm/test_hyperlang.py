@@ -56,3 +56,20 @@ def test_the_sample_does_not_depend_on_partitions(spark, documents, words):
     docs = documents([(i, words(20, i)) for i in range(200)], "xx")
     one, other = hl.learn(docs, per_language=30), hl.learn(docs.repartition(7), per_language=30)
     assert np.allclose(one["xx"], other["xx"])
+
+
+def test_a_long_text_of_many_letters_is_bundled_in_slices():
+    """Half a million letters of a large alphabet: the vectors of all its trigrams would take one gigabyte."""
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    text = "".join(map(chr, draw.integers(0x4E00, 0x9F00, 500_000)))
+    tracemalloc.start()
+    bundled = hl.bundles(["abc", text, ""], 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20 and not bundled[2].any()
+    small = text[:9000]
+    rows, grams = hl.trigrams([small])
+    direct = hl.trigram_vectors(grams, 64).sum(axis=0)
+    assert np.allclose(hl.bundles([small], 64)[0], direct / np.linalg.norm(direct), atol=1e-5)
