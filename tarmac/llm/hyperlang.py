@@ -21,8 +21,8 @@ UNKNOWN = "und"
 BLOCK = 500_000
 #: Trigram vectors held in memory at once; a text with more different ones is bundled slice by slice.
 SLICE = 4096
-#: Letter vectors kept between texts.
-LETTERS = 8192
+#: Letter vectors kept between texts, one byte a sign.
+LETTERS = 65_536
 _LETTER: list[np.ndarray] = []
 _VECTORS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -40,7 +40,7 @@ def letter_vector(point: int, size: int) -> np.ndarray:
         if len(_VECTORS) >= LETTERS:
             _VECTORS.clear()
         signs = np.random.default_rng([size, point]).integers(0, 2, size, dtype=np.int8)
-        _VECTORS[key] = (signs * 2 - 1).astype(np.float32)
+        _VECTORS[key] = signs * np.int8(2) - np.int8(1)
     return _VECTORS[key]
 
 
@@ -49,7 +49,7 @@ def trigram_vectors(packed: np.ndarray, size: int) -> np.ndarray:
     out = np.ones((len(packed), size), np.float32)
     for place, shift in enumerate((42, 21, 0)):
         points, index = np.unique((packed >> shift) & 0x1FFFFF, return_inverse=True)
-        out *= np.stack([np.roll(letter_vector(int(p), size), 2 - place) for p in points])[index]
+        out *= np.roll(np.stack([letter_vector(int(p), size) for p in points]), 2 - place, axis=1)[index]
     return out
 
 
