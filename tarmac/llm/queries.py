@@ -14,8 +14,11 @@ from tarmac.llm import (
     license_automaton,
     merkle,
     ngram_jaccard,
+    periodic_runs,
     pivot_index,
+    prefix_trie,
     rank_bpe,
+    suffix_sort,
     suffix_tree_lm,
     toxicity,
     vocabulary,
@@ -166,6 +169,110 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.digests(suffix_sort.remove_repeats(spark, table(spark, sf_dir, "documents"), window=400))
+
+
+_OP11_SQL = r"""
+WITH bytes AS (
+  SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents
+),
+starts AS (
+  SELECT r, p, md5_number(substring(h, 2 * p + 1, 800)) AS key FROM (SELECT r, h, unnest(range(length(h) // 2 - 399)) AS p FROM bytes)
+),
+repeated AS (
+  SELECT r, p FROM starts WHERE key IN (SELECT key FROM starts GROUP BY key HAVING count(*) > 1)
+),
+marked AS (
+  SELECT r, p, CASE WHEN p - lag(p) OVER w <= 400 THEN 0 ELSE 1 END AS fresh FROM repeated WINDOW w AS (PARTITION BY r ORDER BY p)
+),
+spans AS (
+  SELECT r, min(p) AS a, max(p) + 400 AS b
+  FROM (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS s FROM marked) GROUP BY r, s
+),
+edges AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY r
+),
+pieces AS (
+  SELECT r, b AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS b FROM spans
+  UNION ALL SELECT r, 0 AS a, min(a) AS b FROM spans GROUP BY r
+),
+kept AS (
+  SELECT r, string_agg(substring(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k
+  FROM pieces JOIN bytes USING (r) GROUP BY r
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM bytes LEFT JOIN edges USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark, table(spark, sf_dir, "conversations"))
+
+
+_OP12_SQL = r"""
+WITH RECURSIVE crc_bits(value, crc, bits) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT value, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, bits + 1 FROM crc_bits WHERE bits < 8
+),
+crc_table AS (SELECT value, crc FROM crc_bits WHERE bits = 8),
+crc_steps(conv_id, digits, place, crc) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 1, 4294967295 FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL
+  SELECT s.conv_id, s.digits, s.place + 1, xor(s.crc >> 8, t.crc)
+  FROM crc_steps s JOIN crc_table t ON t.value = xor(s.crc & 255, CAST(ascii(substring(s.digits, s.place, 1)) AS BIGINT))
+  WHERE s.place <= length(s.digits)
+),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(crc, 4294967295) % 4 AS h FROM crc_steps WHERE place = length(digits) + 1
+),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth, words,
+    md5(md5(text) || '|' || role) AS content
+  FROM (
+    SELECT conv_id, part, place, role, text, len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+    FROM (
+      SELECT h.conv_id, 1 AS part, t.place, t.role, t.text FROM heads h JOIN turns t ON t.conv_id = h.base AND t.place <= h.h
+      UNION ALL SELECT t.conv_id, 2, t.place, t.role, t.text FROM turns t JOIN heads h ON t.conv_id = h.conv_id WHERE t.place > h.h
+    )
+  )
+),
+walked AS (
+  SELECT conv_id, depth, words, string_agg(content, ',') OVER w AS node, max(depth) OVER (PARTITION BY conv_id) AS length
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+  UNION ALL SELECT h.conv_id, 0, 0, '', (SELECT count(*) FROM rebuilt r WHERE r.conv_id = h.conv_id) FROM heads h
+),
+parents AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM walked
+),
+nodes AS (
+  SELECT node, min(parent) AS parent, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM parents GROUP BY node
+),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+totals AS (
+  SELECT w.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved
+  FROM nodes v JOIN walked w ON w.conv_id = v.conv_id AND w.depth <= v.depth LEFT JOIN kids k ON k.node = v.node
+  GROUP BY w.node
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children, t.n_leaves,
+  CAST(t.saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM nodes v JOIN totals t USING (node) LEFT JOIN nodes p ON p.node = v.parent LEFT JOIN kids k ON k.node = v.node
+"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.find_runs(table(spark, sf_dir, "documents"), seeded=True))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -178,8 +285,14 @@ def queries() -> dict[str, Query]:
         "op8_suffix_tree_lm": op8_suffix_tree_lm,
         "op9_license_scan": op9_license_scan,
         "op10_language_id": op10_language_id,
+        "op11_suffix_sort": op11_suffix_sort,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_ngram_jaccard": _OP1_SQL, "op2_chat_tree": _OP2_SQL, "op3_pivot_index": _OP3_SQL}
+    return {
+        "op1_ngram_jaccard": _OP1_SQL, "op2_chat_tree": _OP2_SQL, "op3_pivot_index": _OP3_SQL,
+        "op11_suffix_sort": _OP11_SQL, "op12_prefix_trie": _OP12_SQL,
+    }
