@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import clocks, kpi
@@ -183,20 +184,53 @@ def bad_rows(flights: DataFrame) -> DataFrame:
     return flights.withColumn("missing_columns", _missing_fields()).filter(F.col("missing_columns") != "")
 
 
-def rejected_rows(flights: DataFrame, airports: DataFrame) -> DataFrame:
-    """Records that have no place in the fact, with the reason: the complement of the fact build."""
+#: Why a row has no place in the fact; a missing field is named behind the first reason.
+REASONS = ["missing", "impossible date", "unknown origin airport", "unknown destination airport"]
+
+
+def with_reason(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """All records with the reason for which the fact has no place for them, null for the others."""
     listed = flights.withColumn("missing_columns", _missing_fields())
     date = clocks.calendar_date(F.col("YEAR"), F.col("MONTH"), F.col("DAY"))
     for role in ("ORIGIN_AIRPORT", "DESTINATION_AIRPORT"):
         known = airports.select(F.col("airport_code").alias("_code"), F.lit(True).alias(f"_{role}"))
         listed = listed.join(known, F.upper(F.trim(role)) == F.col("_code"), "left").drop("_code")
+    missing, no_date, no_origin, no_destination = REASONS
     reason = (
-        F.when(F.col("missing_columns") != "", F.concat(F.lit("missing "), "missing_columns"))
-        .when(date.isNull(), "impossible date")
-        .when(F.col("_ORIGIN_AIRPORT").isNull(), "unknown origin airport")
-        .when(F.col("_DESTINATION_AIRPORT").isNull(), "unknown destination airport")
+        F.when(F.col("missing_columns") != "", F.concat(F.lit(f"{missing} "), "missing_columns"))
+        .when(date.isNull(), no_date)
+        .when(F.col("_ORIGIN_AIRPORT").isNull(), no_origin)
+        .when(F.col("_DESTINATION_AIRPORT").isNull(), no_destination)
     )
-    return listed.withColumn("reason", reason).filter("reason is not null").select(*flights.columns, "reason")
+    return listed.withColumn("reason", reason).select(*flights.columns, "reason")
+
+
+def rejected_rows(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """Records that have no place in the fact, with the reason: the complement of the fact build."""
+    return with_reason(flights, airports).filter("reason IS NOT NULL")
+
+
+def observed(listed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Records with a reason (see ``with_reason``), of which the rejected ones are counted while an action reads them."""
+    seen = Observation("source")
+    return listed.observe(seen, F.count("reason").alias("rejected")), seen
+
+
+def any_rejected(seen: Observation) -> bool:
+    """Whether the observed action met a rejected row, or may have.
+
+    Spark collects no metrics where it finds without reading the rows that the result is empty.
+    """
+    try:
+        return seen.get["rejected"] > 0
+    except Py4JJavaError:
+        return True
+
+
+def reason_counts(quarantine: DataFrame) -> dict[str, int]:
+    """How many rows of a quarantine there are by reason; one number for all missing fields."""
+    kinds = [F.count_if(F.col("reason").startswith(r)).alias(r) for r in REASONS]
+    return quarantine.agg(*kinds).first().asDict()
 
 
 def extreme_delays(fact: DataFrame, early: int = -600, late: int = 1440) -> DataFrame:

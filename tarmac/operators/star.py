@@ -8,8 +8,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators import dims, facts
-from tarmac.sources import tables
+from tarmac.operators import dims, facts, quality
+from tarmac.sources import tables, versions
 
 
 @dataclass(frozen=True)
@@ -39,10 +39,6 @@ def dim_path(warehouse: str, name: str) -> str:
     return f"{warehouse}/dim_{'delay_cause' if name == 'cause' else name}"
 
 
-def fact_path(warehouse: str) -> str:
-    return f"{warehouse}/fact_flights"
-
-
 def load_dims(
     spark: SparkSession,
     airlines: DataFrame,
@@ -88,22 +84,48 @@ def extend_dates(
     return replace(loaded, date=dates)
 
 
+class NothingLoaded(ValueError):
+    """A warehouse without a finished load."""
+
+
 def read_star(spark: SparkSession, warehouse: str) -> Star:
-    """The star schema stored in a warehouse folder."""
+    """The star schema stored in a warehouse folder, with the facts of the last finished load."""
+    version = versions.current(spark, warehouse)
+    if version is None:
+        raise NothingLoaded(warehouse)
     stored = {name: spark.read.parquet(dim_path(warehouse, name)) for name in DIM_CODES}
-    return Star(**stored, fact=spark.read.parquet(fact_path(warehouse)))
+    return Star(**stored, fact=spark.read.parquet(version.fact))
 
 
-def load_fact(spark: SparkSession, flights: DataFrame, dims: Star, warehouse: str) -> Star:
-    """Replace the fact table, partitioned by year and month."""
-    fact = facts.build_fact(flights, dims)
-    tables.write_fact(fact, fact_path(warehouse), "overwrite")
-    return replace(dims, fact=spark.read.schema(fact.schema).parquet(fact_path(warehouse)))
+def load_fact(
+    spark: SparkSession, flights: DataFrame, dims: Star, warehouse: str, holidays: Sequence[str] | None = None
+) -> Star:
+    """Replace the facts, partitioned by year and month, and add the calendar years that they need.
+
+    The new facts and the rejected rows go to folders of their own, and become the valid ones by one row that
+    is written when all is there. A load that breaks leaves the former facts as they were. Whether there are rows to
+    reject is observed while the facts are written, so a source without any is read once. The counts of the load
+    are taken from what was written: they hold also where Spark had to compute rows again.
+    """
+    version = versions.following(spark, warehouse, versions.FULL)
+    listed, seen = quality.observed(quality.with_reason(flights, dims.airport))
+    fact = facts.build_fact(listed.filter("reason IS NULL").select(*flights.columns), dims)
+    tables.write_fact(fact, version.fact, "overwrite")
+    rejected = quality.rejected_rows(flights, dims.airport)
+    if not quality.any_rejected(seen):
+        rejected = rejected.limit(0)  # an empty table, over what a broken load may have left
+    rejected.write.mode("overwrite").parquet(version.quarantine)
+    built = replace(dims, fact=spark.read.schema(fact.schema).parquet(version.fact))
+    built = extend_dates(spark, built, warehouse, holidays)
+    loaded = built.fact.count()  # from the footers of the files
+    reasons = quality.reason_counts(spark.read.schema(rejected.schema).parquet(version.quarantine))
+    counts = {"read": loaded + sum(reasons.values()), "loaded": loaded, **reasons}
+    versions.record(spark, version, versions.FULL, counts)
+    return built
 
 
 def load_star(
     spark: SparkSession, flights: DataFrame, airlines: DataFrame, airports: DataFrame, warehouse: str
 ) -> Star:
     """Full load: new dimension members, then the whole fact, then the days it needs."""
-    loaded = load_fact(spark, flights, load_dims(spark, airlines, airports, warehouse), warehouse)
-    return extend_dates(spark, loaded, warehouse)
+    return load_fact(spark, flights, load_dims(spark, airlines, airports, warehouse), warehouse)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import clocks, kpi, rules
 from tarmac.operators import dims, facts, integrity, quality
-from tarmac.operators.star import Star, fact_path
+from tarmac.operators.star import Star
 from tarmac.oracle import eda as eda_oracles
 from tarmac.oracle import mapping
 from tarmac.oracle import models as model_oracles
@@ -20,7 +20,7 @@ from tarmac.oracle import loading as loading_oracles
 from tarmac.oracle import views as view_oracles
 from tarmac.plans import eda, examples, models, views
 from tarmac.session import cut_lineage, fresh_path
-from tarmac.sources import files, schemas, tables
+from tarmac.sources import files, schemas, tables, versions
 from tarmac.streaming import ingest
 from tarmac.testbed import Testbed, testbed
 
@@ -231,7 +231,7 @@ def _unmapped_codes(bed):
 @_loading("table_stats")
 def _table_stats(bed):
     bed.star  # loaded first
-    stats = tables.table_stats(bed.spark, fact_path(bed.warehouse))
+    stats = tables.table_stats(bed.spark, versions.current(bed.spark, bed.warehouse).fact)
     # The size depends on the writer, so only its presence is compared.
     return stats.select("row_count", (F.col("size_mb") > 0).alias("has_size"))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,13 +45,23 @@ def new_members(existing: DataFrame, incoming: DataFrame, code: str, key: str) -
     return fresh.withColumn(key, (number + last_key).cast("int")).select(*existing.columns)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Spark sees them."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a readable Parquet table."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
+    """Whether ``path`` holds a Parquet table: a folder with at least one finished file."""
+    system, folder = file_system(spark, path)
+    if not system.exists(folder):
         return False
-    return True
+    found = system.listFiles(folder, True)
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.endswith(".parquet") and "/_temporary/" not in name:
+            return True
+    return False
 
 
 def load_once(spark: SparkSession, incoming: DataFrame, path: str, code: str, key: str) -> DataFrame:

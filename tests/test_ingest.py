@@ -23,8 +23,8 @@ def test_resume_reset_and_quarantine(spark, star):
     add_files(flights(spark, {"DAY": 6}, {"DAY": 7}), source)
     assert [p["input_rows"] for p in replace(load).run()] == [2]
     assert load.fact().count() == 3
-    state = {r.batch_id: (r.loaded_rows, r.rejected_rows) for r in load.state().collect()}
-    assert state == {0: (1, 2), 1: (2, 0)}
+    state = {r.batch_id: (r.read_rows, r.loaded_rows, r.rejected_rows) for r in load.state().collect()}
+    assert state == {0: (3, 1, 2), 1: (2, 2, 0)}
     reasons = sorted(r.reason for r in load.quarantine().collect())
     assert reasons == ["impossible date", "missing AIRLINE"]
 
