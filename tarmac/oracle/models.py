@@ -137,5 +137,165 @@ SQL["ml_dep_arr_features"] = """SELECT carrier AS airline, departure_seconds, ar
   avg(delay) AS mean, avg(isodow(flight_date) - 1) AS weekday FROM analysed WHERE delay < 60 GROUP BY 1, 2, 3, 4"""
 
 
+# Ridge over all airports ------------------------------------------------------------------------------
+# Every airport's own columns (its level and, for order 2, a slope per time) are eliminated from its sums; the
+# rest adds up to a system of the common columns, which is solved by Gaussian elimination, one subquery a step.
+
+
+def _pair(i: int, j: int, letter: str = "g") -> str:
+    return f"{letter}_{min(i, j)}_{max(i, j)}"
+
+
+def _ridge_fit(train: str, times: list[str], models: list[tuple[int, float]], name: str) -> str:
+    """CTEs ``{name}_own`` (airport_id, polynomial_order, alpha, level, slope_1, ...), ``{name}_unseen`` (the same
+    of an unseen airport) and ``{name}_common`` (polynomial_order, alpha, c_0, ...) of all ``models`` on the rows ``train``."""
+    m = len(times)
+    t = [f"({c} / 86400.0::DOUBLE)" for c in times]
+    z = ["1.0::DOUBLE", *t, *[f"({t[i]} * {t[j]})" for i in range(m) for j in range(i, m)], "mean"]
+    y, last = len(z) - 1, len(z)
+    pairs = [(i, j) for i in range(last) for j in range(i, last)]
+    listed = ", ".join(f"({order}, {alpha}::DOUBLE)" for order, alpha in models)
+    sums = ", ".join(f"sum({z[i]} * {z[j]}) AS {_pair(i, j)}" for i, j in pairs)
+    totals = ", ".join(f"sum({_pair(i, j)}) AS {_pair(i, j, 'n')}" for i, j in pairs if i == 0 or i == j)
+
+    def spread(first: str, second: str) -> str:
+        return f"alpha * greatest({second} - {first} * {first} / n_0_0, 0)"
+
+    one = f"(g_0_0 + {spread('g_0_0', 'g_0_0')} / polynomial_order)"
+    left = ", ".join(f"{_pair(i, j)} - {_pair(0, i)} * {_pair(0, j)} / {one} AS {_pair(i, j, 'h')}" for i, j in pairs)
+    block = {
+        (i, j): f"h_{i}_{j}" + (f" + {spread(f'g_0_{i}', f'g_{i}_{i}')}" if i == j else "")
+        for i in range(1, m + 1) for j in range(i, m + 1)
+    }
+    blocks = ", ".join(f"{sql} AS b_{i}_{j}" for (i, j), sql in block.items())
+    scale = " + ".join(f"g_{i}_{i}" for i in range(1, m + 1))
+    trace = "(" + " + ".join(f"b_{i}_{i}" for i in range(1, m + 1)) + ")"
+    if m == 1:
+        inverse = "CASE WHEN polynomial_order = 1 OR b_1_1 <= 1e-9 * g_1_1 THEN 0.0 ELSE 1 / b_1_1 END AS p_1_1"
+    else:
+        det = "(b_1_1 * b_2_2 - b_1_2 * b_1_2)"
+        other = {(1, 1): "b_2_2", (1, 2): "-b_1_2", (2, 2): "b_1_1"}
+        inverse = ", ".join(
+            f"CASE WHEN polynomial_order = 1 OR {trace} <= 1e-9 * ({scale}) THEN 0.0 "
+            f"WHEN {det} <= 1e-9 * {trace} * {trace} THEN b_{i}_{j} / ({trace} * {trace}) ELSE {swap} / {det} END AS p_{i}_{j}"
+            for (i, j), swap in other.items()
+        )
+
+    def through(i: int, j: int) -> str:
+        return " + ".join(
+            f"{_pair(a, i, 'h')} * {_pair(a, b, 'p')} * {_pair(b, j, 'h')}" for a in range(1, m + 1) for b in range(1, m + 1)
+        )
+
+    used = []
+    for i in range(y):
+        if i == 0:
+            used.append("alpha > 0")
+        elif i <= m:
+            used.append("(alpha > 0 OR polynomial_order = 1)")
+        else:
+            used.append("polynomial_order = 2")
+    border = []
+    for i, j in pairs:
+        if i == y:
+            continue
+        value = f"sum({_pair(i, j, 'h')} - ({through(i, j)}))"
+        if i == j:
+            penalty = f" + any_value({spread(f'n_0_{i}', f'n_{i}_{i}')})" if i else ""
+            border.append(f"CASE WHEN {used[i]} THEN {value}{penalty} ELSE 1.0 END AS s0_{i}_{j}")
+        else:
+            both = used[i] if j == y else f"{used[i]} AND {used[j]}"
+            border.append(f"CASE WHEN {both} THEN {value} ELSE 0.0 END AS s0_{i}_{j}")
+    solved = f"SELECT polynomial_order, alpha, {', '.join(border)} FROM {name}_blocks GROUP BY polynomial_order, alpha"
+    for step in range(y - 1):
+        kept = [f"s{k}_{k}_{j}" for k in range(step + 1) for j in range(k, y + 1)]
+        new = [
+            f"s{step}_{i}_{j} - s{step}_{step}_{i} * s{step}_{step}_{j} / s{step}_{step}_{step} AS s{step + 1}_{i}_{j}"
+            for i in range(step + 1, y) for j in range(i, y + 1)
+        ]
+        solved = f"SELECT polynomial_order, alpha, {', '.join(kept + new)} FROM ({solved})"
+    for i in range(y - 1, -1, -1):
+        known = "".join(f" - s{i}_{i}_{j} * c_{j}" for j in range(i + 1, y))
+        solved = f"SELECT *, (s{i}_{i}_{y}{known}) / s{i}_{i}_{i} AS c_{i} FROM ({solved})"
+    solved = f"SELECT polynomial_order, alpha, {', '.join(f'c_{i}' for i in range(y))} FROM ({solved})"
+    rest = {a: f"(h_{a}_{y}" + "".join(f" - {_pair(a, i, 'h')} * c_{i}" for i in range(y)) + ")" for a in range(1, m + 1)}
+    slopes = [" + ".join(f"{_pair(a, b, 'p')} * {rest[b]}" for b in range(1, m + 1)) for a in range(1, m + 1)]
+    named = ", ".join(f"{sql} AS slope_{a}" for a, sql in enumerate(slopes, 1))
+    level = f"g_0_{y}" + "".join(f" - g_0_{i} * c_{i}" for i in range(y)) + "".join(f" - g_0_{a} * slope_{a}" for a in range(1, m + 1))
+    mean = ", ".join(f"CASE WHEN alpha > 0 THEN 0.0 ELSE avg({c}) END AS {c}" for c in ("level", *(f"slope_{a}" for a in range(1, m + 1))))
+    return f"""{name}_sums AS (SELECT airport_id, {sums} FROM ({train}) GROUP BY airport_id),
+{name}_left AS (SELECT *, {one} AS one, {left} FROM {name}_sums, (SELECT {totals} FROM {name}_sums),
+  (VALUES {listed}) AS models(polynomial_order, alpha)),
+{name}_blocks AS (SELECT *, {inverse} FROM (SELECT *, {blocks} FROM {name}_left)),
+{name}_common AS ({solved}),
+{name}_own AS (SELECT airport_id, polynomial_order, alpha, ({level}) / one AS level, {', '.join(f'slope_{a}' for a in range(1, m + 1))}
+  FROM (SELECT *, {named} FROM {name}_blocks JOIN {name}_common USING (polynomial_order, alpha))),
+{name}_unseen AS (SELECT polynomial_order, alpha, {mean} FROM {name}_own GROUP BY polynomial_order, alpha)"""
+
+
+def _ridge_predict(rows: str, times: list[str], name: str, where: str = "TRUE") -> str:
+    """``rows`` with the prediction of every model of ``name``."""
+    t = [f"({c} / 86400.0::DOUBLE)" for c in times]
+    z = ["1", *t, *[f"({t[i]} * {t[j]})" for i in range(len(t)) for j in range(i, len(t))]]
+    shared = " + ".join(f"c.c_{i} * {x}" for i, x in enumerate(z))
+    own = "coalesce(o.level, u.level)" + "".join(
+        f" + coalesce(o.slope_{a}, u.slope_{a}) * {x}" for a, x in enumerate(t, 1)
+    )
+    return f"""SELECT r.*, c.polynomial_order, c.alpha, {shared} + {own} AS prediction
+  FROM ({rows}) r CROSS JOIN {name}_common c JOIN {name}_unseen u USING (polynomial_order, alpha)
+  LEFT JOIN {name}_own o ON o.airport_id = r.airport_id AND o.polynomial_order = c.polynomial_order AND o.alpha = c.alpha
+  WHERE {where}"""
+
+
+_ALPHAS = [tenths / 10 for tenths in range(0, 20, 2)]
+_GRID = [(order, alpha) for order in (1, 2) for alpha in _ALPHAS]
+_CUT = {"train": "<", "test": ">"}
+
+
+def _mean_delays(part: str) -> str:
+    return f"""SELECT origin AS airport_id, departure_seconds, avg(delay) AS mean FROM analysed
+  WHERE delay < 60 AND carrier = 'AA' AND flight_date {_CUT[part]} DATE '2015-10-01' GROUP BY 1, 2"""
+
+
+def _route_times(part: str) -> str:
+    return f"""SELECT origin AS airport_id, departure_seconds, arrival_seconds, avg(delay) AS mean FROM analysed
+  WHERE delay < 60 AND carrier = 'AA' AND flight_date {_CUT[part]} DATE '2015-10-01' GROUP BY 1, 2, 3"""
+
+
+def _mse(scored: str, *keys: str) -> str:
+    listed = "".join(f"{k}, " for k in keys)
+    grouped = f" GROUP BY {', '.join(keys)}" if keys else ""
+    return f"""SELECT {listed}count(*) AS points, {half_up(f"avg({_ERROR})", 4)} AS mse,
+  {half_up(f"sqrt(avg({_ERROR}))", 4)} AS rmse_minutes FROM ({scored}){grouped}"""
+
+
+def _grid_scope(rows: str, times: list[str], *identity: str) -> str:
+    """CTEs for the fits of the grid on 70 % of ``rows`` and their scores on the rest, unrounded."""
+    parted = _parts(rows, *identity)
+    return f"""{_ridge_fit(f"SELECT * FROM ({parted}) WHERE part = 'train'", times, _GRID, "grid")},
+scores AS (SELECT polynomial_order, alpha, avg({_ERROR}) AS mse
+  FROM ({_ridge_predict(f"SELECT * FROM ({parted}) WHERE part = 'test'", times, "grid")}) GROUP BY polynomial_order, alpha),
+best AS (SELECT polynomial_order, alpha FROM scores ORDER BY mse, polynomial_order, alpha LIMIT 1)"""
+
+
+_DEPARTURE, _BOTH = ["departure_seconds"], ["departure_seconds", "arrival_seconds"]
+_ALL_PARTS = _parts(_AA, "airport_id", "departure_seconds")
+_RIDGE = _ridge_fit(f"SELECT * FROM ({_ALL_PARTS}) WHERE part = 'train'", _DEPARTURE, [(2, 0.3)], "ridge")
+SQL["ml_ridge"] = f"""SELECT * FROM (WITH {_RIDGE}
+{_mse(_ridge_predict(f"SELECT * FROM ({_ALL_PARTS}) WHERE part = 'test'", _DEPARTURE, "ridge"))})"""
+SQL["ml_grid_search"] = f"""SELECT * FROM (WITH {_grid_scope(_mean_delays("train"), _DEPARTURE, "airport_id", "departure_seconds")}
+SELECT s.polynomial_order, s.alpha, {half_up("s.mse", 4)} AS mse, b.alpha IS NOT NULL AS is_best
+FROM scores s LEFT JOIN best b USING (polynomial_order, alpha))"""
+_CHOSEN = "(c.polynomial_order, c.alpha) IN (SELECT (polynomial_order, alpha) FROM best)"
+_REFIT = _ridge_fit(_mean_delays("train"), _DEPARTURE, _GRID, "refit")
+SQL["ml_refit_best"] = f"""SELECT * FROM (WITH {_grid_scope(_mean_delays("train"), _DEPARTURE, "airport_id", "departure_seconds")}, {_REFIT}
+{_mse(_ridge_predict(_mean_delays("train"), _DEPARTURE, "refit", _CHOSEN), "polynomial_order", "alpha")})"""
+_APPLIED = _ridge_fit(_mean_delays("train"), _DEPARTURE, [(2, 0.2)], "applied")
+SQL["ml_apply_train_labels"] = f"""SELECT * FROM (WITH {_APPLIED}
+{_rounded(_ridge_predict(_mean_delays("test"), _DEPARTURE, "applied"))})"""
+_REFIT_BOTH = _ridge_fit(_route_times("train"), _BOTH, _GRID, "refit")
+SQL["ml_model3"] = f"""SELECT * FROM (WITH {_grid_scope(_route_times("train"), _BOTH, *_BOTH, "airport_id")}, {_REFIT_BOTH}
+{_mse(_ridge_predict(_route_times("test"), _BOTH, "refit", _CHOSEN), "polynomial_order", "alpha")})"""
+
+
 def oracle(name: str) -> str | None:
     return with_flights(SQL[name]) if name in SQL else None

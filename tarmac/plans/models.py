@@ -13,15 +13,13 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import kpi
-from tarmac.plans import eda, fitting
-from tarmac.session import cut_lineage
+from tarmac.plans import eda, fitting, ridge
 
 EXTREME_MINUTES = 60
 LARGE_ERROR_MINUTES = 15
@@ -395,11 +393,6 @@ def mse(scored: DataFrame) -> DataFrame:
     )
 
 
-def mse_value(scored: DataFrame) -> float:
-    evaluator = RegressionEvaluator(labelCol="mean", predictionCol="prediction", metricName="mse")
-    return evaluator.evaluate(scored)
-
-
 def large_error_share(scored: DataFrame, minutes: int = LARGE_ERROR_MINUTES) -> DataFrame:
     """Percentage of predictions that are off by more than ``minutes``."""
     off = F.abs(F.col("prediction") - F.col("mean")) > minutes
@@ -470,34 +463,21 @@ def grid_search(
 ) -> GridResult:
     """Fit every order and penalty on 70 % of the rows and score it on the rest.
 
-    The features of an order are computed once, written out, and shared by all its penalties.
+    All fits come from one aggregation of the training rows, all scores from one pass over the rest.
     """
-    spark = merged.sparkSession
     train, test = split_merged(merged, seed)
-    label_std = train.agg(F.stddev_pop("mean")).first()[0] or 0.0
-    scores = []
-    for order in orders:
-        for regularised in (False, True):
-            penalties = [a for a in alphas if (a > 0) == regularised]
-            if not penalties:
-                continue
-            encode = Pipeline(stages=one_hot_stages(times, order, regularised)).fit(_scaled(train, times))
-            needed = ["_index", "features", "mean", *[f"_{c}" for c in times]]
-            train_rows, test_rows = (
-                cut_lineage(spark, encode.transform(_scaled(part, times)).select(*needed), "grid")
-                for part in (train, test)
-            )
-            for alpha in penalties:
-                fitted = _regression(label_std, alpha).fit(train_rows)
-                model = DelayModel(PipelineModel([*encode.stages, fitted]), tuple(times), order, alpha)
-                scores.append((order, float(alpha), mse_value(model.score(test_rows))))
-    return GridResult(sorted(scores))
-
-
-def refit_best(merged: DataFrame, grid: GridResult, times: Sequence[str] = DEPARTURE) -> DelayModel:
+    return GridResult(sorted(ridge.fit(train, times, orders, alphas).scores(test)))
+
+
+def refit_best(merged: DataFrame, grid: GridResult, times: Sequence[str] = DEPARTURE) -> ridge.Model:
     """The best order and penalty, fitted on all training rows."""
     order, alpha, _ = grid.best
-    return fit_delays(merged, times, order, alpha)
+    return fit_ridge(merged, times, order, alpha)
+
+
+def fit_ridge(train: DataFrame, times: Sequence[str] = DEPARTURE, order: int = 1, alpha: float = 0.0) -> ridge.Model:
+    """One order and penalty from the sums of each airport."""
+    return ridge.fit(train, times, [order], [alpha]).model(order, float(alpha))
 
 
 # --- departure and arrival times ---------------------------------------------------------------------
@@ -512,7 +492,7 @@ def dep_arr_features(flights: DataFrame, limit: int = EXTREME_MINUTES) -> DataFr
     )
 
 
-def route_time_model(train: DataFrame, test: DataFrame) -> tuple[DelayModel, GridResult, DataFrame]:
+def route_time_model(train: DataFrame, test: DataFrame) -> tuple[ridge.Model, GridResult, DataFrame]:
     """Ridge on one-hot origin, departure and arrival time; the errors on the later period."""
     grid = grid_search(train, DEPARTURE_ARRIVAL)
     model = refit_best(train, grid, DEPARTURE_ARRIVAL)

@@ -642,27 +642,32 @@ def _residuals(bed) -> DataFrame:
     return _rounded(models.residual_terms(scored, at_least=400.0), 4, "squared_error", "prediction")
 
 
+def _errors(scored: DataFrame, model: models.ridge.Model | None = None) -> DataFrame:
+    errors = _rounded(models.mse(scored), 4, "mse", "rmse_minutes")
+    if model is None:
+        return errors
+    return errors.withColumns({"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)})
+
+
 def _refit(bed) -> DataFrame:
     merged = _merged(bed, "train")
     model = models.refit_best(merged, _grid(bed))
-    return models.mse(model.predict(merged)).withColumns(
-        {"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)}
-    )
+    return _errors(model.predict(merged), model)
 
 
 def _applied(bed) -> DataFrame:
-    model = models.fit_delays(_merged(bed, "train"), order=2, alpha=0.2)
-    return model.predict(_merged(bed, "test"))
+    model = models.fit_ridge(_merged(bed, "train"), order=2, alpha=0.2)
+    return _rounded(model.predict(_merged(bed, "test")), 4, "prediction")
 
 
 def _ridge(bed) -> DataFrame:
     train, test = models.split_merged(_merged(bed))
-    return models.mse(models.fit_delays(train, order=2, alpha=0.3).predict(test))
+    return _errors(models.fit_ridge(train, order=2, alpha=0.3).predict(test))
 
 
 def _model3(bed) -> DataFrame:
     model, _, scored = models.route_time_model(_route_times(bed, "train"), _route_times(bed, "test"))
-    return models.mse(scored).withColumns({"polynomial_order": F.lit(model.order), "alpha": F.lit(model.alpha)})
+    return _errors(scored, model)
 
 
 def _poly_fit(bed) -> DataFrame:
@@ -699,7 +704,7 @@ _MODELS = {
     "ml_split_eval": lambda bed: _rounded(models.split_eval(_merged(bed)), 4, "mse", "rmse_minutes"),
     "ml_residual_terms": _residuals,
     "ml_ridge": _ridge,
-    "ml_grid_search": lambda bed: _grid(bed).to_frame(bed.spark),
+    "ml_grid_search": lambda bed: _rounded(_grid(bed).to_frame(bed.spark), 4, "mse"),
     "ml_refit_best": _refit,
     "ml_apply_train_labels": _applied,
     "ml_dep_arr_features": lambda bed: models.dep_arr_features(_analysed(bed)),

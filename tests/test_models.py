@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.plans import eda, fitting, models
+from tarmac.plans import ridge as by_airport
 from tarmac.registry import _analysed
 
 
@@ -129,6 +130,46 @@ def test_split_bias_uses_every_split(by_time):
     assert found.count() == 40 and found.filter("best_order not between 1 and 3").isEmpty()
 
 
+@pytest.mark.parametrize("times", [models.DEPARTURE, models.DEPARTURE_ARRIVAL])
+def test_all_penalties_at_once_equal_single_fits(bed, times):
+    """The sums of each airport against Spark's regression on the assembled vectors, unseen airports included."""
+    rows = models.dep_arr_features(_analysed(bed).filter("airline = 'AA'")).select("airport_id", *times, "mean")
+    train, test = models.split_merged(rows.filter("airport_id <> 'P1' OR departure_seconds < 30000"))
+    test = test.unionByName(test.limit(3).withColumn("airport_id", F.lit("NEW")))
+    family = by_airport.fit(train, times, (1, 2), (0.0, 0.3, 1.5))
+    for order, alpha, error in family.scores(test):
+        single = models.mse(models.fit_delays(train, times, order, alpha).predict(test)).first().mse
+        assert error == pytest.approx(single, rel=1e-6), (order, alpha)
+        assert models.mse(family.predict(test, order, alpha)).first().mse == pytest.approx(error, rel=1e-12)
+
+
+def test_airports_with_one_time_get_no_slope(spark):
+    rows = [("A", 0, 1.0), ("A", 43200, 3.0), ("A", 64800, 9.0), ("B", 600, 7.0), ("C", 600, 4.0), ("C", 600, 6.0)]
+    train = spark.createDataFrame(rows, "airport_id string, departure_seconds int, mean double")
+    plain = models.fit_ridge(train, order=2, alpha=0.0)
+    later = train.withColumn("departure_seconds", F.lit(600))
+    found = {r.airport_id: r.prediction for r in plain.predict(later).collect()}
+    assert found["B"] == pytest.approx(7.0) and found["C"] == pytest.approx(5.0)
+    with pytest.raises(ValueError):
+        models.fit_ridge(train.limit(0))
+
+
+def test_the_grid_reads_its_rows_twice(spark, merged):
+    """One aggregation of the training rows and one pass over the test rows, whatever the number of models."""
+    counts = {}
+    for alphas in ((0.2,), tuple(models.ALPHAS)):
+        seen = spark.sparkContext.accumulator(0)
+
+        @F.udf("double")
+        def count(x):
+            seen.add(1)
+            return x
+
+        models.grid_search(merged.withColumn("mean", count("mean")), alphas=alphas)
+        counts[alphas] = seen.value
+    assert len(set(counts.values())) == 1
+
+
 def test_grid_keeps_the_lowest_error(spark, merged):
     grid = models.grid_search(merged, alphas=(0.0, 0.4))
     assert len(grid.scores) == 4 and grid.best[2] == min(s[2] for s in grid.scores)
