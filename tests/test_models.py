@@ -137,7 +137,12 @@ def test_all_penalties_at_once_equal_single_fits(bed, times):
     train, test = models.split_merged(rows.filter("airport_id <> 'P1' OR departure_seconds < 30000"))
     test = test.unionByName(test.limit(3).withColumn("airport_id", F.lit("NEW")))
     family = by_airport.fit(train, times, (1, 2), (0.0, 0.3, 1.5))
-    for order, alpha, error in family.scores(test):
+    # Airports with fewer points than unknowns leave a plain fit open away from its points, so look at these.
+    closed = [s for s in family.scores(test) if s[1] > 0 or s[0] == 1]
+    for order, alpha, error in [s for s in family.scores(train) if s[:2] == (2, 0.0)]:
+        single = models.mse(models.fit_delays(train, times, order, alpha).predict(train)).first().mse
+        assert error == pytest.approx(single, rel=1e-6)
+    for order, alpha, error in closed:
         single = models.mse(models.fit_delays(train, times, order, alpha).predict(test)).first().mse
         assert error == pytest.approx(single, rel=1e-6), (order, alpha)
         assert models.mse(family.predict(test, order, alpha)).first().mse == pytest.approx(error, rel=1e-12)
