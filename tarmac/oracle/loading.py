@@ -36,6 +36,16 @@ SQL["sink_load_once"] = """SELECT CAST(row_number() OVER (ORDER BY airline_code
   AS airline_key, airline_code, airline_name, airline_type FROM dim_airline"""
 SQL["ingest_batches"] = "SELECT * EXCLUDE (year, month) FROM fact"
 SQL["ingest_resume"] = "SELECT * EXCLUDE (year, month) FROM fact"
+SQL["ingest_redelivered"] = "SELECT * EXCLUDE (year, month) FROM fact"
+SQL["load_counts"] = f"""WITH judged AS (SELECT CASE WHEN NOT ({s.PRESENT}) THEN 'missing'
+    WHEN {s.FLIGHT_DATE} IS NULL THEN 'impossible date'
+    WHEN upper(trim(ORIGIN_AIRPORT)) NOT IN (SELECT airport_code FROM dim_airport) THEN 'unknown origin airport'
+    WHEN upper(trim(DESTINATION_AIRPORT)) NOT IN (SELECT airport_code FROM dim_airport)
+    THEN 'unknown destination airport' ELSE 'loaded' END AS outcome FROM flights)
+  SELECT outcome, count(j.outcome) AS row_count FROM (VALUES ('missing'), ('impossible date'),
+    ('unknown origin airport'), ('unknown destination airport'), ('loaded')) v(outcome)
+    LEFT JOIN judged j USING (outcome) GROUP BY outcome
+  UNION ALL SELECT 'read', count(*) FROM flights"""
 
 # Profiling -------------------------------------------------------------------------------------------
 SQL["check_required_columns"] = """SELECT 'airlines' AS source, count(*) AS row_count, '' AS missing_columns
@@ -304,4 +314,7 @@ SQL["table_stats"] = "SELECT count(*) AS row_count, count(*) > 0 AS has_size FRO
 
 
 def oracle(name: str) -> str | None:
-    return with_star(SQL[name]) if name in SQL else None
+    if name not in SQL:
+        return None
+    query = SQL[name]
+    return with_star(f"SELECT * FROM ({query})" if query.startswith("WITH") else query)

@@ -161,6 +161,27 @@ def _ingest_resume(bed):
     return load.fact().select(*[c for c in bed.star.fact.columns if c not in ("year", "month")])
 
 
+@_loading("ingest_redelivered")
+def _ingest_redelivered(bed):
+    """Two deliveries that overlap by four months: the second one adds only what the first one did not have."""
+    source = fresh_path(bed.spark, "arriving-csv")
+    load = ingest.new_ingest(bed.spark, source, bed.star)
+    for part in (bed.flights.filter("MONTH <= 8 OR MONTH IS NULL"), bed.flights.filter("MONTH > 4 OR MONTH IS NULL")):
+        part.coalesce(4).write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(source)
+        load.run()
+    return load.fact().select(*[c for c in bed.star.fact.columns if c not in ("year", "month")])
+
+
+@_loading("load_counts")
+def _load_counts(bed):
+    """Rows that the full load of the test bed read, loaded and rejected by reason."""
+    loaded = bed.star and versions.current(bed.spark, bed.warehouse)
+    rows = versions.history(bed.spark, bed.warehouse).filter((F.col("kind") == versions.FULL) & (F.col("epoch") == loaded.epoch))
+    return rows.select(F.explode("counts").alias("outcome", "row_count"))
+
+
 # --- profiling ---------------------------------------------------------------------------------------
 
 
