@@ -68,6 +68,44 @@ SQL["eda_delay_histogram"] = """SELECT airline, bin, bin * 2.75::DOUBLE + 16.375
   CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range(60)) b
   LEFT JOIN (SELECT carrier AS airline, CAST(least((delay - 15) * 4 // 11, 59) AS INT) AS bin, count(*) AS n
     FROM analysed WHERE delay BETWEEN 15 AND 180 GROUP BY 1, 2) c USING (airline, bin)"""
+
+
+def _project(b: str) -> dict[str, str]:
+    """Sums over the bars (lists ``xs`` and ``ys``) with the basis exp(-x / b): those of the best amplitude, and of the
+    derivative of the error."""
+    e = f"exp(-p[1] / {b})"
+
+    def total(term: str) -> str:
+        return f"list_sum(list_transform(list_zip(xs, ys), lambda p: {term}))"
+
+    return {
+        "a": f"({total(f'{e} * p[2]')} / {total(f'{e} * {e}')})",
+        "error": total(f"power(p[2] - AMPLITUDE * {e}, 2)"),
+        "slope": total(f"(p[2] - AMPLITUDE * {e}) * {e} * p[1]"),
+    }
+
+
+# The scale is searched as in variable projection: a grid, then bisection in a recursive query of 60 steps.
+_MID = "exp((low + high) / 2)"
+_GRID, _HALF = _project("b"), _project("middle")
+_LOG_STEP = "(ln(5000.0::DOUBLE) / 199)"
+SQL["eda_delay_exp_fit"] = f"""SELECT * FROM (WITH RECURSIVE bars AS (
+    SELECT airline, list(center ORDER BY bin) AS xs, list(density ORDER BY bin) AS ys
+    FROM ({SQL["eda_delay_histogram"]}) GROUP BY airline),
+  grid AS (SELECT *, {_GRID["error"].replace("AMPLITUDE", "a")} AS error FROM (
+    SELECT *, {_GRID["a"]} AS a FROM (SELECT *, exp(i * {_LOG_STEP}) AS b FROM bars, range(200) steps(i)))),
+  nearest AS (SELECT airline, arg_min(i, (error, i)) AS i FROM grid GROUP BY airline),
+  halved(airline, xs, ys, low, high, step) AS (
+    SELECT airline, xs, ys, greatest(i - 1, 0) * {_LOG_STEP}, least(i + 1, 199) * {_LOG_STEP}, 0
+    FROM bars JOIN nearest USING (airline)
+    UNION ALL
+    SELECT airline, xs, ys, CASE WHEN up > 0 THEN (low + high) / 2 ELSE low END,
+      CASE WHEN up > 0 THEN high ELSE (low + high) / 2 END, step + 1
+    FROM (SELECT *, {_HALF["slope"].replace("AMPLITUDE", "a")} * a AS up FROM (
+      SELECT *, {_HALF["a"]} AS a FROM (SELECT *, {_MID} AS middle FROM halved WHERE step < 60)))),
+  fits AS (SELECT airline, {_HALF["a"]} AS a, middle AS b FROM (SELECT *, {_MID} AS middle FROM halved WHERE step = 60))
+  SELECT airline, {half_up("a", 6)} AS a, {half_up("b", 4)} AS b,
+    CAST(rank() OVER (ORDER BY fits.a) AS INT) AS large_delay_rank FROM fits)"""
 SQL["eda_dep_vs_arr"] = """SELECT carrier AS airline, avg(delay) AS mean_departure_delay,
   avg(arr_delay) AS mean_arrival_delay FROM analysed GROUP BY 1"""
 SQL["eda_airport_count"] = "SELECT count(DISTINCT origin) AS airports FROM analysed"

@@ -297,5 +297,60 @@ SQL["ml_model3"] = f"""SELECT * FROM (WITH {_grid_scope(_route_times("train"), _
 {_mse(_ridge_predict(_route_times("test"), _BOTH, "refit", _CHOSEN), "polynomial_order", "alpha")})"""
 
 
+# Polynomials by three-term recurrence ----------------------------------------------------------------------
+# Each fit uses the polynomials that are orthogonal over its own training points (Forsythe's recurrence); a subquery a step.
+
+
+def significant(x: str, digits: int = 5) -> str:
+    """Rounded to significant digits."""
+    power = f"CAST(floor(log10(CASE WHEN {x} > 0 THEN {x} ELSE 1.0 END)) AS INT) - {digits - 1}"
+    up, down = f"power(10.0::DOUBLE, {power})", f"power(10.0::DOUBLE, -({power}))"
+    return f"(CASE WHEN {power} >= 0 THEN floor({x} / {up} + 0.5) * {up} ELSE floor({x} * {down} + 0.5) / {down} END)"
+
+
+def _recurrence(points: str, group: str, order: int) -> str:
+    """``points`` (group columns, x, y, train) with f_1 .. f_order: the fits of each order on the group's training points."""
+
+    def total(x: str) -> str:
+        return f"sum(CASE WHEN train THEN {x} ELSE 0.0 END) OVER (PARTITION BY {group})"
+
+    sql = f"SELECT *, 1.0::DOUBLE AS p_0, {total('1.0::DOUBLE')} AS q_0 FROM ({points})"
+    sql = f"SELECT *, {total('y')} / q_0 AS f_0, {total('x')} / q_0 AS a_0 FROM ({sql})"
+    for k in range(1, order + 1):
+        before = f" - q_{k - 1} / q_{k - 2} * p_{k - 2}" if k > 1 else ""
+        # As many points as unknowns at most: beyond, the polynomial vanishes on all of them.
+        sql = f"SELECT *, CASE WHEN q_0 > {k} THEN (x - a_{k - 1}) * p_{k - 1}{before} ELSE 0.0 END AS p_{k} FROM ({sql})"
+        sql = f"SELECT *, CASE WHEN q_0 > {k} THEN {total(f'p_{k} * p_{k}')} ELSE 1.0 END AS q_{k} FROM ({sql})"
+        rest = f"(y - f_{k - 1})"
+        sql = f"""SELECT *, f_{k - 1} + {total(f'{rest} * p_{k}')} / q_{k} * p_{k} AS f_{k},
+  {total(f'x * p_{k} * p_{k}')} / q_{k} AS a_{k} FROM ({sql})"""
+    return sql
+
+
+_X = "departure_seconds / 43200.0::DOUBLE - 1.0"
+_FOLDED = f"""SELECT *, ntile(10) OVER (PARTITION BY airline, origin ORDER BY departure_seconds) AS fold,
+  count(*) OVER (PARTITION BY airline, origin) AS points FROM ({_TRIMMED})"""
+_HELD = f"""SELECT airline, origin, points, {_X} AS x, mean AS y, held, fold <> held AS train
+  FROM ({_FOLDED}), range(1, 11) AS folds(held) WHERE points >= 10"""
+_CV = _recurrence(_HELD, "airline, origin, held", 7)
+SQL["ml_poly_cv"] = " UNION ALL ".join(
+    f"""SELECT airline, origin, {k} AS polynomial_order, points, {significant("avg(error)")} AS mse FROM (
+  SELECT airline, origin, points, held, avg(power(f_{k} - y, 2)) AS error FROM fitted WHERE NOT train
+  GROUP BY airline, origin, points, held) GROUP BY airline, origin, points"""
+    for k in range(1, 8)
+)
+SQL["ml_poly_cv"] = f"SELECT * FROM (WITH fitted AS MATERIALIZED ({_CV}) {SQL['ml_poly_cv']})"
+_SEEDED = "concat_ws('|', CAST(split AS VARCHAR), airline, origin, CAST(departure_seconds AS VARCHAR))"
+_SPLITS = f"""SELECT airline, origin, split, {_X} AS x, mean AS y,
+  CAST('0x' || substr(md5({_SEEDED}), 1, 8) AS BIGINT) % 10 < 7 AS train
+  FROM ({_TRIMMED}), (SELECT CAST(range AS INT) AS split FROM range(1, 41))"""
+_MSE_BY_ORDER = ", ".join(f"avg(power(f_{k} - y, 2)) FILTER (NOT train) AS m_{k}" for k in (1, 2, 3))
+SQL["ml_split_bias"] = f"""SELECT airline, origin, split, CASE WHEN m_1 <= m_2 AND m_1 <= m_3 THEN 1 WHEN m_2 <= m_3 THEN 2
+  ELSE 3 END AS best_order, {significant("least(m_1, m_2, m_3)")} AS best_mse,
+  {", ".join(f"{significant(f'm_{k}')} AS mse_{k}" for k in (1, 2, 3))}
+FROM (SELECT airline, origin, split, {_MSE_BY_ORDER} FROM ({_recurrence(_SPLITS, "airline, origin, split", 3)})
+  GROUP BY airline, origin, split HAVING bool_or(train) AND bool_or(NOT train))"""
+
+
 def oracle(name: str) -> str | None:
     return with_flights(SQL[name]) if name in SQL else None

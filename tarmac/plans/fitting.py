@@ -1,9 +1,11 @@
-"""Polynomial least squares from sums, for all airline and airport pairs at once.
-
-The time of day is scaled to [-1, 1] and expanded in Chebyshev polynomials. A product of two of them is
-the mean of two others, so the sums of T_0 .. T_2n and of y * T_0 .. T_n hold everything an order-n fit,
-its error and its cross-validation need. Spark computes these sums in one grouped aggregation; per
-group a system of at most eight unknowns remains, solved in batches of groups.
+"""Polynomial least squares from triangular factors, for all airline and airport pairs at once.
+
+The time of day is scaled to [-1, 1] and expanded in Chebyshev polynomials. The rows (T_0, ..., T_n, y) of a group of
+points are reduced to the triangular factor of their QR decomposition: at most nine rows that have the same
+length as the points for every combination of the columns. Factors merge: the factor of several factors on top of each
+other is that of all their points. So a fold's training factor is merged from the other folds', the leading
+block of a factor gives the fit of every lower order, and the squared error of a fit on a group is the squared length of its
+factor times (coefficients, -1). Nothing is subtracted from anything larger, as with differences of power sums.
 """
 
 from __future__ import annotations
@@ -18,44 +20,46 @@ from pyspark.sql import functions as F
 SECONDS_PER_DAY = 86400.0
 
 
-def scaled_time(seconds: Column) -> Column:
-    return seconds / (SECONDS_PER_DAY / 2) - 1.0
+def factor(rows: np.ndarray) -> np.ndarray:
+    """The triangular factor of some rows, or of factors on top of each other; fewer rows stay as they are."""
+    return rows if len(rows) <= 1 else np.linalg.qr(rows, mode="r")
+
 
+def design(seconds: np.ndarray, y: np.ndarray, order: int) -> np.ndarray:
+    """One row (T_0, ..., T_order, y) for each point."""
+    x = np.asarray(seconds, float) / (SECONDS_PER_DAY / 2) - 1.0
+    return np.column_stack([np.polynomial.chebyshev.chebvander(x, order), np.asarray(y, float)])
 
-def chebyshev(x: Column, k: int) -> Column:
-    return F.cos(F.lit(float(k)) * F.acos(x))
 
+def points(by_time: DataFrame, keys: Sequence[str], **marks: Column) -> DataFrame:
+    """(keys, points): the points of every group in time order, with further columns ``marks``.
 
-def moments(order: int, seconds: str = "departure_seconds", target: str = "mean") -> list[Column]:
-    """Aggregates ``m``: sums of T_0..T_2n, ``v``: sums of y*T_0..y*T_n, ``yy``: sum of y*y."""
-    x, y = scaled_time(F.col(seconds)), F.col(target)
-    return [
-        F.array(*[F.sum(chebyshev(x, k)) for k in range(2 * order + 1)]).alias("m"),
-        F.array(*[F.sum(y * chebyshev(x, k)) for k in range(order + 1)]).alias("v"),
-        F.sum(y * y).alias("yy"),
-    ]
+    A group has one point a minute, 1440 at most.
+    """
+    marked = by_time.select(*keys, "departure_seconds", "mean", *[c.alias(name) for name, c in marks.items()])
+    point = F.struct("departure_seconds", "mean", *marks)
+    return marked.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("points"))
 
 
-def gram(m: np.ndarray, order: int) -> np.ndarray:
-    i = np.arange(order + 1)
-    return (m[i[:, None] + i[None, :]] + m[np.abs(i[:, None] - i[None, :])]) / 2.0
+def rows_of(found: Sequence[dict], order: int) -> np.ndarray:
+    """The design of a group's points."""
+    return design([p["departure_seconds"] for p in found], [p["mean"] for p in found], order)
 
 
-def solve(m: np.ndarray, v: np.ndarray, order: int) -> np.ndarray:
-    """Coefficients of the polynomial of the given order.
+def solve(n: int, r: np.ndarray, order: int) -> np.ndarray:
+    """Coefficients of the polynomial of an order up to that of the factor ``r`` of ``n`` points.
 
-    ``m[0]`` is the number of points. With too few points for the order, the highest order they
-    determine is fitted and the remaining coefficients are 0.
+    With too few points for the order, the highest order they determine is fitted and the remaining
+    coefficients are 0.
     """
-    k = min(order, round(float(m[0])) - 1)
-    c = np.linalg.lstsq(gram(m, k), v[: k + 1], rcond=1e-15)[0]
+    k = min(order, n - 1)
+    c = np.linalg.lstsq(r[: k + 1, : k + 1], r[: k + 1, -1], rcond=1e-14)[0]
     return np.pad(c, (0, order - k))
 
 
-def squared_error(c: np.ndarray, m: np.ndarray, v: np.ndarray, yy: float) -> float:
-    """Sum of squared errors of coefficients ``c`` on the rows summed in ``m``, ``v``, ``yy``."""
-    order = len(c) - 1
-    return max(float(yy - 2.0 * c @ v[: order + 1] + c @ gram(m, order) @ c), 0.0)
+def squared_error(c: np.ndarray, r: np.ndarray) -> float:
+    """Sum of squared errors of coefficients ``c`` on the points of a factor."""
+    return float(((r[:, : len(c)] * c).sum(axis=1) - r[:, -1]) ** 2 @ np.ones(len(r)))
 
 
 def power_coefficients(c: np.ndarray) -> np.ndarray:

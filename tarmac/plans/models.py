@@ -122,40 +122,25 @@ def poly_fit(by_time: DataFrame, order: int = 2, method: str = "all", seed: int
     ``method`` 'all' trains and tests on all points; 'split' trains on 70 % and tests on the rest.
     """
     train = F.lit(True) if method == "all" else _bucket([*PAIR, "departure_seconds"], F.lit(seed)) < 7
-    test = F.lit(True) if method == "all" else ~train
-    parts = by_time.select(
-        *PAIR,
-        "departure_seconds",
-        "mean",
-        F.explode(F.array_compact(F.array(F.when(train, "train"), F.when(test, "test")))).alias("part"),
-    )
-    sums = parts.groupBy(*PAIR, "part").agg(F.count("mean").alias("n"), *fitting.moments(order))
-    pair_sums = sums.groupBy(*PAIR).agg(
-        *[
-            F.max(F.when(F.col("part") == part, F.struct("n", "m", "v", "yy"))).alias(part)
-            for part in ("train", "test")
-        ]
-    )
 
     def fit(row: dict) -> list[dict]:
-        train, test = row["train"], row["test"]
-        if train is None:
+        design = fitting.rows_of(row["points"], order)
+        chosen = np.array([p["train"] for p in row["points"]])
+        if not chosen.any():
             return []
-        c = fitting.solve(np.array(train["m"]), np.array(train["v"]), order)
-        error = None
-        if test is not None:
-            error = fitting.squared_error(c, np.array(test["m"]), np.array(test["v"]), test["yy"]) / test["n"]
+        tested = design if method == "all" else design[~chosen]
+        c = fitting.solve(int(chosen.sum()), fitting.factor(design[chosen]), order)
         return [
             {
-                "train_points": train["n"],
-                "test_points": 0 if test is None else test["n"],
+                "train_points": int(chosen.sum()),
+                "test_points": len(tested),
                 "coefficients": fitting.power_coefficients(c).tolist(),
-                "mse": error,
+                "mse": fitting.squared_error(c, fitting.factor(tested)) / len(tested) if len(tested) else None,
             }
         ]
 
     schema = "train_points bigint, test_points bigint, coefficients array<double>, mse double"
-    return fitting.per_group(pair_sums, PAIR, schema, fit)
+    return fitting.per_group(fitting.points(by_time, PAIR, train=train), PAIR, schema, fit)
 
 
 def predict_poly(by_time: DataFrame, fits: DataFrame) -> DataFrame:
@@ -175,31 +160,27 @@ def with_fold(by_time: DataFrame, folds: int) -> DataFrame:
 def poly_cv(by_time: DataFrame, max_order: int = 7, folds: int = 10) -> DataFrame:
     """Mean test error of contiguous k-fold cross-validation for orders 1..max_order, per pair.
 
-    The training sums of a fold are the total minus the sums of the fold, so all fits of a pair come
-    from one aggregation. Pairs with fewer points than folds are left out.
+    Every fold is reduced to its triangular factor once; the training factor of a fold is merged from those of the
+    other folds. Pairs with fewer points than folds are left out.
     """
-    sums = (
-        with_fold(by_time, folds)
-        .groupBy(*PAIR, "fold")
-        .agg(F.count("mean").alias("n"), *fitting.moments(max_order))
-    )
-    pairs = (
-        sums.groupBy(*PAIR)
-        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("n", "m", "v", "yy")).alias("folds"))
-        .filter(F.col("n") >= folds)
-    )
+    pairs = fitting.points(with_fold(by_time, folds), PAIR, fold=F.col("fold"))
 
     def validate(row: dict) -> list[dict]:
-        parts = [(p["n"], np.array(p["m"]), np.array(p["v"]), p["yy"]) for p in row["folds"]]
-        m, v = sum(p[1] for p in parts), sum(p[2] for p in parts)
-        results = []
-        for order in range(1, max_order + 1):
-            errors = []
-            for n, fold_m, fold_v, fold_yy in parts:
-                c = fitting.solve(m - fold_m, v - fold_v, order)
-                errors.append(fitting.squared_error(c, fold_m, fold_v, fold_yy) / n)
-            results.append({"polynomial_order": order, "points": row["n"], "mse": float(np.mean(errors))})
-        return results
+        design = fitting.rows_of(row["points"], max_order)
+        fold = np.array([p["fold"] for p in row["points"]])
+        if len(fold) < folds:
+            return []
+        parts = [fitting.factor(design[fold == f]) for f in range(1, folds + 1)]
+        errors = np.zeros((max_order, folds))
+        for held, (r, n) in enumerate(zip(parts, np.bincount(fold)[1:])):
+            others = fitting.factor(np.concatenate([x for i, x in enumerate(parts) if i != held]))
+            for order in range(1, max_order + 1):
+                c = fitting.solve(len(fold) - n, others, order)
+                errors[order - 1, held] = fitting.squared_error(c, r) / n
+        return [
+            {"polynomial_order": order, "points": len(fold), "mse": float(errors[order - 1].mean())}
+            for order in range(1, max_order + 1)
+        ]
 
     return fitting.per_group(pairs, PAIR, "polynomial_order int, points bigint, mse double", validate)
 
@@ -207,39 +188,33 @@ def poly_cv(by_time: DataFrame, max_order: int = 7, folds: int = 10) -> DataFram
 def split_bias(by_time: DataFrame, splits: int = 40, max_order: int = 3) -> DataFrame:
     """For each random split the best order and its error, per airline and airport.
 
-    Every point takes part in all splits, as training or test point, so it is repeated once per split
-    before the sums; the flights themselves are already reduced to one row per minute.
+    Every point takes part in all splits, as training or test point, and carries its part in each of them.
     """
-    repeated = by_time.select(
-        *PAIR, "departure_seconds", "mean", F.explode(F.sequence(F.lit(1), F.lit(splits))).alias("split")
-    )
-    train = _bucket([*PAIR, "departure_seconds"], F.col("split")) < 7
-    sums = (
-        repeated.withColumn("part", F.when(train, "train").otherwise("test"))
-        .groupBy(*PAIR, "split", "part")
-        .agg(F.count("mean").alias("n"), *fitting.moments(max_order))
-        .groupBy(*PAIR, "split")
-        .agg(
-            *[
-                F.max(F.when(F.col("part") == part, F.struct("n", "m", "v", "yy"))).alias(part)
-                for part in ("train", "test")
-            ]
-        )
-        .filter(F.col("train").isNotNull() & F.col("test").isNotNull())
+    train = F.transform(
+        F.sequence(F.lit(1), F.lit(splits)), lambda split: _bucket([*PAIR, "departure_seconds"], split) < 7
     )
 
     def choose(row: dict) -> list[dict]:
-        train, test = row["train"], row["test"]
-        m, v, test_m, test_v = (np.array(x) for x in (train["m"], train["v"], test["m"], test["v"]))
-        errors = [
-            fitting.squared_error(fitting.solve(m, v, k), test_m, test_v, test["yy"]) / test["n"]
-            for k in range(1, max_order + 1)
-        ]
-        best = int(np.argmin(errors))
-        return [{"best_order": best + 1, "best_mse": float(errors[best]), "mse_by_order": errors}]
-
-    schema = "best_order int, best_mse double, mse_by_order array<double>"
-    return fitting.per_group(sums, [*PAIR, "split"], schema, choose)
+        design = fitting.rows_of(row["points"], max_order)
+        chosen = np.array([list(p["train"]) for p in row["points"]])
+        found = []
+        for split in range(splits):
+            part = chosen[:, split]
+            if part.all() or not part.any():
+                continue
+            r, tested = fitting.factor(design[part]), fitting.factor(design[~part])
+            errors = [
+                fitting.squared_error(fitting.solve(int(part.sum()), r, k), tested) / int((~part).sum())
+                for k in range(1, max_order + 1)
+            ]
+            best = int(np.argmin(errors))
+            found.append(
+                {"split": split + 1, "best_order": best + 1, "best_mse": errors[best], "mse_by_order": errors}
+            )
+        return found
+
+    schema = "split int, best_order int, best_mse double, mse_by_order array<double>"
+    return fitting.per_group(fitting.points(by_time, PAIR, train=train), PAIR, schema, choose)
 
 
 def eval_holdout(flights: DataFrame, cutoff: str = "2015-01-23", order: int = 2) -> DataFrame:

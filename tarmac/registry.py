@@ -585,7 +585,7 @@ _EDA = {
     "eda_airline_share": lambda bed: eda.airline_share(_analysed(bed)),
     "eda_delay_level": lambda bed: eda.delay_levels(_analysed(bed)),
     "eda_delay_histogram": lambda bed: eda.delay_histogram(_analysed(bed)),
-    "eda_delay_exp_fit": lambda bed: eda.delay_exp_fit(_analysed(bed)),
+    "eda_delay_exp_fit": lambda bed: _rounded(_rounded(eda.delay_exp_fit(_analysed(bed)), 6, "a"), 4, "b"),
     "eda_dep_vs_arr": lambda bed: eda.departure_vs_arrival(_analysed(bed)),
     "eda_airport_count": lambda bed: eda.airport_count(_analysed(bed)),
     "eda_airports_per_airline": lambda bed: eda.airports_per_airline(_analysed(bed)),
@@ -691,6 +691,23 @@ def _model3(bed) -> DataFrame:
     return _errors(scored, model)
 
 
+def _significant(df: DataFrame, *columns: str, digits: int = 5) -> DataFrame:
+    """Errors between very small and very large, rounded to significant digits."""
+
+    def rounded(x: Column) -> Column:
+        power = F.floor(F.log10(F.when(x > 0, x).otherwise(1.0))).cast("int") - (digits - 1)
+        up, down = F.pow(F.lit(10.0), power), F.pow(F.lit(10.0), -power)
+        return F.when(power >= 0, F.floor(x / up + 0.5) * up).otherwise(F.floor(x * down + 0.5) / down)
+
+    return df.withColumns({c: rounded(F.col(c)) for c in columns})
+
+
+def _split_bias(bed) -> DataFrame:
+    found = models.split_bias(_by_time(bed))
+    by_order = {f"mse_{k + 1}": F.col("mse_by_order")[k] for k in range(3)}
+    return _significant(found.withColumns(by_order).drop("mse_by_order"), "best_mse", *by_order)
+
+
 def _poly_fit(bed) -> DataFrame:
     fits = models.poly_fit(_by_time(bed), 2, "all")
     c = F.col("coefficients")
@@ -711,8 +728,8 @@ _MODELS = {
         6, "all_slope", "all_intercept", "trimmed_slope", "trimmed_intercept",
     ),
     "ml_poly_fit": _poly_fit,
-    "ml_poly_cv": lambda bed: models.poly_cv(_by_time(bed)),
-    "ml_split_bias": lambda bed: models.split_bias(_by_time(bed)),
+    "ml_poly_cv": lambda bed: _significant(models.poly_cv(_by_time(bed)), "mse"),
+    "ml_split_bias": _split_bias,
     "ml_eval_holdout": lambda bed: _rounded(
         models.eval_holdout(_analysed(bed), CUTOFF), 4, "mse", "rmse_minutes"
     ),

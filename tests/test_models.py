@@ -86,6 +86,32 @@ def test_cross_validation_equals_numpy(by_time):
         assert scores[order] == pytest.approx(numpy_fold_errors(x, y, order, 10), rel=1e-4)
 
 
+@pytest.mark.parametrize("level", [0.0, 1000.0, 1e6])
+def test_errors_far_below_the_level_keep_their_digits(spark, level):
+    """A line around ``level`` with noise of 1e-6: power sums would lose all digits of the error."""
+    draw = np.random.default_rng(4)
+    x = np.sort(draw.choice(1440, 200, replace=False)) * 60
+    y = level + 3e-4 * x + draw.normal(scale=1e-6 * max(1.0, level / 1000), size=len(x))
+    rows = [("AA", "P0", int(a), float(b)) for a, b in zip(x, y)]
+    points = spark.createDataFrame(rows, "airline string, origin string, departure_seconds int, mean double")
+    for row in models.poly_cv(points.repartition(3)).collect():
+        want = numpy_fold_errors(x.astype(float), y - level, row.polynomial_order, 10)
+        assert row.mse == pytest.approx(want, rel=1e-6), row.polynomial_order
+    fitted = models.poly_fit(points, 7).first()
+    fit = np.polynomial.Chebyshev.fit(x, y - level, 7, domain=[0, 86400])
+    assert fitted.mse == pytest.approx(float(np.mean((fit(x) - (y - level)) ** 2)), rel=1e-6)
+
+
+def test_factors_merge():
+    draw = np.random.default_rng(6)
+    rows = fitting.design(draw.integers(0, 86400, 300), draw.normal(size=300), 7)
+    whole = fitting.factor(rows)
+    parts = fitting.factor(np.concatenate([fitting.factor(p) for p in np.split(rows, [3, 4, 150])]))
+    assert np.allclose(np.abs(whole), np.abs(parts))
+    c = fitting.solve(300, whole, 5)
+    assert fitting.squared_error(c, parts) == pytest.approx(float(((rows[:, :6] @ c - rows[:, -1]) ** 2).sum()))
+
+
 def test_fold_sizes(by_time):
     folds = models.with_fold(by_time, 10).groupBy("airline", "origin", "fold").count()
     spread = folds.groupBy("airline", "origin").agg(
