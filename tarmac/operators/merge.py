@@ -46,14 +46,31 @@ def key_filter(keys: DataFrame, key: str, bitmaps: int) -> DataFrame:
     )
 
 
-def may_contain(rows: DataFrame, key: str, keys: DataFrame, bitmaps: int) -> DataFrame:
-    """The rows whose key has its bit set in ``keys`` (see ``key_filter``)."""
+def bitmaps_for(count: int, bits_per_key: int = 8) -> int:
+    """How many bitmaps of 4 KB a filter of ``count`` keys takes."""
+    return max(1, math.ceil(count * bits_per_key / BITMAP))
+
+
+def marked(rows: DataFrame, key: str, keys: DataFrame, bitmaps: int, name: str) -> DataFrame:
+    """The rows with a column ``name``: whether their key has its bit set in ``keys`` (see ``key_filter``).
+
+    True for every key of the filter, and with 8 bits a key for one in nine others. The filter is broadcast: the
+    caller bounds ``bitmaps``.
+    """
     place = _place(F.col(key), bitmaps)
-    dealt = rows.withColumn("_bucket", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
-    met = dealt.join(keys, F.col("_bucket") == F.col("bucket"))
-    byte = F.conv(F.hex(F.substr("bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    is_set = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
-    return met.filter(is_set).select(*rows.columns)
+    columns = [f"{name}_{part}" for part in ("bucket", "bit", "bits")]
+    bucket, bit, bits = columns
+    held = keys.select(F.col("bucket").alias(bucket), F.col("bits").alias(bits))
+    dealt = rows.withColumns({bucket: F.bitmap_bucket_number(place), bit: F.bitmap_bit_position(place)})
+    met = dealt.join(F.broadcast(held), bucket, "left")
+    byte = F.conv(F.hex(F.substr(bits, (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    is_set = F.getbit(byte, (F.col(bit) % 8).cast("int")) == 1
+    return met.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias(name))
+
+
+def may_contain(rows: DataFrame, key: str, keys: DataFrame, bitmaps: int) -> DataFrame:
+    """The rows whose key may be in a filter (see ``marked``)."""
+    return marked(rows, key, keys, bitmaps, "_marked").filter("_marked").drop("_marked")
 
 
 def not_loaded(
@@ -69,9 +86,9 @@ def not_loaded(
     keys = cut_lineage(spark, batch.select(key, "year", "month"), "keys")
     months = touched_months(keys)
     held = loaded.filter(in_months(months)).select(key)
-    bitmaps = max(1, math.ceil(keys.count() * bits_per_key / BITMAP))
+    bitmaps = bitmaps_for(keys.count(), bits_per_key)
     if bitmaps <= most_bitmaps:
         bits = cut_lineage(spark, key_filter(keys, key, bitmaps), "bits")
-        held = may_contain(held, key, F.broadcast(bits), bitmaps)
+        held = may_contain(held, key, bits, bitmaps)
     again = cut_lineage(spark, held.join(keys.select(key), key, "left_semi"), "again")
     return batch if again.isEmpty() else batch.join(again, key, "left_anti")
