@@ -26,7 +26,7 @@ HEADLINE = [
     "dim_summary", "ex_avg_delay_by_airline", "ex_weather_by_season", "eda_airline_stats", "eda_delay_histogram",
     "eda_delay_exp_fit", "eda_airport_carrier_pivot", "eda_route_delay", "eda_time_of_day", "eda_quadratic_fit",
     "ml_mean_delay_by_time", "ml_linear_fit", "ml_poly_fit", "ml_poly_cv", "ml_dep_arr_features",
-    "ml_ols_all_airports",
+    "ml_ols_all_airports", "ml_model3", "ml_split_bias", "ingest_batches",
 ]
 
 

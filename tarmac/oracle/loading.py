@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tarmac.oracle import star as s
-from tarmac.oracle.mapping import CIRCUITS_SQL
+from tarmac.oracle.mapping import CIRCUITS_SQL, CONSTRUCTORS_SQL
 from tarmac.oracle.views import pct
 from tarmac.oracle.star import with_star
 from tarmac.sources.files import FLIGHT_IDENTITY
@@ -29,6 +29,7 @@ SQL["src_null_tokens"] = (
     + " FROM flights"
 )
 SQL["src_backslash_n"] = CIRCUITS_SQL
+SQL["src_constructors"] = CONSTRUCTORS_SQL
 SQL["sample_first_n"] = f"SELECT * FROM flights ORDER BY {_IDENTITY_ORDER} LIMIT 1000"
 SQL["sink_append"] = "SELECT * FROM flights"
 SQL["sink_fact"] = "SELECT * FROM fact"

@@ -137,3 +137,9 @@ SELECT CAST(c_custkey AS INT) AS circuitId, lower(c_mktsegment) AS circuitRef,
   CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey % 900 AS INT) END AS alt,
   concat('http://example.org/', c_name) AS url
 FROM customer"""
+
+CONSTRUCTORS_SQL = r"""
+SELECT CAST(c_custkey AS INT) AS constructorId, lower(c_mktsegment) AS constructorRef,
+  concat(c_name, ' "Works", ', n_name) AS name, CASE WHEN c_nationkey = 5 THEN NULL ELSE n_name END AS nationality,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE concat('http://example.org/team/', c_name) END AS url
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""

@@ -88,18 +88,27 @@ def _src_null_tokens(bed):
     )
 
 
-@_loading("src_backslash_n")
-def _src_backslash_n(bed):
-    circuits = bed.sql(mapping.CIRCUITS_SQL)
-    path = fresh_path(bed.spark, "circuits-csv")
+def _backslash_n(bed, rows: DataFrame, schema) -> DataFrame:
+    r"""The rows written as quoted CSV with ``\N`` for missing values, and read back."""
+    path = fresh_path(bed.spark, "backslash-n-csv")
     (
-        circuits.write.option("header", True)
+        rows.write.option("header", True)
         .option("nullValue", "\\N")
         .option("quoteAll", True)
         .option("escape", '"')
         .csv(path)
     )
-    return files.read_backslash_n(bed.spark, path, schemas.CIRCUITS)
+    return files.read_backslash_n(bed.spark, path, schema)
+
+
+@_loading("src_backslash_n")
+def _src_backslash_n(bed):
+    return _backslash_n(bed, bed.sql(mapping.CIRCUITS_SQL), schemas.CIRCUITS)
+
+
+@_loading("src_constructors")
+def _src_constructors(bed):
+    return _backslash_n(bed, bed.sql(mapping.CONSTRUCTORS_SQL), schemas.CONSTRUCTORS)
 
 
 @_loading("sample_first_n")
