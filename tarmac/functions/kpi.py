@@ -86,14 +86,18 @@ def half_up(x: Column, digits: int) -> Column:
     return F.when(x < 0, -size).otherwise(size) + 0.0
 
 
+def deviation(n: Column, total: Column, squares: Column) -> Column:
+    """Population standard deviation from a count, a sum and a sum of squares."""
+    n = F.nullif(n.cast("double"), F.lit(0.0))
+    mean = total / n
+    variance = squares / n - mean * mean
+    return F.sqrt(F.when(variance < 0, F.lit(0.0)).otherwise(variance))
+
+
 def stddev_population(value: Column) -> Column:
     """Population standard deviation of a minute column, as an aggregate over exact sums."""
     x = value.cast("double")
-    n = F.count(value).cast("double")
-    mean = F.sum(x) / F.nullif(n, F.lit(0.0))
-    mean_square = F.sum(x * x) / F.nullif(n, F.lit(0.0))
-    variance = mean_square - mean * mean
-    return F.sqrt(F.when(variance < 0, F.lit(0.0)).otherwise(variance))
+    return deviation(F.count(value), F.sum(x), F.sum(x * x))
 
 
 def in_peak(hour: Column) -> Column:

@@ -24,12 +24,12 @@ def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
     return sorted(map(tuple, batch.select("year", "month").distinct().collect()))
 
 
-def in_months(months: list[tuple[int, int]]) -> Column:
+def in_months(months: list[tuple[int, int]], year: str = "year", month: str = "month") -> Column:
     """A filter on the partition columns, so that other months are not read."""
     years: dict[int, list[int]] = {}
-    for year, month in months:
-        years.setdefault(year, []).append(month)
-    parts = [(F.col("year") == y) & F.col("month").isin(*m) for y, m in years.items()]
+    for y, m in months:
+        years.setdefault(y, []).append(m)
+    parts = [(F.col(year) == y) & F.col(month).isin(*m) for y, m in years.items()]
     return reduce(Column.__or__, parts, F.lit(False))
 
 

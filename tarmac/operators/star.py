@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ class Star:
     time: DataFrame
     cause: DataFrame
     fact: DataFrame | None = None
+    #: Monthly states under the views (``operators.partials``), if the warehouse keeps them.
+    partials: Any = None
+    #: Trailing averages and the last flights of every month (``operators.trailing``), if the warehouse keeps them.
+    trailing: Any = None
 
     def dims(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in ("airline", "airport", "date", "time", "cause")}

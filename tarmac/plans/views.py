@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import kpi, rules
 from tarmac.functions.kpi import arr, cancelled, dep, is_flown, is_late, is_ontime, weather
-from tarmac.operators.history import needs_split, trailing_average
+from tarmac.functions.measures import Figures, Measures
+from tarmac.operators.partials import MONTH
 from tarmac.operators.star import Star
+from tarmac.operators.trailing import PEERS, with_averages
+
+
+def flights_of(star: Star) -> DataFrame:
+    """Fact rows, the columns of their partition named apart from those of the calendar."""
+    return star.fact.withColumnsRenamed(dict(zip(("year", "month"), MONTH)))
 
 
 def dated(star: Star, *columns: str) -> DataFrame:
     """Fact rows with attributes of their date."""
-    return star.fact.drop("year", "month").join(star.date.select("date_key", *columns), "date_key")
+    return flights_of(star).join(star.date.select("date_key", *columns), "date_key")
 
 
 def timed(df: DataFrame, star: Star, how: str, *columns: str) -> DataFrame:
@@ -38,38 +45,36 @@ def with_airport(df: DataFrame, star: Star, role: str, **renamed: str) -> DataFr
     return df.join(star.airport.select(F.col("airport_key").alias(key), *picked), key)
 
 
-def rate(part: Column, digits: int = 2) -> Column:
-    """Share of all flights of the group, in percent."""
-    return kpi.percent(F.count_if(part), kpi.flights(), digits)
-
-
-def flown_rate(part: Column, digits: int = 2) -> Column:
-    """Share of the completed flights of the group, in percent."""
-    return kpi.percent(kpi.flown_count(part), F.count_if(is_flown()), digits)
+def summed(star: Star, view: str, rows: DataFrame, keys: list[str], figures: Figures) -> DataFrame:
+    """Figures by ``keys`` over the rows that a view looks at, with the help of stored monthly states if the star
+    has them: then only the months without valid states are read."""
+    if star.partials is not None:
+        return star.partials.grouped(view, rows, keys, figures)
+    return rows.groupBy(*keys).agg(*figures(Measures()))
 
 
 def v_carrier_performance(star: Star) -> DataFrame:
-    grouped = (
-        dated(star, "year", "quarter", "month")
-        .groupBy("airline_key", "year", "quarter", "month")
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.count_if(is_flown()).alias("completed_flights"),
-            F.count_if(cancelled()).alias("cancelled_flights"),
-            F.count_if("is_diverted").alias("diverted_flights"),
-            kpi.avg_flown(dep()).alias("avg_departure_delay"),
-            kpi.avg_flown(arr()).alias("avg_arrival_delay"),
-            kpi.flown_count(is_ontime()).alias("ontime_departures"),
-            flown_rate(is_ontime()).alias("ontime_departure_rate"),
-            kpi.flown_count(dep().between(16, 60)).alias("moderate_delays"),
-            kpi.flown_count(dep() > 60).alias("significant_delays"),
-            rate(cancelled()).alias("cancellation_rate"),
-            kpi.avg_flown(F.col("actual_elapsed_minutes")).alias("avg_actual_flight_time"),
-            F.avg("scheduled_elapsed_minutes").alias("avg_scheduled_flight_time"),
-            kpi.avg_flown(F.col("taxi_out_minutes")).alias("avg_taxi_out_time"),
-            kpi.avg_flown(F.col("taxi_in_minutes")).alias("avg_taxi_in_time"),
-        )
-    )
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_flights"),
+            m.completed().alias("completed_flights"),
+            m.count_if(cancelled()).alias("cancelled_flights"),
+            m.count_if(F.col("is_diverted")).alias("diverted_flights"),
+            m.avg_flown(dep()).alias("avg_departure_delay"),
+            m.avg_flown(arr()).alias("avg_arrival_delay"),
+            m.flown_count(is_ontime()).alias("ontime_departures"),
+            m.flown_rate(is_ontime()).alias("ontime_departure_rate"),
+            m.flown_count(dep().between(16, 60)).alias("moderate_delays"),
+            m.flown_count(dep() > 60).alias("significant_delays"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            m.avg_flown(F.col("actual_elapsed_minutes")).alias("avg_actual_flight_time"),
+            m.avg(F.col("scheduled_elapsed_minutes")).alias("avg_scheduled_flight_time"),
+            m.avg_flown(F.col("taxi_out_minutes")).alias("avg_taxi_out_time"),
+            m.avg_flown(F.col("taxi_in_minutes")).alias("avg_taxi_in_time"),
+        ]
+
+    rows = dated(star, "year", "quarter", "month")
+    grouped = summed(star, "v_carrier_performance", rows, ["airline_key", "year", "quarter", "month"], figures)
     named = with_airline(grouped, star, "airline_code", "airline_name", "airline_type")
     return named.drop("airline_key")
 
@@ -78,28 +83,30 @@ def v_airport_congestion(star: Star, min_flights: int = 10) -> DataFrame:
     hour = F.col("hour")
     morning, evening = hour.between(6, 9), hour.between(17, 20)
     taxi_out = kpi.flown(F.col("taxi_out_minutes"))
-    grouped = (
-        timed(dated(star, "year", "quarter", "month"), star, "left", "hour")
-        .groupBy("origin_airport_key", "year", "quarter", "month")
-        .agg(
-            kpi.flights().alias("total_departures"),
-            F.count_if(is_flown()).alias("completed_departures"),
-            kpi.avg_flown(dep()).alias("avg_departure_delay"),
-            kpi.flown_count(is_late()).alias("delayed_departures"),
-            flown_rate(is_late()).alias("departure_delay_rate"),
-            F.avg(taxi_out).alias("avg_taxi_out_time"),
-            F.max(taxi_out).alias("max_taxi_out_time"),
-            kpi.flown_count(dep() > 60).alias("severe_delays"),
-            kpi.flown_count(dep() > 180).alias("extreme_delays"),
-            F.count_if(cancelled()).alias("cancelled_departures"),
-            rate(cancelled()).alias("cancellation_rate"),
-            F.count_if(morning).alias("morning_rush_flights"),
-            F.count_if(evening).alias("evening_rush_flights"),
-            F.avg(F.when(morning & is_flown(), dep())).alias("morning_rush_avg_delay"),
-            F.avg(F.when(evening & is_flown(), dep())).alias("evening_rush_avg_delay"),
-        )
-        .filter(F.col("total_departures") >= min_flights)
-    )
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_departures"),
+            m.completed().alias("completed_departures"),
+            m.avg_flown(dep()).alias("avg_departure_delay"),
+            m.flown_count(is_late()).alias("delayed_departures"),
+            m.flown_rate(is_late()).alias("departure_delay_rate"),
+            m.avg(taxi_out).alias("avg_taxi_out_time"),
+            m.max(taxi_out).alias("max_taxi_out_time"),
+            m.flown_count(dep() > 60).alias("severe_delays"),
+            m.flown_count(dep() > 180).alias("extreme_delays"),
+            m.count_if(cancelled()).alias("cancelled_departures"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            m.count_if(morning).alias("morning_rush_flights"),
+            m.count_if(evening).alias("evening_rush_flights"),
+            m.avg(F.when(morning & is_flown(), dep())).alias("morning_rush_avg_delay"),
+            m.avg(F.when(evening & is_flown(), dep())).alias("evening_rush_avg_delay"),
+        ]
+
+    rows = timed(dated(star, "year", "quarter", "month"), star, "left", "hour")
+    keys = ["origin_airport_key", "year", "quarter", "month"]
+    grouped = summed(star, "v_airport_congestion", rows, keys, figures)
+    grouped = grouped.filter(F.col("total_departures") >= min_flights)
     return with_airport(
         grouped, star, "origin",
         airport_code="airport_code", airport_name="airport_name", city="city", state="state",
@@ -116,29 +123,30 @@ def _known_airline(df: DataFrame, star: Star) -> DataFrame:
 
 
 def v_route_optimization(star: Star, min_flights: int = 50) -> DataFrame:
-    mean_dep = F.sum(kpi.flown(dep())).cast("double") / F.nullif(F.count_if(is_flown()), F.lit(0))
-    air_time = F.nullif(F.avg(kpi.flown(F.col("air_time_minutes"))), F.lit(0.0))
-    grouped = (
-        _known_airline(dated(star, "year", "quarter", "season"), star)
-        .groupBy(*_ROUTE_KEYS, "year", "quarter")
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.countDistinct("airline_key").alias("airlines_serving_route"),
-            F.count_if(is_flown()).alias("completed_flights"),
-            kpi.avg_flown(dep()).alias("avg_departure_delay"),
-            kpi.avg_flown(arr()).alias("avg_arrival_delay"),
-            kpi.avg_flown(F.col("actual_elapsed_minutes")).alias("avg_flight_time"),
-            F.avg("scheduled_elapsed_minutes").alias("scheduled_flight_time"),
-            flown_rate(is_ontime()).alias("ontime_performance_rate"),
-            kpi.flown_count(dep() > 60).alias("significant_delays"),
-            rate(cancelled()).alias("cancellation_rate"),
-            kpi.half_up(F.avg("distance_miles") / air_time * 60, 0).alias("avg_speed_mph"),
-            F.avg(F.when((F.col("season") == "Winter") & is_flown(), dep())).alias("winter_avg_delay"),
-            F.avg(F.when((F.col("season") == "Summer") & is_flown(), dep())).alias("summer_avg_delay"),
-            kpi.half_up(mean_dep * kpi.flights() / 1000, 2).alias("delay_impact_score"),
-        )
-        .filter(F.col("total_flights") >= min_flights)
-    )
+    def figures(m: Measures) -> list[Column]:
+        mean_dep = m.sum(kpi.flown(dep())).cast("double") / F.nullif(m.completed(), F.lit(0))
+        air_time = F.nullif(m.avg(kpi.flown(F.col("air_time_minutes"))), F.lit(0.0))
+        return [
+            m.flights().alias("total_flights"),
+            m.distinct(F.col("airline_key")).alias("airlines_serving_route"),
+            m.completed().alias("completed_flights"),
+            m.avg_flown(dep()).alias("avg_departure_delay"),
+            m.avg_flown(arr()).alias("avg_arrival_delay"),
+            m.avg_flown(F.col("actual_elapsed_minutes")).alias("avg_flight_time"),
+            m.avg(F.col("scheduled_elapsed_minutes")).alias("scheduled_flight_time"),
+            m.flown_rate(is_ontime()).alias("ontime_performance_rate"),
+            m.flown_count(dep() > 60).alias("significant_delays"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            kpi.half_up(m.avg(F.col("distance_miles")) / air_time * 60, 0).alias("avg_speed_mph"),
+            m.avg(F.when((F.col("season") == "Winter") & is_flown(), dep())).alias("winter_avg_delay"),
+            m.avg(F.when((F.col("season") == "Summer") & is_flown(), dep())).alias("summer_avg_delay"),
+            kpi.half_up(mean_dep * m.flights() / 1000, 2).alias("delay_impact_score"),
+        ]
+
+    rows = _known_airline(dated(star, "year", "quarter", "season"), star)
+    keys = [*_ROUTE_KEYS, "year", "quarter"]
+    grouped = summed(star, "v_route_optimization", rows, keys, figures)
+    grouped = grouped.filter(F.col("total_flights") >= min_flights)
     named = with_airport(
         grouped, star, "origin", _o="airport_code", origin_city="city", origin_state="state"
     )
@@ -154,80 +162,83 @@ def v_route_optimization(star: Star, min_flights: int = 50) -> DataFrame:
 def v_temporal_patterns(star: Star) -> DataFrame:
     day = ["year", "quarter", "month", "day_name", "day_of_week", "season", "is_weekend", "is_holiday"]
     hour = ["hour", "hour_category", "time_period", "is_business_hours"]
-    return (
-        timed(dated(star, *day), star, "left", *hour)
-        .groupBy(*day, *hour)
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.count_if(is_flown()).alias("completed_flights"),
-            kpi.avg_flown(dep()).alias("avg_departure_delay"),
-            kpi.stddev_population(kpi.flown(dep())).alias("delay_variability"),
-            kpi.flown_count(is_late()).alias("delayed_flights"),
-            flown_rate(is_late()).alias("delay_rate"),
-            kpi.flown_count(dep() > 60).alias("severe_delays"),
-            kpi.flown_count(dep() > 180).alias("extreme_delays"),
-            F.count_if(cancelled()).alias("cancelled_flights"),
-            rate(cancelled()).alias("cancellation_rate"),
-            F.count_if(weather() > 0).alias("weather_affected_flights"),
-            F.avg(F.when(weather() > 0, weather())).alias("avg_weather_delay"),
-        )
-        .withColumn("traffic_period", rules.traffic_period(F.col("hour")))
-    )
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_flights"),
+            m.completed().alias("completed_flights"),
+            m.avg_flown(dep()).alias("avg_departure_delay"),
+            m.stddev_population(kpi.flown(dep())).alias("delay_variability"),
+            m.flown_count(is_late()).alias("delayed_flights"),
+            m.flown_rate(is_late()).alias("delay_rate"),
+            m.flown_count(dep() > 60).alias("severe_delays"),
+            m.flown_count(dep() > 180).alias("extreme_delays"),
+            m.count_if(cancelled()).alias("cancelled_flights"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            m.count_if(weather() > 0).alias("weather_affected_flights"),
+            m.avg(F.when(weather() > 0, weather())).alias("avg_weather_delay"),
+        ]
+
+    rows = timed(dated(star, *day), star, "left", *hour)
+    keys = [*day, *hour]
+    grouped = summed(star, "v_temporal_patterns", rows, keys, figures)
+    return grouped.withColumn("traffic_period", rules.traffic_period(F.col("hour")))
 
 
 def v_weather_impact(star: Star, min_flights: int = 100) -> DataFrame:
     affected = weather() > 0
 
-    def seasonal(name: str) -> Column:
-        return F.avg(F.when(F.col("season") == name, weather()).otherwise(0))
-
-    grouped = (
-        dated(star, "year", "quarter", "month", "season")
-        .groupBy("year", "quarter", "month", "season", "origin_airport_key")
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.count_if(affected).alias("weather_affected_flights"),
-            rate(affected).alias("weather_impact_rate"),
-            F.sum(weather()).alias("total_weather_delay_minutes"),
-            F.avg(F.when(affected, weather())).alias("avg_weather_delay_when_affected"),
-            F.max(weather()).alias("max_weather_delay"),
-            F.sum(weather()).alias("weather_delays"),
-            F.sum("air_system_delay_minutes").alias("air_system_delays"),
-            F.sum("airline_delay_minutes").alias("airline_delays"),
-            F.sum("late_aircraft_delay_minutes").alias("late_aircraft_delays"),
-            F.sum("security_delay_minutes").alias("security_delays"),
-            F.count_if(weather().between(1, 30)).alias("minor_weather_delays"),
-            F.count_if(weather().between(31, 120)).alias("moderate_weather_delays"),
-            F.count_if(weather() > 120).alias("severe_weather_delays"),
-            F.count_if(cancelled() & (F.col("cancellation_reason") == "B")).alias("weather_cancellations"),
+    def figures(m: Measures) -> list[Column]:
+        def seasonal(name: str) -> Column:
+            return m.avg(F.when(F.col("season") == name, weather()).otherwise(0))
+
+        return [
+            m.flights().alias("total_flights"),
+            m.count_if(affected).alias("weather_affected_flights"),
+            m.rate(affected).alias("weather_impact_rate"),
+            m.sum(weather()).alias("total_weather_delay_minutes"),
+            m.avg(F.when(affected, weather())).alias("avg_weather_delay_when_affected"),
+            m.max(weather()).alias("max_weather_delay"),
+            m.sum(weather()).alias("weather_delays"),
+            m.sum(F.col("air_system_delay_minutes")).alias("air_system_delays"),
+            m.sum(F.col("airline_delay_minutes")).alias("airline_delays"),
+            m.sum(F.col("late_aircraft_delay_minutes")).alias("late_aircraft_delays"),
+            m.sum(F.col("security_delay_minutes")).alias("security_delays"),
+            m.count_if(weather().between(1, 30)).alias("minor_weather_delays"),
+            m.count_if(weather().between(31, 120)).alias("moderate_weather_delays"),
+            m.count_if(weather() > 120).alias("severe_weather_delays"),
+            m.count_if(cancelled() & (F.col("cancellation_reason") == "B")).alias("weather_cancellations"),
             seasonal("Winter").alias("winter_avg_weather_delay"),
             seasonal("Spring").alias("spring_avg_weather_delay"),
             seasonal("Summer").alias("summer_avg_weather_delay"),
             seasonal("Fall").alias("fall_avg_weather_delay"),
-            F.avg(F.when(affected, arr() - dep())).alias("avg_recovery_time"),
-        )
-        .filter(F.col("total_flights") >= min_flights)
-    )
+            m.avg(F.when(affected, arr() - dep())).alias("avg_recovery_time"),
+        ]
+
+    rows = dated(star, "year", "quarter", "month", "season")
+    keys = ["year", "quarter", "month", "season", "origin_airport_key"]
+    grouped = summed(star, "v_weather_impact", rows, keys, figures)
+    grouped = grouped.filter(F.col("total_flights") >= min_flights)
     return with_airport(
         grouped, star, "origin", origin_airport="airport_code", origin_city="city", origin_state="state"
     ).drop("origin_airport_key")
 
 
 def v_root_cause_analysis(star: Star) -> DataFrame:
-    grouped = (
-        dated(star, "year", "quarter")
-        .filter(dep() > 0)
-        .groupBy("delay_cause_key", "airline_key", "year", "quarter")
-        .agg(
-            kpi.flights().alias("total_affected_flights"),
-            F.sum(dep()).alias("total_delay_minutes"),
-            F.avg(dep()).alias("avg_delay_minutes"),
-            F.count_if(dep().between(1, 15)).alias("minor_delays"),
-            F.count_if(dep().between(16, 60)).alias("moderate_delays"),
-            F.count_if(dep().between(61, 180)).alias("significant_delays"),
-            F.count_if(dep() > 180).alias("severe_delays"),
-        )
-    )
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_affected_flights"),
+            m.sum(dep()).alias("total_delay_minutes"),
+            m.avg(dep()).alias("avg_delay_minutes"),
+            m.count_if(dep().between(1, 15)).alias("minor_delays"),
+            m.count_if(dep().between(16, 60)).alias("moderate_delays"),
+            m.count_if(dep().between(61, 180)).alias("significant_delays"),
+            m.count_if(dep() > 180).alias("severe_delays"),
+        ]
+
+    rows = dated(star, "year", "quarter").filter(dep() > 0)
+    keys = ["delay_cause_key", "airline_key", "year", "quarter"]
+    grouped = summed(star, "v_root_cause_analysis", rows, keys, figures)
     named = with_airline(grouped, star, "airline_code", "airline_name", "airline_type").join(
         star.cause.drop("cause_description"), "delay_cause_key"
     )
@@ -248,26 +259,27 @@ def v_root_cause_analysis(star: Star) -> DataFrame:
 
 
 def v_severity_classification(star: Star) -> DataFrame:
-    grouped = (
-        dated(star, "year", "quarter", "month")
-        .groupBy("delay_severity_category", "airline_key", "origin_airport_key", "year", "quarter", "month")
-        .agg(
-            kpi.flights().alias("flight_count"),
-            F.avg(dep()).alias("avg_departure_delay"),
-            F.avg(arr()).alias("avg_arrival_delay"),
-            F.min(dep()).alias("min_delay"),
-            F.max(dep()).alias("max_delay"),
-            kpi.stddev_population(dep()).alias("delay_std_dev"),
-            kpi.avg_flown(F.col("actual_elapsed_minutes") - F.col("scheduled_elapsed_minutes")).alias(
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("flight_count"),
+            m.avg(dep()).alias("avg_departure_delay"),
+            m.avg(arr()).alias("avg_arrival_delay"),
+            m.min(dep()).alias("min_delay"),
+            m.max(dep()).alias("max_delay"),
+            m.stddev_population(dep()).alias("delay_std_dev"),
+            m.avg_flown(F.col("actual_elapsed_minutes") - F.col("scheduled_elapsed_minutes")).alias(
                 "avg_schedule_variance"
             ),
-            F.count_if("is_diverted").alias("diversions"),
-            (kpi.flights() * 150).alias("estimated_affected_passengers"),
-            (F.sum(dep()) * 150).alias("total_passenger_delay_minutes"),
-            F.avg(arr() - dep()).alias("avg_airborne_recovery"),
-            F.count_if(arr() < dep()).alias("flights_with_recovery"),
-        )
-    )
+            m.count_if(F.col("is_diverted")).alias("diversions"),
+            (m.flights() * 150).alias("estimated_affected_passengers"),
+            (m.sum(dep()) * 150).alias("total_passenger_delay_minutes"),
+            m.avg(arr() - dep()).alias("avg_airborne_recovery"),
+            m.count_if(arr() < dep()).alias("flights_with_recovery"),
+        ]
+
+    rows = dated(star, "year", "quarter", "month")
+    keys = ["delay_severity_category", "airline_key", "origin_airport_key", "year", "quarter", "month"]
+    grouped = summed(star, "v_severity_classification", rows, keys, figures)
     named = with_airline(grouped, star, "airline_code", "airline_name")
     named = with_airport(named, star, "origin", origin_airport="airport_code", origin_city="city")
     airline_quarter = Window.partitionBy("airline_key", "year", "quarter")
@@ -289,36 +301,38 @@ def v_severity_classification(star: Star) -> DataFrame:
 def v_disruption_analysis(star: Star, min_flights: int = 20) -> DataFrame:
     diverted = F.col("is_diverted")
     reason, late = F.col("cancellation_reason"), F.col("late_aircraft_delay_minutes")
-    weighted = (
-        F.count_if(cancelled()) * 2.0 + F.count_if(diverted) * 1.5 + F.count_if(dep() > 180) * 1.0
-    )
     day = ["year", "quarter", "season", "day_name"]
-    grouped = (
-        dated(star, *day)
-        .groupBy("airline_key", "origin_airport_key", "destination_airport_key", *day)
-        .agg(
-            kpi.flights().alias("total_scheduled_flights"),
-            F.count_if(is_flown() & ~diverted).alias("completed_as_planned"),
-            F.count_if(cancelled()).alias("cancellations"),
-            F.count_if(diverted).alias("diversions"),
-            F.count_if(cancelled() | diverted).alias("total_disruptions"),
-            rate(cancelled()).alias("cancellation_rate"),
-            rate(diverted).alias("diversion_rate"),
-            rate(cancelled() | diverted).alias("disruption_rate"),
-            F.count_if(reason == "A").alias("carrier_cancellations"),
-            F.count_if(reason == "B").alias("weather_cancellations"),
-            F.count_if(reason == "C").alias("nas_cancellations"),
-            F.count_if(reason == "D").alias("security_cancellations"),
-            F.avg(F.when(dep() > 0, dep())).alias("avg_delay_when_delayed"),
-            F.count_if(dep() > 180).alias("extreme_delays"),
-            F.count_if(weather() > 60).alias("severe_weather_delays"),
-            F.avg(late).alias("avg_late_aircraft_delay"),
-            F.count_if(late > 0).alias("flights_with_late_aircraft"),
-            kpi.half_up(weighted * kpi.flights() / 10000.0, 2).alias("disruption_impact_score"),
-            F.avg(F.when(is_flown() & (dep() > 60), arr() - dep())).alias("avg_delay_recovery"),
+
+    def figures(m: Measures) -> list[Column]:
+        weighted = (
+            m.count_if(cancelled()) * 2.0 + m.count_if(diverted) * 1.5 + m.count_if(dep() > 180) * 1.0
         )
-        .filter(F.col("total_scheduled_flights") >= min_flights)
-    )
+        return [
+            m.flights().alias("total_scheduled_flights"),
+            m.count_if(is_flown() & ~diverted).alias("completed_as_planned"),
+            m.count_if(cancelled()).alias("cancellations"),
+            m.count_if(diverted).alias("diversions"),
+            m.count_if(cancelled() | diverted).alias("total_disruptions"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            m.rate(diverted).alias("diversion_rate"),
+            m.rate(cancelled() | diverted).alias("disruption_rate"),
+            m.count_if(reason == "A").alias("carrier_cancellations"),
+            m.count_if(reason == "B").alias("weather_cancellations"),
+            m.count_if(reason == "C").alias("nas_cancellations"),
+            m.count_if(reason == "D").alias("security_cancellations"),
+            m.avg(F.when(dep() > 0, dep())).alias("avg_delay_when_delayed"),
+            m.count_if(dep() > 180).alias("extreme_delays"),
+            m.count_if(weather() > 60).alias("severe_weather_delays"),
+            m.avg(late).alias("avg_late_aircraft_delay"),
+            m.count_if(late > 0).alias("flights_with_late_aircraft"),
+            kpi.half_up(weighted * m.flights() / 10000.0, 2).alias("disruption_impact_score"),
+            m.avg(F.when(is_flown() & (dep() > 60), arr() - dep())).alias("avg_delay_recovery"),
+        ]
+
+    rows = dated(star, *day)
+    keys = ["airline_key", "origin_airport_key", "destination_airport_key", *day]
+    grouped = summed(star, "v_disruption_analysis", rows, keys, figures)
+    grouped = grouped.filter(F.col("total_scheduled_flights") >= min_flights)
     named = with_airline(grouped, star, "airline_code", "airline_name")
     named = with_airport(named, star, "origin", origin_airport="airport_code", origin_city="city")
     named = with_airport(
@@ -327,25 +341,26 @@ def v_disruption_analysis(star: Star, min_flights: int = 20) -> DataFrame:
     return named.drop("airline_key", "origin_airport_key", "destination_airport_key")
 
 
-def _ontime_share() -> Column:
+def _ontime_share(m: Measures) -> Column:
     """Unrounded on-time percentage of completed flights; null when none was completed."""
-    return kpi.flown_count(is_ontime()) * 100.0 / F.nullif(F.count_if(is_flown()).cast("double"), F.lit(0.0))
+    return m.flown_count(is_ontime()) * 100.0 / F.nullif(m.completed().cast("double"), F.lit(0.0))
 
 
 def v_airline_monthly_summary(star: Star) -> DataFrame:
-    grouped = (
-        dated(star, "year", "month", "month_name")
-        .groupBy("airline_key", "year", "month", "month_name")
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.count_if(is_flown()).alias("completed_flights"),
-            kpi.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
-            flown_rate(is_ontime(), 1).alias("ontime_performance_pct"),
-            rate(cancelled()).alias("cancellation_rate"),
-            _ontime_share().cast("double").alias("_share"),
-            kpi.avg_flown(dep()).alias("_delay"),
-        )
-    )
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_flights"),
+            m.completed().alias("completed_flights"),
+            m.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
+            m.flown_rate(is_ontime(), 1).alias("ontime_performance_pct"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            _ontime_share(m).cast("double").alias("_share"),
+            m.avg_flown(dep()).alias("_delay"),
+        ]
+
+    rows = dated(star, "year", "month", "month_name")
+    keys = ["airline_key", "year", "month", "month_name"]
+    grouped = summed(star, "v_airline_monthly_summary", rows, keys, figures)
     named = with_airline(grouped, star, "airline_code", "airline_name", "airline_type")
     month = Window.partitionBy("year", "month")
     return named.withColumns(
@@ -358,24 +373,26 @@ def v_airline_monthly_summary(star: Star) -> DataFrame:
 
 def v_airport_daily_metrics(star: Star, min_flights: int = 5) -> DataFrame:
     hour = F.col("hour")
-    grouped = (
-        timed(star.fact, star, "left", "hour")
-        .groupBy("origin_airport_key", "date_key")
-        .agg(
-            kpi.flights().alias("daily_departures"),
-            F.count_if(is_flown()).alias("completed_departures"),
-            F.count_if(cancelled()).alias("cancelled_departures"),
-            kpi.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
-            F.max(kpi.flown(dep())).alias("max_departure_delay"),
-            kpi.flown_count(dep() > 60).alias("severe_delays"),
-            F.count_if(weather() > 0).alias("weather_affected_flights"),
-            F.sum(weather()).alias("total_weather_delay_minutes"),
-            kpi.rounded_avg(kpi.flown(F.col("taxi_out_minutes")), 1).alias("avg_taxi_out_minutes"),
-            F.count_if(hour.between(6, 9)).alias("morning_peak_flights"),
-            F.count_if(hour.between(17, 20)).alias("evening_peak_flights"),
-        )
-        .filter(F.col("daily_departures") >= min_flights)
-    )
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("daily_departures"),
+            m.completed().alias("completed_departures"),
+            m.count_if(cancelled()).alias("cancelled_departures"),
+            m.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
+            m.max(kpi.flown(dep())).alias("max_departure_delay"),
+            m.flown_count(dep() > 60).alias("severe_delays"),
+            m.count_if(weather() > 0).alias("weather_affected_flights"),
+            m.sum(weather()).alias("total_weather_delay_minutes"),
+            m.rounded_avg(kpi.flown(F.col("taxi_out_minutes")), 1).alias("avg_taxi_out_minutes"),
+            m.count_if(hour.between(6, 9)).alias("morning_peak_flights"),
+            m.count_if(hour.between(17, 20)).alias("evening_peak_flights"),
+        ]
+
+    rows = timed(flights_of(star), star, "left", "hour")
+    keys = ["origin_airport_key", "date_key"]
+    grouped = summed(star, "v_airport_daily_metrics", rows, keys, figures)
+    grouped = grouped.filter(F.col("daily_departures") >= min_flights)
     days = star.date.select("date_key", "date", "day_name", "is_weekend", "is_holiday")
     return with_airport(
         grouped.join(days, "date_key"), star, "origin",
@@ -385,37 +402,40 @@ def v_airport_daily_metrics(star: Star, min_flights: int = 5) -> DataFrame:
 
 def v_hourly_delay_patterns(star: Star, min_flights: int = 100) -> DataFrame:
     group = ["hour", "hour_category", "day_of_week", "day_name", "is_weekend"]
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("flights_per_hour"),
+            m.completed().alias("completed_flights_per_hour"),
+            m.rounded_avg(kpi.flown(dep()), 1).alias("avg_hourly_delay"),
+            kpi.half_up(m.stddev_population(kpi.flown(dep())), 1).alias("delay_std_dev"),
+            m.flown_rate(is_late(), 1).alias("hourly_delay_rate"),
+        ]
+
+    rows = timed(dated(star, *group[2:]), star, "inner", *group[:2])
     return (
-        timed(dated(star, *group[2:]), star, "inner", *group[:2])
-        .groupBy(*group)
-        .agg(
-            kpi.flights().alias("flights_per_hour"),
-            F.count_if(is_flown()).alias("completed_flights_per_hour"),
-            kpi.rounded_avg(kpi.flown(dep()), 1).alias("avg_hourly_delay"),
-            kpi.half_up(kpi.stddev_population(kpi.flown(dep())), 1).alias("delay_std_dev"),
-            flown_rate(is_late(), 1).alias("hourly_delay_rate"),
-        )
+        summed(star, "v_hourly_delay_patterns", rows, group, figures)
         .filter(F.col("flights_per_hour") >= min_flights)
         .withColumn("is_peak_hour", kpi.in_peak(F.col("hour")).cast("int"))
     )
 
 
 def v_top_delayed_routes(star: Star, min_flights: int = 100, top: int = 50) -> DataFrame:
-    mean_dep = F.sum(kpi.flown(dep())).cast("double") / F.nullif(F.count_if(is_flown()), F.lit(0))
-    grouped = (
-        _known_airline(star.fact, star)
-        .groupBy(*_ROUTE_KEYS)
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.countDistinct("airline_key").alias("airlines_serving"),
-            kpi.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
-            kpi.flown_count(is_late()).alias("delayed_flights"),
-            flown_rate(is_late(), 1).alias("delay_rate_pct"),
-            kpi.half_up(mean_dep * kpi.flights() / 100, 1).alias("delay_impact_score"),
-            rate(cancelled()).alias("cancellation_rate"),
-        )
-        .filter(F.col("total_flights") >= min_flights)
-    )
+    def figures(m: Measures) -> list[Column]:
+        mean_dep = m.sum(kpi.flown(dep())).cast("double") / F.nullif(m.completed(), F.lit(0))
+        return [
+            m.flights().alias("total_flights"),
+            m.distinct(F.col("airline_key")).alias("airlines_serving"),
+            m.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
+            m.flown_count(is_late()).alias("delayed_flights"),
+            m.flown_rate(is_late(), 1).alias("delay_rate_pct"),
+            kpi.half_up(mean_dep * m.flights() / 100, 1).alias("delay_impact_score"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+        ]
+
+    rows = _known_airline(flights_of(star), star)
+    grouped = summed(star, "v_top_delayed_routes", rows, _ROUTE_KEYS, figures)
+    grouped = grouped.filter(F.col("total_flights") >= min_flights)
     named = with_airport(grouped, star, "origin", _oc="airport_code", _ot="city", _os="state")
     named = with_airport(named, star, "destination", _dc="airport_code", _dt="city", _ds="state")
     comma = F.lit(", ")
@@ -433,20 +453,20 @@ def v_top_delayed_routes(star: Star, min_flights: int = 100, top: int = 50) -> D
 
 
 def v_airline_rankings(star: Star, min_flights: int = 1000) -> DataFrame:
-    grouped = (
-        star.fact.groupBy("airline_key")
-        .agg(
-            kpi.flights().alias("total_flights"),
-            F.count_if(is_flown()).alias("completed_flights"),
-            kpi.rounded_avg(kpi.flown(dep()), 2).alias("avg_departure_delay"),
-            flown_rate(is_ontime()).alias("ontime_performance_pct"),
-            rate(cancelled()).alias("cancellation_rate"),
-            _ontime_share().alias("_share"),
-            kpi.avg_flown(dep()).alias("_delay"),
-            (F.count_if(cancelled()) * 100.0 / kpi.flights().cast("double")).cast("double").alias("_cancel"),
-        )
-        .filter(F.col("total_flights") >= min_flights)
-    )
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("total_flights"),
+            m.completed().alias("completed_flights"),
+            m.rounded_avg(kpi.flown(dep()), 2).alias("avg_departure_delay"),
+            m.flown_rate(is_ontime()).alias("ontime_performance_pct"),
+            m.rate(cancelled()).alias("cancellation_rate"),
+            _ontime_share(m).alias("_share"),
+            m.avg_flown(dep()).alias("_delay"),
+            (m.count_if(cancelled()) * 100.0 / m.flights().cast("double")).cast("double").alias("_cancel"),
+        ]
+
+    grouped = summed(star, "v_airline_rankings", flights_of(star), ["airline_key"], figures)
+    grouped = grouped.filter(F.col("total_flights") >= min_flights)
     share = F.col("_share")
     # The three rankings run over one row per airline.
     return (
@@ -470,18 +490,20 @@ def v_airline_rankings(star: Star, min_flights: int = 1000) -> DataFrame:
 def v_peak_congestion_times(star: Star, min_flights: int = 50) -> DataFrame:
     taxi_out = kpi.flown(F.col("taxi_out_minutes"))
     day = ["day_of_week", "day_name"]
-    grouped = (
-        timed(dated(star, *day), star, "inner", "hour", "hour_category")
-        .groupBy("origin_airport_key", "hour", "hour_category", *day)
-        .agg(
-            kpi.flights().alias("flights_per_hour"),
-            kpi.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
-            kpi.rounded_avg(taxi_out, 1).alias("avg_taxi_out_minutes"),
-            F.max(taxi_out).alias("max_taxi_out_minutes"),
-            kpi.avg_flown(dep()).alias("_delay"),
-        )
-        .filter(F.col("flights_per_hour") >= min_flights)
-    )
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("flights_per_hour"),
+            m.rounded_avg(kpi.flown(dep()), 1).alias("avg_departure_delay"),
+            m.rounded_avg(taxi_out, 1).alias("avg_taxi_out_minutes"),
+            m.max(taxi_out).alias("max_taxi_out_minutes"),
+            m.avg_flown(dep()).alias("_delay"),
+        ]
+
+    rows = timed(dated(star, *day), star, "inner", "hour", "hour_category")
+    keys = ["origin_airport_key", "hour", "hour_category", *day]
+    grouped = summed(star, "v_peak_congestion_times", rows, keys, figures)
+    grouped = grouped.filter(F.col("flights_per_hour") >= min_flights)
     # At most 24 x 7 cells per airport meet in this window.
     n, usual = F.col("flights_per_hour"), F.col("avg_hourly_flights")
     return (
@@ -512,19 +534,20 @@ def v_executive_dashboard(star: Star) -> DataFrame:
 
     Both parts come from one aggregation per airline and quarter, which the totals then fold.
     """
-    per_airline = (
-        dated(star, "year", "quarter")
-        .groupBy("year", "quarter", "airline_key")
-        .agg(
-            kpi.flights().alias("n"),
-            F.count_if(is_flown()).alias("c"),
-            F.count_if(cancelled()).alias("x"),
-            F.sum(kpi.flown(dep())).alias("dep"),
-            kpi.flown_count(is_ontime()).alias("ontime"),
-            F.count_if(weather() > 0).alias("weather"),
-            F.count_if((dep() > 180) | cancelled()).alias("severe"),
-        )
-    )
+
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("n"),
+            m.completed().alias("c"),
+            m.count_if(cancelled()).alias("x"),
+            m.sum(kpi.flown(dep())).alias("dep"),
+            m.flown_count(is_ontime()).alias("ontime"),
+            m.count_if(weather() > 0).alias("weather"),
+            m.count_if((dep() > 180) | cancelled()).alias("severe"),
+        ]
+
+    rows = dated(star, "year", "quarter")
+    per_airline = summed(star, "v_executive_dashboard", rows, ["year", "quarter", "airline_key"], figures)
     named = per_airline.join(star.airline.select("airline_key", "airline_name"), "airline_key", "left")
     mean_delay = F.col("dep") / F.nullif(F.col("c"), F.lit(0))
     worst = F.max_by(
@@ -556,25 +579,24 @@ def v_executive_dashboard(star: Star) -> DataFrame:
     )
 
 
-def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_000) -> DataFrame:
-    """One row per flight with the mean delay of the previous ``rows`` flights of three peer groups."""
-    flights = star.fact.select(
-        "flight_key", "date_key", "airline_key", "origin_airport_key", "destination_airport_key",
+def trailed_flights(star: Star) -> DataFrame:
+    """What the trailing averages need of the flights of known carriers."""
+    flights = flights_of(star).select(
+        *MONTH, "flight_key", "date_key", "airline_key", "origin_airport_key", "destination_airport_key",
         "departure_time_key", "distance_miles", "scheduled_elapsed_minutes", "departure_delay_minutes",
         "is_cancelled", (weather() > 0).cast("int").alias("has_weather_delay"),
     )
+    return _known_airline(flights, star).join(star.date.select("date_key", "day_of_week"), "date_key")
+
+
+def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_000) -> DataFrame:
+    """One row per flight with the mean delay of the previous ``rows`` flights of three peer groups."""
     # The windows move whole rows, so text is attached after them.
-    flights = _known_airline(flights, star).join(star.date.select("date_key", "day_of_week"), "date_key")
-    peers = {
-        "historical_avg_delay_airline_airport": ["airline_key", "origin_airport_key"],
-        "historical_avg_delay_route": ["origin_airport_key", "destination_airport_key"],
-        "historical_avg_delay_time": ["departure_time_key", "day_of_week"],
-    }
-    featured = flights
-    for (name, keys), split in zip(peers.items(), needs_split(flights, list(peers.values()), split_rows)):
-        featured = trailing_average(
-            featured, flights, keys, "date_key", "flight_key", "departure_delay_minutes", name, rows, split_rows, split
-        )
+    flights = trailed_flights(star)
+    if star.trailing is not None and star.trailing.rows == rows:
+        featured = star.trailing.featured(flights, split_rows)
+    else:
+        featured = with_averages(flights.drop(*MONTH), rows, split_rows)
     days = star.date.select("date_key", "month", "season", "is_weekend", "is_holiday")
     hours = star.time.select(
         F.col("time_key").alias("departure_time_key"), "hour", "hour_category", "is_business_hours"
@@ -591,7 +613,7 @@ def v_flight_delay_features(star: Star, rows: int = 30, split_rows: int = 2_000_
         "is_weekend", "is_holiday", "is_business_hours",
         F.coalesce(kpi.in_peak(F.col("hour")), F.lit(False)).cast("int").alias("is_peak_hour"),
         "distance_miles", "scheduled_elapsed_minutes",
-        *peers,
+        *PEERS,
         "has_weather_delay",
         dep().alias("target_departure_delay"),
         (dep() > 15).cast("int").alias("target_is_delayed"),
@@ -607,15 +629,18 @@ def next_holiday(dates: DataFrame) -> DataFrame:
 
 
 def v_historical_delay_trends(star: Star) -> DataFrame:
-    grouped = star.fact.groupBy("date_key").agg(
-        kpi.flights().alias("daily_flights"),
-        kpi.avg_flown(dep()).alias("daily_avg_delay"),
-        kpi.stddev_population(kpi.flown(dep())).alias("daily_delay_std"),
-        flown_rate(is_ontime()).alias("daily_ontime_rate"),
-        rate(cancelled()).alias("daily_cancellation_rate"),
-        F.count_if(weather() > 0).alias("daily_weather_affected_flights"),
-        F.sum(weather()).alias("daily_total_weather_delay"),
-    )
+    def figures(m: Measures) -> list[Column]:
+        return [
+            m.flights().alias("daily_flights"),
+            m.avg_flown(dep()).alias("daily_avg_delay"),
+            m.stddev_population(kpi.flown(dep())).alias("daily_delay_std"),
+            m.flown_rate(is_ontime()).alias("daily_ontime_rate"),
+            m.rate(cancelled()).alias("daily_cancellation_rate"),
+            m.count_if(weather() > 0).alias("daily_weather_affected_flights"),
+            m.sum(weather()).alias("daily_total_weather_delay"),
+        ]
+
+    grouped = summed(star, "v_historical_delay_trends", flights_of(star), ["date_key"], figures)
     calendar = star.date.select(
         "date_key", "date", "year", "month", "day_of_year", "day_of_week", "season"
     ).join(next_holiday(star.date), "date_key")

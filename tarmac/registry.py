@@ -549,6 +549,18 @@ for _name, _view in views.VIEWS.items():
         view_oracles.view_oracle(_name, **_options),
     )
 
+# The same views from what a warehouse keeps of its months, merged with flights of months that arrived since.
+for _name in (
+    "v_route_optimization", "v_temporal_patterns", "v_severity_classification", "v_disruption_analysis",
+    "v_airline_rankings", "v_executive_dashboard", "v_flight_delay_features",
+):
+    _options = VIEW_OPTIONS.get(_name, {})
+    _add(
+        f"kept_{_name[2:]}",
+        lambda bed, view=views.VIEWS[_name], options=_options: view(bed.kept_star, **options),
+        view_oracles.view_oracle(_name, **_options),
+    )
+
 _EXAMPLES = {
     "ex_avg_delay_by_airline": lambda bed: examples.avg_delay_by_airline(bed.star),
     "ex_delay_by_origin": lambda bed: examples.delay_by_origin(bed.star),

@@ -11,7 +11,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.operators import integrity, quality, star
+from tarmac.operators import integrity, quality, star, trailing
+from tarmac.operators import partials as monthly
 from tarmac.plans import views
 from tarmac.sources import files, tables, versions
 from tarmac.streaming import ingest
@@ -70,6 +71,7 @@ def load_warehouse(
     end: str | None = None,
     holidays: Sequence[str] | None = None,
     keep: int = 2,
+    partials: bool = False,
 ) -> LoadReport:
     """Check the sources, load dimensions and facts, register the views, check the result.
 
@@ -80,7 +82,9 @@ def load_warehouse(
     incrementally; the other kind is refused before anything is written. ``sample_rows`` limits a full load
     to the first rows of the flight source. Dimension members are only ever added, so their keys stay valid. The
     calendar covers the years of all loaded flights, and the days from ``start`` to ``end`` if given. The last
-    ``keep`` versions of the facts stay on disk.
+    ``keep`` versions of the facts stay on disk. With ``partials``, and from then on, the warehouse keeps the monthly
+    states of its views, the trailing averages of its flights and the last flights of each month: a load computes those
+    of the months it touched, and the views read no other flights.
     """
     _require_sources(spark, sources)
     _require_layout(spark, warehouse, incremental)
@@ -109,6 +113,12 @@ def load_warehouse(
         version = versions.current(spark, warehouse)
         rejected = spark.read.parquet(version.quarantine)
     versions.remove_old(spark, warehouse, keep)
+    if partials or monthly.kept(spark, warehouse):
+        monthly.refresh(spark, loaded, warehouse, views.VIEWS.values())
+        trailing.refresh(spark, loaded, views.trailed_flights(loaded), warehouse)
+        for name in ("partials", "trailing"):
+            monthly.remove_old(spark, warehouse, name)
+        loaded = trailing.attach(spark, monthly.attach(spark, loaded, warehouse), warehouse)
     views.register_views(loaded)
     return LoadReport(
         loaded, quality.fact_summary(loaded.fact), integrity.integrity_report(loaded), rejected, batches,
