@@ -140,3 +140,26 @@ def test_held_out_gain(spark):
     found = queries.op8_suffix_tree_lm(spark, "/root/testdata/sf0.01").filter("held_out")
     row = found.agg(F.sum("score"), F.sum("base_score"), F.avg((F.col("score") > F.col("base_score")).cast("int"))).first()
     assert row[0] > row[1] and row[2] > 0.95
+
+
+def test_words_with_a_common_beginning_are_told_apart(spark, documents):
+    """Context decides between two longer words that begin alike; held-out texts swap them."""
+    in_train = [i for i in range(200) if in_training(i)]
+    rows = [(i, "cat running " * 3 if k % 2 else "dog runner " * 3) for k, i in enumerate(in_train)]
+    right, wrong = (i for i in range(200, 260) if not in_training(i) and i % 2), (i for i in range(260, 400) if not in_training(i))
+    a, b = next(right), next(wrong)
+    rows += [(a, "cat running"), (b, "cat runner")]
+    found = {r["doc_id"]: r for r in lm.score(spark, documents(rows), fold("doc_id", 10) != 0).collect()}
+    assert found[a]["n_known"] == found[b]["n_known"] == 3
+    assert found[a]["score"] > found[b]["score"] + 1
+
+
+@pytest.mark.parametrize("spread", [0.0, 8.0])
+def test_every_context_spreads_its_whole_mass(spark, documents, words, spread):
+    rows = documents([(i, words(40, i // 4) + " of the sea of the land") for i in range(120)])
+    rows = rows.select("doc_id", "text", F.lit(True).alias("train"), F.lit(0).alias("block"))
+    held = cut_lineage(spark, lm.block_counts(rows, 3), "test-spread").filter("n > 0")
+    tree = lm.grow(spark, held.select("context", "class", "n"), spread=spread)
+    every = tree.states[0].select("context").join(tree.classes.select("class"), how="cross")
+    sums = tree.chances(every).groupBy("context").agg(F.sum(F.pow(F.lit(10.0), "chance")).alias("p")).collect()
+    assert len(sums) > 5 and all(r["p"] == pytest.approx(1) for r in sums)
