@@ -20,6 +20,7 @@ from tarmac.operators import partials
 from tarmac.operators.history import needs_split, trailing_average
 from tarmac.operators.partials import MONTH, Month
 from tarmac.operators.star import Star
+from tarmac.session import WIDE_WRITES, settings
 
 #: The averages and the keys of their peer groups.
 PEERS = {
@@ -37,8 +38,13 @@ def with_averages(flights: DataFrame, rows: int, split_rows: int, before: DataFr
 
     ``before`` holds the last flights of the groups before all of these (see ``tails``).
     """
-    featured = flights
     splits = needs_split(flights, list(PEERS.values()), split_rows)
+    packed = not any(splits)
+    if packed:
+        # The windows move every row: a key in bytes is half as long and has the same order as its hexadecimal digits.
+        flights = flights.withColumn("flight_key", F.unhex("flight_key"))
+        before = before if before is None else before.withColumn("flight_key", F.unhex("flight_key"))
+    featured = flights
     for (name, keys), split in zip(PEERS.items(), splits):
         rest = (*ORDER, name, rows, split_rows, split)
         if before is None:
@@ -48,7 +54,7 @@ def with_averages(flights: DataFrame, rows: int, split_rows: int, before: DataFr
         base = flights.select(*keys, *ORDER).unionByName(earlier.drop("_earlier"))
         both = featured.withColumn("_earlier", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
         featured = trailing_average(both, base, keys, *rest).filter(~F.col("_earlier")).drop("_earlier")
-    return featured
+    return featured.withColumn("flight_key", F.lower(F.hex("flight_key"))) if packed else featured
 
 
 def tails(flights: DataFrame, rows: int) -> DataFrame:
@@ -133,7 +139,9 @@ def refresh(
         return []
     run = uuid.uuid4().hex
     averages = state._computed(flights, split_rows)
-    averages.hint("rebalance", *MONTH).write.partitionBy(*MONTH).parquet(f"{state.folder}/averages/run={run}")
+    written = averages.write.partitionBy(*MONTH).option("compression", "zstd")
+    with settings(spark, **WIDE_WRITES):
+        written.parquet(f"{state.folder}/averages/run={run}")
     fresh = flights.filter(partials.of_months(state.stale))
     partials.write(tails(fresh, rows), f"{state.folder}/tails/run={run}")
     partials.record(spark, state.folder, chained(star.fact), state.stale, run)
