@@ -3,12 +3,15 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tarmac.llm import suffix_tree_lm as lm
 from tarmac.llm.common import cut_lineage, fold, words_of
+from tarmac.session import scratch_root
 
 
 def base_of(rows):
@@ -163,3 +166,41 @@ def test_every_context_spreads_its_whole_mass(spark, documents, words, spread):
     every = tree.states[0].select("context").join(tree.classes.select("class"), how="cross")
     sums = tree.chances(every).groupBy("context").agg(F.sum(F.pow(F.lit(10.0), "chance")).alias("p")).collect()
     assert len(sums) > 5 and all(r["p"] == pytest.approx(1) for r in sums)
+
+
+def scratch_bytes(spark):
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    return sum(p.stat().st_size for p in root.rglob("*.parquet"))
+
+
+def test_what_is_written_stays_below_the_texts(spark, documents, words):
+    """Random words: nearly every token is a pair of its own, which must not be written once for every table."""
+    rows = [(i, words(400, i)) for i in range(600)]
+    before = scratch_bytes(spark)
+    scored = lm.score(spark, documents(rows), fold("doc_id", 10) != 0, spread=8.0)
+    assert scored.count() == len(rows)
+    assert scratch_bytes(spark) - before < 2.5 * sum(len(t) for _, t in rows)
+
+
+def test_texts_are_not_shuffled(spark, documents, words, capsys):
+    """Blocks form where the texts lie, so the scan is followed by Python and a write, with no exchange of texts."""
+    rows = documents([(i, words(40, i)) for i in range(50)]).withColumn("train", F.lit(True))
+    lm.spelled_blocks(rows, 3, 4, 500).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
+def test_packed_arrays_come_back():
+    for numbers in ([], [0], [3, -1, 1 << 40], [(1 << 31) - 1, 5], [1 << 31]):
+        for names in ([], ["a"], ["a b", "\n", "ü\U0001F600"]):
+            data = lm.expanded(lm.squeezed(names, np.array(numbers, np.int64)))
+            assert lm._names(data[0]) == names and lm._ints(data[1]).tolist() == numbers
+
+
+def test_scores_do_not_depend_on_blocks_and_buckets(spark, documents, words):
+    """Many blocks a task and many buckets against one of each."""
+    rows = documents([(i, words(20 + i % 30, i // 3) + " I am a b c of the x y " * (i % 4)) for i in range(250)])
+    some = [
+        sorted((r["doc_id"], round(r["score"], 6), r["n_known"]) for r in lm.score(spark, docs, fold("doc_id", 10) != 0, block_chars=size).collect())
+        for docs, size in ((rows.repartition(7), 300), (rows.coalesce(1), 10_000_000))
+    ]
+    assert some[0] == some[1]
