@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import texts
-from tarmac.session import cut_lineage
+from tarmac.session import TEXT_BATCHES, cut_lineage, settings
 
 Pattern = tuple[tuple[int, int], ...]  # (class, pieces of it) pairs
 
@@ -219,7 +219,8 @@ def pack(
     ``rows_per_rank`` rows of their class; no group larger than that, or than one sequence, meets in a task.
     Repeated pieces are packed as often as they occur; no pieces give no rows.
     """
-    pieces = cut_lineage(spark, pieces, "pieces")
+    with settings(spark, **TEXT_BATCHES):
+        pieces = cut_lineage(spark, pieces, "pieces")
     size = F.ceil(F.col("length") / width).cast("int")
     counted = {r[0]: r[1] for r in pieces.groupBy(size).count().collect()}
     units = -(-capacity // width)
