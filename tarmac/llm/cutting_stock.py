@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import texts
+from tarmac.llm.common import texts, trimmed
 from tarmac.session import TEXT_BATCHES, cut_lineage, settings
 
 Pattern = tuple[tuple[int, int], ...]  # (class, pieces of it) pairs
@@ -192,6 +192,7 @@ def cut(
     end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder()
         for batch in batches:

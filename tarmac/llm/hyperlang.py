@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_sample, texts
+from tarmac.llm.common import bounded_sample, texts, trimmed
 
 UNKNOWN = "und"
 #: Documents whose counts are held in memory at once, in code points.
@@ -106,6 +106,7 @@ def learn(labelled: DataFrame, id_col="doc_id", text_col="text", lang_col="lang"
     rows = bounded_sample(rows, lang_col, id_col, per_language)
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
+    @trimmed
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -130,6 +131,7 @@ def known_trigrams(
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = bounded_sample(rows, lang_col, id_col, per_language).select(F.col(text_col).alias("text")).distinct()
 
+    @trimmed
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block in _blocks(batch):
@@ -165,6 +167,7 @@ def like_a_language(prototypes: dict[str, np.ndarray], known: np.ndarray, text:
         return out
 
     @F.pandas_udf("boolean")
+    @trimmed
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = [pd.Series(dtype=bool)]

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import bounded_sample, texts
+from tarmac.llm.common import bounded_sample, texts, trimmed
 from tarmac.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -299,6 +299,7 @@ def learn(
     if len(sizes) < 2:
         return None
 
+    @trimmed
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen: dict[str, list[int]] = {}
@@ -331,6 +332,7 @@ def learn(
 
     first = strong(counted, sizes)
 
+    @trimmed
     def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(Lexicon(first, fuzzy_stems=frozenset(e for e in first if e.endswith("*"))))
         near: dict[str, set[str]] = {}
@@ -366,6 +368,7 @@ def learn(
     entries = {e: w for e, w in entries.items() if e not in no_stems}
     lexicon = Lexicon(entries, fuzzy_stems=frozenset(e for e in entries if e.endswith("*") and e not in exact_only))
 
+    @trimmed
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(lexicon)
         for batch in batches:
@@ -382,6 +385,7 @@ def probability(model: Model, text: Column) -> Column:
     """The score alone, as a column; null counts as empty."""
 
     @F.pandas_udf("double")
+    @trimmed
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         matcher = Matcher(model.lexicon)
         for batch in batches:

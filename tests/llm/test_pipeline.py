@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from tarmac.llm import hyperlang, queries, toxicity
+from tarmac.llm import common, cutting_stock, hyperlang, ngram_jaccard, queries, toxicity
 from tarmac.llm.common import fold, words_of
 from tarmac.session import cut_lineage
 
@@ -136,3 +136,33 @@ def test_foreign_texts_and_gibberish_go(spark):
     assert left[0] == left[1] == 0 and left[2] <= 5
     lettered = docs.filter(F.col("text").rlike("\\p{L}")).count()
     assert kept.filter("doc_id < 1000000000").count() == lettered
+
+
+def test_texts_go_to_python_in_small_batches(spark, words, monkeypatch):
+    """All tables made from texts by Python are written under the setting, which ends with them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(name), {}
+    for module in (cp, ngram_jaccard, cutting_stock):
+        def noted(spark, df, path, write=module.cut_lineage):
+            seen[path] = spark.conf.get(name)
+            return write(spark, df, path)
+
+        monkeypatch.setattr(module, "cut_lineage", noted)
+    docs = spark.createDataFrame([(i, words(80, i // 2) + " end" * (i % 2), "en") for i in range(40)], "doc_id long, text string, lang string")
+    learnt = toxicity.Model(toxicity.Lexicon({"zzzz": 3.0}), (1.0,) * len(toxicity.FEATURES), -9.0, 8)
+    monkeypatch.setattr(toxicity, "learn", lambda *_: learnt)
+    for _, stage in cp.STAGES:
+        stage(spark, docs, SMALL)
+        assert spark.conf.get(name) == before
+    assert {seen[x] for x in ("not-toxic", "not-foreign", "described", "sets", "pieces")} == {"1000"}
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """After a task's last batch, when nothing of it is held any more; all batches come through."""
+    calls = []
+    monkeypatch.setattr(common, "_trim", lambda: calls.append(1))
+    task = common.trimmed(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert next(task) == 2 and not calls
+    assert list(task) == [4] and calls == [1]
+    monkeypatch.undo()
+    common._trim()
