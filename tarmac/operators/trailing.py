@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarmac.operators import partials
-from tarmac.operators.history import needs_split, trailing_average
+from tarmac.operators.history import needs_split, rows_in_memory, trailing_average
 from tarmac.operators.partials import MONTH, Month
 from tarmac.operators.star import Star
 from tarmac.session import WIDE_WRITES, settings
@@ -36,14 +36,14 @@ KEYS = list(dict.fromkeys(k for keys in PEERS.values() for k in keys))
 def with_averages(flights: DataFrame, rows: int, split_rows: int, before: DataFrame | None = None) -> DataFrame:
     """Flights with the mean delay of the ``rows`` flights before each in its three peer groups.
 
-    ``before`` holds the last flights of the groups before all of these (see ``tails``).
+    ``before`` holds the last flights of the groups before all of these (see ``tails``). A group is cut into chunks
+    above ``split_rows`` rows, and above those that a task has the memory for.
     """
+    # The windows move every row: a key in bytes is half as long and has the same order as its hexadecimal digits.
+    flights = flights.withColumn("flight_key", F.unhex("flight_key"))
+    before = before if before is None else before.withColumn("flight_key", F.unhex("flight_key"))
+    split_rows = min(split_rows, rows_in_memory(flights))
     splits = needs_split(flights, list(PEERS.values()), split_rows)
-    packed = not any(splits)
-    if packed:
-        # The windows move every row: a key in bytes is half as long and has the same order as its hexadecimal digits.
-        flights = flights.withColumn("flight_key", F.unhex("flight_key"))
-        before = before if before is None else before.withColumn("flight_key", F.unhex("flight_key"))
     featured = flights
     for (name, keys), split in zip(PEERS.items(), splits):
         rest = (*ORDER, name, rows, split_rows, split)
@@ -54,7 +54,7 @@ def with_averages(flights: DataFrame, rows: int, split_rows: int, before: DataFr
         base = flights.select(*keys, *ORDER).unionByName(earlier.drop("_earlier"))
         both = featured.withColumn("_earlier", F.lit(False)).unionByName(earlier, allowMissingColumns=True)
         featured = trailing_average(both, base, keys, *rest).filter(~F.col("_earlier")).drop("_earlier")
-    return featured.withColumn("flight_key", F.lower(F.hex("flight_key"))) if packed else featured
+    return featured.withColumn("flight_key", F.lower(F.hex("flight_key")))
 
 
 def tails(flights: DataFrame, rows: int) -> DataFrame:

@@ -63,3 +63,32 @@ def test_no_chunk_of_a_hot_group_is_large(spark):
     hot = hot_groups(df, ["g"], "day", 100)
     chunks = _chunked(df, hot, ["g"], "day", "flight_key", "inner").groupBy("g", "_day", "_slice").count()
     assert chunks.agg(F.max("count")).first()[0] <= 2 * 100
+
+
+def test_chunks_by_keys_in_bytes(spark):
+    df = sample(spark)
+    packed = df.withColumn("flight_key", F.unhex("flight_key"))
+    found = trailing_average(packed, packed, ["g"], "day", "flight_key", "v", "x", 30, 50)
+    assert {r.flight_key.hex(): r.x for r in found.collect()} == expected(df, 30)
+
+
+def test_groups_beyond_the_memory_of_a_task_are_cut(spark, monkeypatch):
+    """No window of the averages gets a group of more rows than a task has the memory for, whatever ``split_rows`` is."""
+    from tarmac.operators import history, trailing
+
+    draw = random.Random(3)
+    rows = [
+        (hashlib.md5(str(i).encode()).hexdigest(), 20150101 + i % 28, 1, 2, 1 + i % 2, i % 24, 1 + i % 7, draw.randrange(90))
+        for i in range(3000)
+    ]
+    names = "flight_key string, date_key int, airline_key int, origin_airport_key int, destination_airport_key int, "
+    df = spark.createDataFrame(rows, names + "departure_time_key int, day_of_week int, departure_delay_minutes int")
+    whole = trailing.with_averages(df, 30, 10**9)
+    monkeypatch.setattr(history, "task_memory", lambda _: 199 * history._SHARE * 128)
+    assert history.rows_in_memory(df) < 200
+    asked = []
+    cut = lambda *args: asked.append(args[-2:]) or trailing_average(*args)
+    monkeypatch.setattr(trailing, "trailing_average", cut)
+    found = trailing.with_averages(df, 30, 10**9)
+    assert [split for _, split in asked] == [True, True, False] and all(rows < 200 for rows, _ in asked)
+    assert sorted(map(str, found.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
