@@ -3,8 +3,9 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from flights import flights
-from tarmac.operators import facts
-from tarmac.session import fresh_path
+from tarmac.operators import facts, merge
+from tarmac.session import fresh_path, settings
+from tarmac.sources import tables
 from tarmac.streaming import ingest
 
 
@@ -67,3 +68,35 @@ def test_late_airport_is_loaded_from_quarantine(spark, star):
         late.run()
         assert late.fact().count() == 2
         assert [r.reason for r in late.quarantine().collect()] == ["missing AIRLINE"]
+
+
+def test_batches_meet_the_kept_keys_and_not_the_facts(spark, star, monkeypatch):
+    """Later batches read one small table of keys a batch; the first one kept none and is looked up in its facts."""
+    source = fresh_path(spark, "arriving")
+    first = flights(spark, {}, {"DAY": 6}, {"MONTH": 3})
+    load = ingest.new_ingest(spark, source, star)
+    met = []
+    real = merge.not_loaded
+    monkeypatch.setattr(merge, "not_loaded", lambda batch, loaded, **rest: met.append(loaded.inputFiles()) or real(batch, loaded, **rest))
+    for day in (7, 8, 9):
+        add_files(first.unionByName(flights(spark, {"DAY": day})), source)
+        load.run()
+    assert load.fact().count() == 6
+    kinds = [sorted({(path.split("/batch_id=")[1][0], path.split("/epoch=")[0].split("/")[-1]) for path in paths}) for paths in met]
+    assert kinds == [[("0", "fact_flights")], [("0", "fact_flights"), ("1", "_keys")]]
+
+    system, folder = tables.file_system(spark, load.version.keys)
+    system.delete(folder, True)
+    add_files(first.unionByName(flights(spark, {"DAY": 8})), source)
+    load.run()
+    assert load.fact().count() == 6 and len(met) == 3 and not any("/_keys/" in path for path in met[2])
+
+
+def test_staged_csv_files_are_as_many_as_their_bytes_ask_for(spark, bed):
+    """Many small staged files go to few CSV files, so that loads in batches of files have few batches."""
+    path = fresh_path(spark, "small-files")
+    spark.range(3000).repartition(150).write.parquet(path)
+    with settings(spark, **{"spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.minPartitionNum": "1"}):
+        written = bed.write_csv(spark.read.parquet(path), "few-csv")
+    rows = spark.read.option("header", True).csv(written)
+    assert rows.count() == 3000 and len(rows.inputFiles()) < 30
